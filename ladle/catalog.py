@@ -74,8 +74,17 @@ def _scored(m: Marketplace) -> DataFrame:
     return joins.predictions_with_actuals(m.predictions(), m.deliveries())
 
 
+def _landed(m: Marketplace) -> DataFrame:
+    """The raw batch as a table. Jobs that read a batch more than once land it
+    first, so that it is derived once and a lost task re-reads files."""
+    path = session.scratch(m.spark, "landed")
+    batch = m.raw_batch()
+    batch.write.parquet(path)
+    return m.spark.read.schema(batch.schema).parquet(path)
+
+
 def _passing(m: Marketplace) -> DataFrame:
-    return contract.gate_split(m.raw_batch())[0]
+    return contract.gate_split(_landed(m))[0]
 
 
 def _history(m: Marketplace) -> DataFrame:
@@ -209,8 +218,8 @@ def trailing_window_filter(m):
 
 
 def _failing(m, checks):
-    judged = contract.contract_gate(m.raw_batch(), checks)
-    return judged.filter(F.size(contract.REASONS) > 0).select("ingest_seq", contract.REASONS)
+    failing = m.raw_batch().filter(contract.fails_any(checks))
+    return contract.contract_gate(failing, checks).select("ingest_seq", contract.REASONS)
 
 
 @query
@@ -427,9 +436,8 @@ def data_overview(m):
 
 @query
 def contract_pass_rate(m):
-    judged = contract.contract_gate(m.raw_batch())
-    bad = F.size(contract.REASONS) > 0
-    counts = judged.agg(F.count_if(~bad).alias("l"), F.count_if(bad).alias("q"))
+    bad = contract.fails_any()
+    counts = m.raw_batch().agg(F.count_if(~bad).alias("l"), F.count_if(bad).alias("q"))
     return counts.select(*monitoring.contract_pass_rate(F.col("l"), F.col("q")))
 
 
@@ -479,7 +487,7 @@ def monthly_entity_stats(m):
 
 @query
 def median_impute(m):
-    return cleaning.median_impute(m.raw_batch()).select("ingest_seq", *cleaning.IMPUTED)
+    return cleaning.median_impute(_landed(m)).select("ingest_seq", *cleaning.IMPUTED)
 
 
 @query
@@ -552,7 +560,7 @@ def scoring_sample(m):
 
 @query
 def gate_split(m):
-    passing, failing = contract.gate_split(m.raw_batch())
+    passing, failing = contract.gate_split(_landed(m))
     ok = passing.select("ingest_seq", F.lit("passing").alias("outcome"))
     return ok.unionByName(failing.select("ingest_seq", F.lit("quarantined").alias("outcome")))
 
@@ -724,7 +732,10 @@ def null_defaults(m):
 
 
 def _serving(m: Marketplace) -> DataFrame:
-    return serving.serving_features(m.deliveries(), m.zones(), m.merchants(), m.weather(), _online(m))
+    """Serving rows read the online store as a table, which has been written."""
+    path = session.scratch(m.spark, "online")
+    _online(m).write.parquet(path)
+    return serving.serving_features(m.deliveries(), m.zones(), m.merchants(), m.weather(), m.spark.read.parquet(path))
 
 
 @query

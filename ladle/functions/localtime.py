@@ -41,15 +41,23 @@ def is_holiday(day: Column) -> Column:
     return (F.month(day) * 100 + F.dayofmonth(day)).isin([m * 100 + d for m, d in HOLIDAYS])
 
 
-def hour_weight(day: Column, hour: Column) -> Column:
-    table = F.array(*[F.lit(w) for w in HOUR_WEIGHTS])
+def _on_day(weight: Column, day: Column) -> Column:
     return (
-        F.element_at(table, hour + 1)
+        weight
         * F.when(is_weekend(day), WEEKEND_WEIGHT).otherwise(1.0)
         * F.when(is_holiday(day), HOLIDAY_WEIGHT).otherwise(1.0)
     )
 
 
+def hour_weight(day: Column, hour: Column) -> Column:
+    return _on_day(F.element_at(F.array(*[F.lit(w) for w in HOUR_WEIGHTS]), hour + 1), day)
+
+
+def day_weight(day: Column) -> Column:
+    """The hour weights of a whole day; the day's factors apply to every hour."""
+    return _on_day(F.lit(sum(HOUR_WEIGHTS)), day)
+
+
 def date_key(day: Column, hour: Column) -> Column:
     """YYYYMMDDHH as a number."""
     ymd = F.year(day).cast("long") * 10000 + F.month(day) * 100 + F.dayofmonth(day)

@@ -74,18 +74,14 @@ def preprocess_rows(batch: DataFrame) -> DataFrame:
 
 def cleaning_stats(batch: DataFrame) -> DataFrame:
     """Duplicates removed, nulls imputed, values clipped: one row."""
-    deduped = dedup_first(batch)
-    filled = median_impute(deduped)
-    nulls = [F.when(deduped[c].isNull(), 1).otherwise(0) for c in IMPUTED]
-    counted = deduped.select(sum(nulls[1:], nulls[0]).alias("nulls")).agg(
-        F.coalesce(F.sum("nulls"), F.lit(0)).alias("found")
-    )
-    moved = [F.when(clipped(c) != F.col(c), 1).otherwise(0) for c in CLIP_BOUNDS]
-    left = [F.when(F.col(c).isNull(), 1).otherwise(0) for c in IMPUTED]
+    count_nulls = lambda: sum((F.col(c).isNull().cast("int") for c in IMPUTED), F.lit(0))
+    moved = sum((F.when(clipped(c) != F.col(c), 1).otherwise(0) for c in CLIP_BOUNDS), F.lit(0))
+    filled = median_impute(dedup_first(batch).withColumn("nulls", count_nulls()))
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0))
     return filled.agg(
         (scalar(batch, F.count(F.lit(1))) - F.count(F.lit(1))).alias("duplicates_removed"),
-        (counted.scalar() - F.coalesce(F.sum(sum(left[1:], left[0])), F.lit(0))).alias("nulls_imputed"),
-        F.coalesce(F.sum(sum(moved[1:], moved[0])), F.lit(0)).alias("values_clipped"),
+        total(F.col("nulls") - count_nulls()).alias("nulls_imputed"),
+        total(moved).alias("values_clipped"),
     )
 
 

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import operator
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -54,6 +57,12 @@ def failures(checks: dict[str, Column]) -> Column:
     return F.array_compact(F.array(*[F.when(bad, F.lit(name)) for name, bad in checks.items()]))
 
 
+def fails_any(checks: dict[str, Column] | None = None) -> Column:
+    """Whether a row fails a check; never null, and no list is built for it."""
+    checks = checks or all_checks()
+    return reduce(operator.or_, [F.coalesce(bad, F.lit(False)) for bad in checks.values()])
+
+
 def contract_gate(batch: DataFrame, checks: dict[str, Column] | None = None) -> DataFrame:
     """Every row with the list of checks it fails; an empty list is a pass."""
     return batch.withColumn(REASONS, failures(checks or all_checks()))
@@ -61,10 +70,8 @@ def contract_gate(batch: DataFrame, checks: dict[str, Column] | None = None) ->
 
 def gate_split(batch: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Passing rows, and failing rows with their reasons. A row is in exactly
-    one of the two, since the list of reasons is never null."""
-    judged = contract_gate(batch)
-    passing = judged.filter(F.size(REASONS) == 0).drop(REASONS)
-    return passing, judged.filter(F.size(REASONS) > 0)
+    one of the two; the list of reasons is only built for failing rows."""
+    return batch.filter(~fails_any()), contract_gate(batch.filter(fails_any()))
 
 
 def quarantine_rows(failing: DataFrame, batch_id: str) -> DataFrame:

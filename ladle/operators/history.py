@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ladle.functions.exact import latest, mean, scalar, share_pct
+from ladle.functions.exact import mean, scalar, share_pct
+from ladle.session import ensure_checkpoint_dir
 
 HISTORY_DAYS = 180
 HOT_ROWS = 1_000_000
@@ -185,12 +186,17 @@ def rolling_user_history(deliveries: DataFrame, days: int = HISTORY_DAYS, hot_ro
     """For each order its user's orders and spend in the ``days`` days before,
     earlier orders of the same day included, the order itself not.
 
-    Users above ``hot_rows`` orders go through the levelled form; there are at
-    most rows/hot_rows of them, so the list of hot users stays small.
+    Users above ``hot_rows`` orders go through the levelled form. There are at
+    most rows/hot_rows of them; the list is checkpointed, and when it is empty,
+    as it usually is, the orders are read and shuffled once and no more.
     """
     orders = deliveries.select(
         "delivery_id", "user_id", "order_ts", "total_amount", F.unix_date(F.to_date("order_ts")).alias("day")
     )
     hot = orders.groupBy("user_id").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > hot_rows).select("user_id")
+    ensure_checkpoint_dir(deliveries.sparkSession)
+    hot = hot.checkpoint()
+    if hot.isEmpty():
+        return _few_rows_per_user(orders, days)
     usual = _few_rows_per_user(orders.join(hot, "user_id", "left_anti"), days)
     return usual.unionByName(_many_rows_per_user(orders.join(hot, "user_id", "left_semi"), days))

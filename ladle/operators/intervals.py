@@ -98,22 +98,26 @@ def _each_day(df: DataFrame) -> DataFrame:
     )
 
 
-def events_active(state_days: DataFrame, events: DataFrame, states: DataFrame) -> DataFrame:
-    """Events active on each (state, day): those of the state and the national
-    ones. A national event is listed under every state, so that one equi-join
-    on state and day answers both conditions."""
+def events_by_state_day(events: DataFrame, states: DataFrame) -> DataFrame:
+    """Every event under each state and day it is active in; a national event
+    under all states. Its size follows the event list, not the orders."""
     every_state = states.agg(F.collect_set("state")).scalar()
     listed = F.when(F.col("affected_state").isNull(), every_state).otherwise(F.array("affected_state"))
-    by_day = _each_day(events.withColumn("state", F.explode(listed)))
-    return state_days.join(
-        by_day.select("state", "day", "event_type", "demand_multiplier", "order_value_multiplier"), ["state", "day"]
+    return _each_day(events.withColumn("state", F.explode(listed))).select(
+        "state", "day", "event_type", "demand_multiplier", "order_value_multiplier"
     )
 
 
+def events_active(state_days: DataFrame, events: DataFrame, states: DataFrame) -> DataFrame:
+    """Events active on each (state, day): those of the state and the national
+    ones, found by one equi-join on state and day."""
+    return state_days.join(events_by_state_day(events, states), ["state", "day"])
+
+
 def event_multipliers(state_days: DataFrame, events: DataFrame, states: DataFrame) -> DataFrame:
     """Combined multipliers per (state, day), 1.0 where nothing is active."""
     combined = (
-        events_active(state_days.select("state", "day"), events, states)
+        events_by_state_day(events, states)
         .groupBy("state", "day")
         .agg(
             F.product("demand_multiplier").alias("d"),

@@ -32,37 +32,42 @@ def dense_number(df: DataFrame, unique_key: str, name: str, start: Column | int
     )
 
 
-def _locate(slots: DataFrame, slot: str, rank: int) -> tuple[int, int]:
-    """The slot that holds a rank, and how many rows lie before it."""
-    upto = Window.orderBy(slot).rowsBetween(Window.unboundedPreceding, 0)
+def _locate(slots: DataFrame, rank: Column) -> tuple | None:
+    """Of slots with row counts: the one that holds a rank, and the rank
+    counted from the start of that slot."""
+    order = Window.orderBy("_slot")
     row = (
-        slots.withColumn("_upto", F.sum("_rows").over(upto))
-        .filter(F.col("_upto") >= rank)
-        .orderBy(slot)
-        .select(slot, (F.col("_upto") - F.col("_rows")).alias("_before"))
+        slots.withColumn("_upto", F.sum("_rows").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+        .withColumn("_rank", rank)
+        .filter((F.col("_rank") > 0) & (F.col("_upto") >= F.col("_rank")))
+        .orderBy("_slot")
+        .select("_slot", (F.col("_rank") - F.col("_upto") + F.col("_rows")).alias("_inside"))
         .first()
     )
-    return row[0], row[1]
+    return None if row is None else (row[0], row[1])
 
 
-def row_at_rank(df: DataFrame, ts: str, key: str, rank: int):
-    """(ts, key) of the row at a 1-based rank in the order of (ts, key).
+def row_at_share(df: DataFrame, ts: str, key: str, share: float):
+    """(ts, key) of the row at rank ``int(n * share)`` in the order of (ts,
+    key); None if that rank is 0.
 
     Narrows down in counted steps: day, second of the day, instant, block of
-    keys. Each step is a count with few groups over the rows the previous step
-    left, and the driver receives one row per step. No step sorts rows.
+    keys, key. Each step counts the rows the step before has left, in few
+    groups, and the driver receives one row per step. No step sorts rows.
     """
-    day = F.to_date(ts)
-    second = F.hour(ts) * 3600 + F.minute(ts) * 60 + F.second(ts).cast("int")
-    rows = df.select(ts, key)
-    for slot in (day, second.cast("int"), F.col(ts), F.shiftright(F.col(key), BLOCK_BITS), F.col(key)):
+    second = F.hour(ts) * 3600 + F.minute(ts) * 60 + F.second(ts)
+    block = F.shiftright(F.col(key), BLOCK_BITS)
+    everything = F.sum("_rows").over(Window.partitionBy())
+    rank = F.floor(everything * F.lit(share))
+    rows, value = df.select(ts, key), None
+    for slot in (F.to_date(ts), second.cast("int"), F.col(ts), block, F.col(key)):
         tagged = rows.withColumn("_slot", slot)
-        counts = tagged.groupBy("_slot").agg(F.count(F.lit(1)).alias("_rows"))
-        value, before = _locate(counts, "_slot", rank)
-        rank -= before
+        found = _locate(tagged.groupBy("_slot").agg(F.count(F.lit(1)).alias("_rows")), rank)
+        if found is None:
+            return None
+        value, rank = found[0], F.lit(found[1])
         rows = tagged.filter(F.col("_slot") == F.lit(value)).drop("_slot")
-    found = rows.first()
-    return found[0], found[1]
+    return rows.select(ts, key).first()
 
 
 def time_based_split(df: DataFrame, train_share: float = 0.8, ts: str = "order_ts", key: str = "delivery_id") -> DataFrame:
@@ -71,10 +76,10 @@ def time_based_split(df: DataFrame, train_share: float = 0.8, ts: str = "order_t
     Only the row at the cut is searched for; the split itself is a filter and
     moves no rows.
     """
-    cut = int(df.count() * train_share)
-    if cut == 0:
+    cut = row_at_share(df, ts, key, train_share)
+    if cut is None:
         return df.withColumn("split", F.lit("test"))
-    cut_ts, cut_key = row_at_rank(df, ts, key, cut)
+    cut_ts, cut_key = cut
     edge = F.lit(cut_ts).cast("timestamp_ntz")
     train = (F.col(ts) < edge) | ((F.col(ts) == edge) & (F.col(key) <= cut_key))
     return df.withColumn("split", F.when(train, "train").otherwise("test"))

@@ -40,10 +40,9 @@ def zone_day_demand(user_pool: DataFrame, zones: DataFrame, weather: DataFrame,
         conditions.DEMAND, F.col("condition"), F.col("is_flash_flood"), F.col("is_heatwave")
     )
     pool = user_pool.join(zones.select("zone_id", "state"), "zone_id")
-    by_state = intervals.event_multipliers(pool.select("state", "day").distinct(), events, zones)
     return (
-        pool.join(sky, ["zone_id", "day"], "left")
-        .join(by_state, ["state", "day"])
+        intervals.event_multipliers(pool, events, zones)
+        .join(sky, ["zone_id", "day"], "left")
         .select(
             "zone_id", "day", "active_weight", F.coalesce(multiplier, F.lit(1.0)).alias("weather_demand"), "event_demand"
         )
@@ -64,12 +63,8 @@ def expected_demand(zone_days: DataFrame) -> DataFrame:
 
 
 def expected_per_day(zone_days: DataFrame) -> DataFrame:
-    """The same per day. The hours of a day are added up inside its row, in
-    their order, so no rows are multiplied and no shuffle is needed."""
-    hours = F.aggregate(
-        F.sequence(F.lit(0), F.lit(23)), F.lit(0.0), lambda total, h: total + localtime.hour_weight(F.col("day"), h)
-    )
-    return zone_days.select("zone_id", "day", _expected(hours).alias("expected_orders"))
+    """The same per day, without a row per hour."""
+    return zone_days.select("zone_id", "day", _expected(localtime.day_weight(F.col("day"))).alias("expected_orders"))
 
 
 def demand_against_actual(expected: DataFrame, deliveries: DataFrame, zones: DataFrame) -> DataFrame:

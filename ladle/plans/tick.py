@@ -136,12 +136,15 @@ def run_tick(house: Warehouse, batch: DataFrame, batch_id: str, zones, merchants
     tables.append_batch(contract.quarantine_rows(failing, batch_id).drop("batch_id"), house.path("quarantine"), batch_id)
 
     others = house.deliveries().filter(F.col("batch_id") != batch_id)
+    cleaned = house.path(f"cleaned/{batch_id}")
     typed = cleaning.type_coercion(cleaning.preprocess_rows(passing))
-    house.append_deliveries(assign_ids(typed, others), batch_id)
+    typed.write.mode("overwrite").parquet(cleaned)
+    house.append_deliveries(assign_ids(spark.read.schema(typed.schema).parquet(cleaned), others), batch_id)
 
     stored = house.deliveries()
     added = stored.filter(F.col("batch_id") == batch_id)
-    newest = stored.agg(F.max("order_month")).scalar()
+    # The newest month is found among folder names, the newest order in it.
+    newest = stored.agg(F.max("order_month")).first()[0]
     as_of = stored.filter(F.col("order_month") == newest).agg(F.max("order_ts")).first()[0]
     stages = [("seen", batch), ("quarantined", failing), ("appended", added)]
     if as_of is not None:
@@ -158,7 +161,6 @@ def run_tick(house: Warehouse, batch: DataFrame, batch_id: str, zones, merchants
             tables.append_batch(serving.score_batch(model, rows, at), house.path("predictions"), batch_id)
             stages.append(("scored", house.predictions().filter(F.col("batch_id") == batch_id)))
 
-    out = None
     counts = [(name, df.count()) for name, df in stages]
     if as_of is not None:
         before = stored.count()

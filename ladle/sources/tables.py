@@ -46,7 +46,11 @@ def publish(messages: DataFrame, sink: str, options: dict[str, str]) -> None:
 
 def append_batch(rows: DataFrame, path: str, batch_id: str, by: list[str] | None = None) -> None:
     """Add a batch to a table. The batch id is a partition and partitions are
-    overwritten one by one, so writing a batch again replaces it."""
+    overwritten one by one, so writing a batch again replaces it. Rows are
+    rebalanced by partition first: few files per folder, and a folder that
+    takes most of the rows is still written by many tasks."""
+    if by:
+        rows = rows.hint("rebalance", *[F.col(c) for c in by])
     rows.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite").option(
         "partitionOverwriteMode", "dynamic"
     ).partitionBy(*(by or []), "batch_id").parquet(path)

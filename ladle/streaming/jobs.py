@@ -100,9 +100,8 @@ def gate_and_clean(stream: DataFrame, target: str, checkpoint: str, batch_id: st
     """
 
     def each(batch: DataFrame, number: int) -> None:
-        judged = contract.contract_gate(batch).withColumn(
-            "outcome", F.when(F.size(contract.REASONS) == 0, "passing").otherwise("failing")
-        )
+        outcome = F.when(contract.fails_any(), "failing").otherwise("passing")
+        judged = contract.contract_gate(batch.withColumn("outcome", outcome))
         judged.write.mode("overwrite").partitionBy("outcome").parquet(f"{target}/part={number}")
 
     drain(stream, each, checkpoint)

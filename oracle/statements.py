@@ -281,13 +281,14 @@ _DAYPART = """CASE WHEN {h} >= 6 AND {h} < 11 THEN 'breakfast' WHEN {h} >= 11 AN
 B["daypart"] = f"SELECT delivery_id, {_DAYPART.format(h='hour(local_ts)')} AS daypart FROM {_LOCAL_ROWS} l"
 _HOLIDAY = "strftime({t}, '%m-%d') IN ('01-01', '07-04', '11-11', '12-25', '12-31')"
 B["is_holiday"] = f"SELECT delivery_id, {_HOLIDAY.format(t='local_ts')} AS is_holiday FROM {_LOCAL_ROWS} l"
-_WEIGHTS = "[0.2, 0.1, 0.1, 0.1, 0.1, 0.2, 0.4, 0.6, 0.8, 0.6, 0.5, 0.9, 1.6, 1.4, 0.8, 0.6, 0.7, 1.0, 1.7, 2.0, 1.6, 1.1, 0.8, 0.5]::DOUBLE[]"
+_EXACT_WEIGHTS = "[0.2, 0.1, 0.1, 0.1, 0.1, 0.2, 0.4, 0.6, 0.8, 0.6, 0.5, 0.9, 1.6, 1.4, 0.8, 0.6, 0.7, 1.0, 1.7, 2.0, 1.6, 1.1, 0.8, 0.5]"
+_WEIGHTS = f"{_EXACT_WEIGHTS}::DOUBLE[]"
+_DAY_FACTORS = f"""CASE WHEN isodow({{d}}) >= 6 THEN CAST(1.35 AS DOUBLE) ELSE CAST(1 AS DOUBLE) END
+  * CASE WHEN {_HOLIDAY.format(t="{d}")} THEN CAST(1.5 AS DOUBLE) ELSE CAST(1 AS DOUBLE) END"""
 
 
 def _hour_weight(d: str, h: str) -> str:
-    holiday = _HOLIDAY.format(t=d)
-    return f"""({_WEIGHTS})[{h} + 1] * CASE WHEN isodow({d}) >= 6 THEN CAST(1.35 AS DOUBLE) ELSE CAST(1 AS DOUBLE) END
-  * CASE WHEN {holiday} THEN CAST(1.5 AS DOUBLE) ELSE CAST(1 AS DOUBLE) END"""
+    return f"({_WEIGHTS})[{h} + 1] * {_DAY_FACTORS.format(d=d)}"
 
 
 B["hourly_demand_weight"] = f"SELECT delivery_id, {_hour_weight('local_ts', 'hour(local_ts)')} AS hour_weight FROM {_LOCAL_ROWS} l"
@@ -392,7 +393,7 @@ B["expected_demand"] = f"""WITH pool AS (SELECT * FROM {_USER_POOL} x), mult AS
   base AS (SELECT p.zone_id, p.day, p.active_weight, coalesce({_DEMAND}, CAST(1 AS DOUBLE)) AS weather_demand, e.event_demand
     FROM pool p JOIN zones z ON z.zone_id = p.zone_id LEFT JOIN (SELECT zone_id, date, condition AS weather_condition, is_flash_flood, is_heatwave FROM weather) w ON w.zone_id = p.zone_id AND w.date = p.day
     JOIN mult e ON e.state = z.state AND e.day = p.day),
-  daily AS (SELECT zone_id, day, CAST(0.0129 AS DOUBLE) * active_weight * list_reduce(list_transform(range(0, 24), lambda h: {_hour_weight('day', 'h')}), lambda a, x: a + x)
+  daily AS (SELECT zone_id, day, CAST(0.0129 AS DOUBLE) * active_weight * (CAST(list_sum({_EXACT_WEIGHTS}) AS DOUBLE) * {_DAY_FACTORS.format(d='day')})
     * weather_demand * event_demand AS expected_orders FROM base),
   actual AS (SELECT zone_id, CAST(local_ts AS DATE) AS day, count(*) AS n FROM {_LOCAL_ROWS} l GROUP BY 1, 2)
   SELECT d.zone_id, {day('d.day')} AS day, d.expected_orders, coalesce(a.n, 0) AS actual_orders FROM daily d LEFT JOIN actual a ON a.zone_id = d.zone_id AND a.day = d.day"""
