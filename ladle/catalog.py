@@ -59,6 +59,11 @@ def _members(m: Marketplace) -> DataFrame:
     return intervals.entities(m.users(), m.merchants(), m.dashers())
 
 
+def _span(m: Marketplace) -> tuple[Column, Column]:
+    """First and last day with orders."""
+    return intervals.day_span(m.deliveries(), F.to_date("order_ts"))
+
+
 def _local(m: Marketplace, *more: str) -> DataFrame:
     """Deliveries with their zone-local time."""
     zones = m.zones().select("zone_id", "timezone", *more)
@@ -309,7 +314,7 @@ def _state_days(m: Marketplace) -> DataFrame:
 
 @query
 def events_active_join(m):
-    return intervals.events_active(_state_days(m), m.external_events(), m.zones()).select(
+    return intervals.events_active(_state_days(m), m.external_events(), m.zones(), _span(m)).select(
         "state", "day", "orders", "event_type", "demand_multiplier", "order_value_multiplier"
     )
 
@@ -322,8 +327,7 @@ def promo_eligibility_join(m):
 
 @query
 def active_pool_daily(m):
-    span = m.deliveries().agg(F.to_date(F.min("order_ts")).alias("a"), F.to_date(F.max("order_ts")).alias("b"))
-    return intervals.active_pool_daily(_members(m), span.select("a").scalar(), span.select("b").scalar())
+    return intervals.active_pool_daily(_members(m), *_span(m))
 
 
 @query
@@ -477,7 +481,7 @@ def histogram_bins(m):
 
 @query
 def event_multipliers(m):
-    return intervals.event_multipliers(_state_days(m), m.external_events(), m.zones())
+    return intervals.event_multipliers(_state_days(m), m.external_events(), m.zones(), _span(m))
 
 
 @query
@@ -887,9 +891,8 @@ def pipeline_tick(m):
 @query
 def expected_demand(m):
     deliveries = m.deliveries()
-    span = deliveries.agg(F.to_date(F.min("order_ts")).alias("a"), F.to_date(F.max("order_ts")).alias("b"))
     users = _members(m).filter(F.col("kind") == "user")
-    pool = intervals.active_pool_daily(users, span.select("a").scalar(), span.select("b").scalar())
+    pool = intervals.active_pool_daily(users, *_span(m))
     pool = pool.select("zone_id", "day", "active_weight")
-    zone_days = demand.zone_day_demand(pool, m.zones(), m.weather(), m.external_events())
+    zone_days = demand.zone_day_demand(pool, m.zones(), m.weather(), m.external_events(), _span(m))
     return demand.demand_against_actual(demand.expected_per_day(zone_days), deliveries, m.zones())

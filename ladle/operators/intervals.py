@@ -6,6 +6,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ladle.functions import money
+from ladle.functions.exact import scalar
+
+
+def day_span(df: DataFrame, day: Column) -> tuple[Column, Column]:
+    """First and last day of a table."""
+    both = scalar(df, F.struct(F.min(day).alias("first"), F.max(day).alias("last")))
+    return both.getField("first"), both.getField("last")
 
 
 def active_on(day: Column) -> Column:
@@ -91,33 +98,34 @@ def active_pool_daily(members: DataFrame, first: Column, last: Column) -> DataFr
     )
 
 
-def _each_day(df: DataFrame) -> DataFrame:
-    """One row per day an interval covers, both ends included."""
-    return df.filter(F.col("end_date") >= F.col("start_date")).withColumn(
-        "day", F.explode(F.sequence("start_date", "end_date"))
-    )
+def _each_day(df: DataFrame, first: Column, last: Column) -> DataFrame:
+    """One row per day an interval covers between two days, all ends included.
+    An interval without an end runs on to the last day."""
+    start, end = F.greatest("start_date", first), F.least(F.coalesce("end_date", last), last)
+    return df.filter(end >= start).withColumn("day", F.explode(F.sequence(start, end)))
 
 
-def events_by_state_day(events: DataFrame, states: DataFrame) -> DataFrame:
-    """Every event under each state and day it is active in; a national event
-    under all states. Its size follows the event list, not the orders."""
+def events_by_state_day(events: DataFrame, states: DataFrame, first: Column, last: Column) -> DataFrame:
+    """Every event under each state and day it is active in, between two days;
+    a national event under all states. Its size follows the event list, not
+    the orders."""
     every_state = states.agg(F.collect_set("state")).scalar()
     listed = F.when(F.col("affected_state").isNull(), every_state).otherwise(F.array("affected_state"))
-    return _each_day(events.withColumn("state", F.explode(listed))).select(
+    return _each_day(events.withColumn("state", F.explode(listed)), first, last).select(
         "state", "day", "event_type", "demand_multiplier", "order_value_multiplier"
     )
 
 
-def events_active(state_days: DataFrame, events: DataFrame, states: DataFrame) -> DataFrame:
+def events_active(state_days: DataFrame, events: DataFrame, states: DataFrame, span: tuple[Column, Column]) -> DataFrame:
     """Events active on each (state, day): those of the state and the national
-    ones, found by one equi-join on state and day."""
-    return state_days.join(events_by_state_day(events, states), ["state", "day"])
+    ones, found by one equi-join on state and day. ``span`` bounds the days."""
+    return state_days.join(events_by_state_day(events, states, *span), ["state", "day"])
 
 
-def event_multipliers(state_days: DataFrame, events: DataFrame, states: DataFrame) -> DataFrame:
+def event_multipliers(state_days: DataFrame, events: DataFrame, states: DataFrame, span: tuple[Column, Column]) -> DataFrame:
     """Combined multipliers per (state, day), 1.0 where nothing is active."""
     combined = (
-        events_by_state_day(events, states)
+        events_by_state_day(events, states, *span)
         .groupBy("state", "day")
         .agg(
             F.product("demand_multiplier").alias("d"),
@@ -160,7 +168,7 @@ def promo_eligibility(orders: DataFrame, promotions: DataFrame) -> DataFrame:
     and one per day before the orders are joined, so the orders are joined one
     to one and never multiplied by their candidates.
     """
-    by_day = _each_day(promotions)
+    by_day = _each_day(promotions, *day_span(orders, F.to_date("order_ts")))
     own = by_day.filter(F.col("merchant_id").isNotNull()).groupBy("merchant_id", "day").agg(*_best("own_"))
     wide = by_day.filter(F.col("merchant_id").isNull()).groupBy("day").agg(*_best("wide_"))
     joined = (

@@ -6,67 +6,80 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 BLOCK_BITS = 16
+LEVELS = (BLOCK_BITS, 2 * BLOCK_BITS, 3 * BLOCK_BITS)
 
 
 def dense_number(df: DataFrame, unique_key: str, name: str, start: Column | int = 0) -> DataFrame:
     """Rows numbered start+1, start+2, ... in the order of a unique number.
 
-    The key is cut into blocks of 65,536 values. A window numbers the rows of
-    one block, which cannot hold more than 65,536; the offsets of the blocks
-    are a running sum over one row per block.
+    The key is cut into its 16-bit digits. Rows are counted per prefix, and
+    the counts are run up among the prefixes that differ in the last digit
+    only, so every window - the one that numbers the rows of a block included -
+    sees at most 65,536 rows, however the keys are spread.
     """
-    block = F.shiftright(F.col(unique_key), BLOCK_BITS)
-    tagged = df.withColumn("_block", block)
-    before = Window.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        df.groupBy(block.alias("_block"))
-        .agg(F.count(F.lit(1)).alias("_rows"))
-        .select("_block", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_offset"))
-    )
+    key = F.col(unique_key)
+    prefix = [f"_p{bits}" for bits in LEVELS]
+    counts = df.groupBy(F.shiftright(key, LEVELS[0]).alias(prefix[0])).agg(F.count(F.lit(1)).alias("_rows"))
+    offsets = None
+    for i, here in enumerate(prefix):
+        above = F.shiftright(here, BLOCK_BITS).alias(prefix[i + 1]) if i + 1 < len(prefix) else F.lit(0).alias("_top")
+        parent = prefix[i + 1] if i + 1 < len(prefix) else "_top"
+        level = counts.select(here, above, "_rows")
+        before = Window.partitionBy(parent).orderBy(here).rowsBetween(Window.unboundedPreceding, -1)
+        run = level.select(here, parent, F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias(f"_o{i}"))
+        offsets = run if offsets is None else offsets.join(run, here)
+        counts = level.groupBy(parent).agg(F.sum("_rows").alias("_rows"))
+    offset = sum((F.col(f"_o{i}") for i in range(1, len(prefix))), F.col("_o0"))
+    offsets = offsets.select(F.col(prefix[0]).alias("_block"), offset.alias("_offset"))
     inside = F.row_number().over(Window.partitionBy("_block").orderBy(unique_key))
     start = F.lit(start) if isinstance(start, int) else start
     return (
-        tagged.join(offsets, "_block")
+        df.withColumn("_block", F.shiftright(key, BLOCK_BITS))
+        .join(offsets, "_block")
         .withColumn(name, (start + F.col("_offset") + inside).cast("long"))
         .drop("_block", "_offset")
     )
 
 
 def _locate(slots: DataFrame, rank: Column) -> tuple | None:
-    """Of slots with row counts: the one that holds a rank, and the rank
-    counted from the start of that slot."""
+    """Of slots with row counts: the one that holds a rank, the rank counted
+    from the start of that slot, and the rows in it."""
     order = Window.orderBy("_slot")
     row = (
         slots.withColumn("_upto", F.sum("_rows").over(order.rowsBetween(Window.unboundedPreceding, 0)))
         .withColumn("_rank", rank)
         .filter((F.col("_rank") > 0) & (F.col("_upto") >= F.col("_rank")))
         .orderBy("_slot")
-        .select("_slot", (F.col("_rank") - F.col("_upto") + F.col("_rows")).alias("_inside"))
+        .select("_slot", (F.col("_rank") - F.col("_upto") + F.col("_rows")).alias("_inside"), "_rows")
         .first()
     )
-    return None if row is None else (row[0], row[1])
+    return None if row is None else tuple(row)
 
 
 def row_at_share(df: DataFrame, ts: str, key: str, share: float):
     """(ts, key) of the row at rank ``int(n * share)`` in the order of (ts,
     key); None if that rank is 0.
 
-    Narrows down in counted steps: day, second of the day, instant, block of
-    keys, key. Each step counts the rows the step before has left, in few
-    groups, and the driver receives one row per step. No step sorts rows.
+    Narrows down in counted steps: day, second of the day, instant, then the
+    key digit by digit, until one row is left. Each step counts the rows the
+    step before has left, in few groups, and the driver receives one row per
+    step. No step sorts rows.
     """
     second = F.hour(ts) * 3600 + F.minute(ts) * 60 + F.second(ts)
-    block = F.shiftright(F.col(key), BLOCK_BITS)
+    digits = [F.shiftright(F.col(key), bits) for bits in reversed(LEVELS)]
     everything = F.sum("_rows").over(Window.partitionBy())
     rank = F.floor(everything * F.lit(share))
-    rows, value = df.select(ts, key), None
-    for slot in (F.to_date(ts), second.cast("int"), F.col(ts), block, F.col(key)):
+    rows = df.select(ts, key)
+    for slot in (F.to_date(ts), second.cast("int"), F.col(ts), *digits, F.col(key)):
         tagged = rows.withColumn("_slot", slot)
         found = _locate(tagged.groupBy("_slot").agg(F.count(F.lit(1)).alias("_rows")), rank)
         if found is None:
             return None
-        value, rank = found[0], F.lit(found[1])
+        value, inside, left = found
         rows = tagged.filter(F.col("_slot") == F.lit(value)).drop("_slot")
+        if left == 1:
+            break
+        rank = F.lit(inside)
     return rows.select(ts, key).first()
 
 

@@ -32,16 +32,19 @@ def calendar(first_and_last: DataFrame) -> DataFrame:
     )
 
 
-def zone_day_demand(user_pool: DataFrame, zones: DataFrame, weather: DataFrame, events: DataFrame) -> DataFrame:
+def zone_day_demand(
+    user_pool: DataFrame, zones: DataFrame, weather: DataFrame, events: DataFrame, span: tuple[Column, Column]
+) -> DataFrame:
     """What the hours of a (zone, day) have in common: the active user weight
-    and the multipliers of the weather and the events."""
+    and the multipliers of the weather and the events. ``span`` holds the first
+    and last day of the pool."""
     sky = weather.select("zone_id", F.col("date").alias("day"), "condition", "is_flash_flood", "is_heatwave")
     multiplier = conditions.multiplier(
         conditions.DEMAND, F.col("condition"), F.col("is_flash_flood"), F.col("is_heatwave")
     )
     pool = user_pool.join(zones.select("zone_id", "state"), "zone_id")
     return (
-        intervals.event_multipliers(pool, events, zones)
+        intervals.event_multipliers(pool, events, zones, span)
         .join(sky, ["zone_id", "day"], "left")
         .select(
             "zone_id", "day", "active_weight", F.coalesce(multiplier, F.lit(1.0)).alias("weather_demand"), "event_demand"

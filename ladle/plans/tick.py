@@ -8,13 +8,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ladle.functions.exact import scalar
 from ladle.operators import batches, cleaning, contract, features, numbering, retention, sampling, store
 from ladle.plans import serving
 from ladle.schema import DELIVERY, FEATURE_SNAPSHOT
 from ladle.sources import tables
 
 _STORED = T.StructType([*DELIVERY, T.StructField("order_month", T.StringType()), T.StructField("batch_id", T.StringType())])
+_ID_LOG = T.StructType(
+    [T.StructField("first_id", T.LongType()), T.StructField("last_id", T.LongType()), T.StructField("batch_id", T.StringType())]
+)
 _FEATURES = T.StructType([*FEATURE_SNAPSHOT, T.StructField("batch_id", T.StringType())])
 _PREDICTION = T.StructType(
     [
@@ -64,6 +66,23 @@ class Warehouse:
         tables.append_batch(
             rows.select(*DELIVERY.names).withColumn("order_month", month), self.path("deliveries"), batch_id, ["order_month"]
         )
+        ids = F.col("delivery_id")
+        written = self.deliveries().filter(F.col("batch_id") == batch_id)
+        tables.append_batch(
+            written.agg(F.min(ids).alias("first_id"), F.max(ids).alias("last_id")), self.path("id_log"), batch_id
+        )
+
+    def ids_start_after(self, batch_id: str) -> int:
+        """The id new deliveries of a batch are counted on from. Ids come from
+        a log with one row per batch: they are never handed out again after a
+        prune, a batch that is run again gets its old ids, and no table is
+        scanned for its largest id."""
+        log = tables.read_table(self.spark, self.path("id_log"), _ID_LOG)
+        mine = F.col("batch_id") == batch_id
+        row = log.agg(
+            F.max(F.when(mine, F.col("first_id") - 1)).alias("again"), F.max(F.when(~mine, F.col("last_id"))).alias("last")
+        ).first()
+        return row.again if row.again is not None else (row.last or 0)
 
 
 def recent_months(deliveries: DataFrame, as_of, days: int = features.WINDOW_DAYS) -> DataFrame:
@@ -72,12 +91,6 @@ def recent_months(deliveries: DataFrame, as_of, days: int = features.WINDOW_DAYS
     return deliveries.filter(F.col("order_month") >= first)
 
 
-def assign_ids(cleaned: DataFrame, existing: DataFrame) -> DataFrame:
-    """Delivery ids for new rows, counting on from the largest one stored."""
-    start = scalar(existing, F.coalesce(F.max("delivery_id"), F.lit(0)))
-    return numbering.dense_number(cleaned, "ingest_seq", "delivery_id", start)
-
-
 def prune_tables(house: Warehouse, as_of, days: int) -> None:
     """Drop expired months, rewrite the month the cutoff falls in, and drop
     what depended on them."""
@@ -135,11 +148,12 @@ def run_tick(house: Warehouse, batch: DataFrame, batch_id: str, zones, merchants
     passing, failing = contract.gate_split(batch)
     tables.append_batch(contract.quarantine_rows(failing, batch_id).drop("batch_id"), house.path("quarantine"), batch_id)
 
-    others = house.deliveries().filter(F.col("batch_id") != batch_id)
     cleaned = house.path(f"cleaned/{batch_id}")
     typed = cleaning.type_coercion(cleaning.preprocess_rows(passing))
     typed.write.mode("overwrite").parquet(cleaned)
-    house.append_deliveries(assign_ids(spark.read.schema(typed.schema).parquet(cleaned), others), batch_id)
+    rows = spark.read.schema(typed.schema).parquet(cleaned)
+    start = house.ids_start_after(batch_id)
+    house.append_deliveries(numbering.dense_number(rows, "ingest_seq", "delivery_id", start), batch_id)
 
     stored = house.deliveries()
     added = stored.filter(F.col("batch_id") == batch_id)

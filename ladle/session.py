@@ -17,6 +17,8 @@ SETTINGS = {
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     "spark.sql.files.maxPartitionBytes": "128m",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # Without it every column call in Python records its line of source.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

@@ -1,6 +1,6 @@
 """The marketplace star schema, derived from the order tables in a folder.
 
-Each method is one view of FIXTURES.md. Nothing is cached or registered: a
+Each method is one view of FIXTURES.md. No data is cached or registered: a
 view is a plan, and a query reads only the columns it uses. No join carries a
 broadcast hint; Spark broadcasts a side when its measured size allows it and
 shuffles otherwise, and adaptive execution splits hot customers.
@@ -8,6 +8,7 @@ shuffles otherwise, and adaptive execution splits hot customers.
 
 from __future__ import annotations
 
+import functools
 from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -49,13 +50,28 @@ def _thousandths(amount: str) -> Column:
     return (F.expr(f"CAST({amount} AS DECIMAL(10,0))") * F.lit(Decimal("0.001"))).cast("decimal(6,3)")
 
 
+def view(build):
+    """Keep the plan of a view, so a query that uses it again builds it once."""
+
+    @functools.wraps(build)
+    def get(self):
+        if build.__name__ not in self.views:
+            self.views[build.__name__] = build(self)
+        return self.views[build.__name__]
+
+    return get
+
+
 class Marketplace:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
         self.folder = folder.rstrip("/")
+        self.views: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        if name not in self.views:
+            self.views[name] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self.views[name]
 
     def stream(self, name: str, files_per_batch: int = 1000) -> DataFrame:
         """The same table read as a stream of files. The bracket makes the
@@ -68,6 +84,7 @@ class Marketplace:
 
     # -- dimensions ---------------------------------------------------------
 
+    @view
     def zones(self) -> DataFrame:
         nation, region = self.table("nation"), self.table("region")
         return nation.join(region, nation.n_regionkey == region.r_regionkey).select(
@@ -80,6 +97,7 @@ class Marketplace:
             F.expr("CAST(26 + n_nationkey % 22 AS DOUBLE)").alias("latitude"),
         )
 
+    @view
     def users(self) -> DataFrame:
         return (
             self.table("customer")
@@ -106,6 +124,7 @@ class Marketplace:
             .withColumn("id", F.expr(f"zone_id * {each} + j"))
         )
 
+    @view
     def merchants(self) -> DataFrame:
         return self._numbered_per_zone(4).select(
             F.col("id").alias("merchant_id"),
@@ -117,6 +136,7 @@ class Marketplace:
             _thousandths("500 + id * 97 % 1500").alias("activity_weight"),
         )
 
+    @view
     def dashers(self) -> DataFrame:
         return self._numbered_per_zone(2).select(
             F.col("id").alias("dasher_id"),
@@ -127,6 +147,7 @@ class Marketplace:
             _nth(VEHICLES, "id % 3").alias("vehicle_type"),
         )
 
+    @view
     def promotions(self) -> DataFrame:
         return self.spark.range(300).withColumn("i", F.expr("CAST(id AS INT)")).select(
             F.col("i").alias("promo_id"),
@@ -138,6 +159,7 @@ class Marketplace:
             _day("i * 13 % 2300 + 7 + i % 21").alias("end_date"),
         )
 
+    @view
     def external_events(self) -> DataFrame:
         """Nineteen dated events, every third one national."""
         return self.spark.range(19).withColumn("i", F.expr("CAST(id AS INT)")).select(
@@ -149,6 +171,7 @@ class Marketplace:
             F.expr("CAST(90 + i * 13 % 26 AS DOUBLE) / 100.0D").alias("order_value_multiplier"),
         )
 
+    @view
     def weather(self) -> DataFrame:
         days = F.explode(F.sequence(F.lit(0), F.lit(CALENDAR_DAYS - 1)))
         rain = "CASE WHEN (i * 31 + zone_id * 17) % 4 = 0 THEN (i * 137 + zone_id * 71) % 5000 ELSE 0 END"
@@ -170,6 +193,7 @@ class Marketplace:
 
     # -- facts --------------------------------------------------------------
 
+    @view
     def deliveries(self) -> DataFrame:
         return self.deliveries_from(self.table("orders"))
 
@@ -221,6 +245,7 @@ class Marketplace:
             ).alias("source"),
         )
 
+    @view
     def raw_batch(self) -> DataFrame:
         return self.raw_from(self.deliveries())
 
@@ -268,6 +293,7 @@ class Marketplace:
             )
         )
 
+    @view
     def predictions(self) -> DataFrame:
         """Every fifth delivery was scored."""
         deliveries = self.deliveries().filter("delivery_id % 5 = 0")
