@@ -34,10 +34,8 @@ def portable(df: DataFrame) -> DataFrame:
         c = F.col(name)
         if kind.startswith("decimal"):
             return c.cast("double").alias(name)
-        if kind == "date":
-            return F.date_format(c, "yyyy-MM-dd").alias(name)
-        if kind.startswith("timestamp"):
-            return F.date_format(c, "yyyy-MM-dd HH:mm:ss").alias(name)
+        if kind == "date" or kind.startswith("timestamp"):
+            return c.cast("string").alias(name)
         if kind == "array<string>":
             return F.concat_ws(",", c).alias(name)
         return c

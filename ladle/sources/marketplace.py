@@ -50,6 +50,18 @@ def _thousandths(amount: str) -> Column:
     return (F.expr(f"CAST({amount} AS DECIMAL(10,0))") * F.lit(Decimal("0.001"))).cast("decimal(6,3)")
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Deal a table out by key when it is so small that one task would read
+    all of it and do all the work per row. A table of more than one file split
+    is read as it lies, without a shuffle."""
+    spark = df.sparkSession
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    split = int(spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(
+        spark.conf.get("spark.sql.files.maxPartitionBytes")
+    ))
+    return df if size > split else df.repartition(spark.sparkContext.defaultParallelism, key)
+
+
 def view(build):
     """Keep the plan of a view, so a query that uses it again builds it once."""
 
@@ -73,6 +85,10 @@ class Marketplace:
             self.views[name] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
         return self.views[name]
 
+    @view
+    def orders(self) -> DataFrame:
+        return spread(self.table("orders"), "o_orderkey")
+
     def stream(self, name: str, files_per_batch: int = 1000) -> DataFrame:
         """The same table read as a stream of files. The bracket makes the
         path a pattern, which the file source wants for a single file."""
@@ -195,7 +211,7 @@ class Marketplace:
 
     @view
     def deliveries(self) -> DataFrame:
-        return self.deliveries_from(self.table("orders"))
+        return self.deliveries_from(self.orders())
 
     def deliveries_from(self, orders: DataFrame) -> DataFrame:
         """Deliveries of any set of orders, batch or stream."""
