@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,8 +15,14 @@ from ladle.schema import DELIVERY, FEATURE_SNAPSHOT
 from ladle.sources import tables
 
 _STORED = T.StructType([*DELIVERY, T.StructField("order_month", T.StringType()), T.StructField("batch_id", T.StringType())])
-_ID_LOG = T.StructType(
-    [T.StructField("first_id", T.LongType()), T.StructField("last_id", T.LongType()), T.StructField("batch_id", T.StringType())]
+_BATCH_LOG = T.StructType(
+    [
+        T.StructField("first_id", T.LongType()),
+        T.StructField("last_id", T.LongType()),
+        T.StructField("first_ts", T.TimestampNTZType()),
+        T.StructField("as_of", T.TimestampNTZType()),
+        T.StructField("batch_id", T.StringType()),
+    ]
 )
 _FEATURES = T.StructType([*FEATURE_SNAPSHOT, T.StructField("batch_id", T.StringType())])
 _PREDICTION = T.StructType(
@@ -66,20 +73,32 @@ class Warehouse:
         tables.append_batch(
             rows.select(*DELIVERY.names).withColumn("order_month", month), self.path("deliveries"), batch_id, ["order_month"]
         )
-        ids = F.col("delivery_id")
+        self.log_batch(batch_id)
+
+    def log_batch(self, batch_id: str) -> None:
+        """One row per batch: its range of ids and of order times."""
         written = self.deliveries().filter(F.col("batch_id") == batch_id)
-        tables.append_batch(
-            written.agg(F.min(ids).alias("first_id"), F.max(ids).alias("last_id")), self.path("id_log"), batch_id
+        row = written.agg(
+            F.min("delivery_id").alias("first_id"),
+            F.max("delivery_id").alias("last_id"),
+            F.min("order_ts").alias("first_ts"),
+            F.max("order_ts").alias("as_of"),
         )
+        tables.append_batch(row, self.path("batch_log"), batch_id)
+
+    def batch_log(self) -> DataFrame:
+        return tables.read_table(self.spark, self.path("batch_log"), _BATCH_LOG)
+
+    def newest_order(self):
+        """The data's own clock, read from the log instead of the fact."""
+        return self.batch_log().agg(F.max("as_of")).first()[0]
 
     def ids_start_after(self, batch_id: str) -> int:
-        """The id new deliveries of a batch are counted on from. Ids come from
-        a log with one row per batch: they are never handed out again after a
-        prune, a batch that is run again gets its old ids, and no table is
-        scanned for its largest id."""
-        log = tables.read_table(self.spark, self.path("id_log"), _ID_LOG)
+        """The id new deliveries of a batch are counted on from. Ids are never
+        handed out again after a prune, and a batch that is run again gets its
+        old ids."""
         mine = F.col("batch_id") == batch_id
-        row = log.agg(
+        row = self.batch_log().agg(
             F.max(F.when(mine, F.col("first_id") - 1)).alias("again"), F.max(F.when(~mine, F.col("last_id"))).alias("last")
         ).first()
         return row.again if row.again is not None else (row.last or 0)
@@ -92,43 +111,42 @@ def recent_months(deliveries: DataFrame, as_of, days: int = features.WINDOW_DAYS
 
 
 def prune_tables(house: Warehouse, as_of, days: int) -> None:
-    """Drop expired months, rewrite the month the cutoff falls in, and drop
-    what depended on them."""
-    cutoff = F.lit(as_of).cast("timestamp_ntz") - F.make_dt_interval(F.lit(days))
+    """Drop what is older than the retention window.
+
+    Whole months of deliveries and whole batches of the other tables go as
+    folders; only the month and the batches the cutoff falls in are rewritten.
+    Features carry the newest order time of their batch, so the log tells
+    which of them have expired.
+    """
+    spark = house.spark
+    edge = as_of - dt.timedelta(days=days)
+    cutoff, month = F.lit(edge).cast("timestamp_ntz"), edge.strftime("%Y-%m")
+    log = house.batch_log().filter(F.col("first_ts") < cutoff)
+    old = [(r.batch_id, r.as_of < edge) for r in log.select("batch_id", "as_of").collect()]
+
     deliveries = house.deliveries()
-    month, edge = house.spark.range(1).select(F.date_format(cutoff, "yyyy-MM"), cutoff).first()
-    gone = retention.expired(deliveries.filter(F.col("order_month") <= month), F.lit(edge).cast("timestamp_ntz"))
-    _rewrite(house, "predictions", house.predictions().join(gone.select("delivery_id"), "delivery_id", "left_anti"), _PREDICTION, ["batch_id"])
-    for name in ("feature_values", "feature_snapshots"):
-        table = tables.read_table(house.spark, house.path(name), _FEATURES)
-        _rewrite(house, name, retention.keep_recent(table, F.lit(edge).cast("timestamp_ntz"), "computed_at"), _FEATURES, ["batch_id"])
+    gone = retention.expired(deliveries.filter(F.col("order_month") <= month), cutoff).select("delivery_id")
+    for batch_id, expired in old:
+        folder = f"batch_id={batch_id}"
+        if expired:
+            for name in ("predictions", "feature_values", "feature_snapshots"):
+                tables.delete(spark, f"{house.path(name)}/{folder}")
+        elif tables.exists(spark, f"{house.path('predictions')}/{folder}"):
+            scored = house.predictions().filter(F.col("batch_id") == batch_id)
+            _replace(house, "predictions", scored.join(gone, "delivery_id", "left_anti"), ["batch_id"], folder)
     boundary = deliveries.filter(F.col("order_month") == month)
-    kept = retention.keep_recent(boundary, F.lit(edge).cast("timestamp_ntz"))
-    if retention.expired(boundary, F.lit(edge).cast("timestamp_ntz")).limit(1).count():
+    if not retention.expired(boundary, cutoff).isEmpty():
+        kept = retention.keep_recent(boundary, cutoff)
         _replace(house, "deliveries", kept, ["order_month", "batch_id"], f"order_month={month}")
-    tables.drop_partitions(house.spark, house.path("deliveries"), "order_month", month)
-
-
-def _rewrite(house: Warehouse, name: str, kept: DataFrame, schema: T.StructType, by: list[str]) -> None:
-    """Replace a table by what is kept of it, if anything is lost."""
-    if not tables.exists(house.spark, house.path(name)):
-        return
-    if kept.count() < tables.read_table(house.spark, house.path(name), schema).count():
-        _replace(house, name, kept, by, None)
+    tables.drop_partitions(spark, house.path("deliveries"), "order_month", month)
 
 
-def _replace(house: Warehouse, name: str, kept: DataFrame, by: list[str], folder: str | None) -> None:
-    """Write the kept rows beside the table, then swap the folders. The old
+def _replace(house: Warehouse, name: str, kept: DataFrame, by: list[str], folder: str) -> None:
+    """Write the kept rows of a folder beside the table, then swap. The old
     folder goes only after the new one is complete."""
-    staged, live = house.path(f"_staged/{name}"), house.path(name)
+    staged, live = house.path(f"_staged/{name}"), f"{house.path(name)}/{folder}"
     kept.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(*by).parquet(staged)
-    jvm, conf = house.spark._jvm, house.spark._jsc.hadoopConfiguration()
-    at = lambda p: jvm.org.apache.hadoop.fs.Path(p)
-    fs = at(live).getFileSystem(conf)
-    old, new = (live, staged) if folder is None else (f"{live}/{folder}", f"{staged}/{folder}")
-    fs.delete(at(old), True)
-    if fs.exists(at(new)):
-        fs.rename(at(new), at(old))
+    tables.swap(house.spark, f"{staged}/{folder}", live)
 
 
 def run_tick(house: Warehouse, batch: DataFrame, batch_id: str, zones, merchants, weather, model=None,
@@ -142,8 +160,8 @@ def run_tick(house: Warehouse, batch: DataFrame, batch_id: str, zones, merchants
     landed = house.path(f"landed/{batch_id}")
     batch.write.mode("overwrite").parquet(landed)
     batch = spark.read.schema(batch.schema).parquet(landed)
-    parts = house.path(f"metrics/{batch_id}")
-    batches.batch_window_metrics(batch).write.mode("overwrite").parquet(parts)
+    metrics = batches.metric_rows(batches.batch_window_metrics(batch), batches.batch_orders_by_zone(batch))
+    tables.append_batch(metrics, house.path("metrics"), batch_id)
 
     passing, failing = contract.gate_split(batch)
     tables.append_batch(contract.quarantine_rows(failing, batch_id).drop("batch_id"), house.path("quarantine"), batch_id)
@@ -157,9 +175,7 @@ def run_tick(house: Warehouse, batch: DataFrame, batch_id: str, zones, merchants
 
     stored = house.deliveries()
     added = stored.filter(F.col("batch_id") == batch_id)
-    # The newest month is found among folder names, the newest order in it.
-    newest = stored.agg(F.max("order_month")).first()[0]
-    as_of = stored.filter(F.col("order_month") == newest).agg(F.max("order_ts")).first()[0]
+    as_of = house.newest_order()
     stages = [("seen", batch), ("quarantined", failing), ("appended", added)]
     if as_of is not None:
         at = F.lit(as_of).cast("timestamp_ntz")

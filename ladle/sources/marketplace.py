@@ -218,18 +218,19 @@ class Marketplace:
         customer = self.table("customer").select("c_custkey", "c_nationkey")
         priced = (
             orders.join(customer, orders.o_custkey == customer.c_custkey)
-            .withColumn("prep_c", F.expr("500 + o_orderkey * 7919 % 3000"))
-            .withColumn("travel_c", F.expr("200 + (o_orderkey * 6271 + o_custkey * 31) % 2400"))
-            .withColumn("wait_c", F.expr("CASE WHEN o_orderkey % 97 <> 0 THEN o_orderkey * 3571 % 1000 END"))
-            .withColumn("subtotal_c", F.expr("CAST(FLOOR(o_totalprice / 15.0D) AS BIGINT)"))
-            .withColumn("fee_c", F.expr("199 + o_orderkey % 400"))
-            .withColumn("tip_c", F.expr("CAST(FLOOR(subtotal_c * 15 / 100.0D) AS BIGINT)"))
-            .withColumn(
-                "actual_c",
-                F.expr(
-                    "CASE WHEN o_orderkey % 211 <> 0 THEN"
-                    " prep_c + COALESCE(wait_c, 400) + travel_c + o_orderkey * 4421 % 500 - 250 END"
-                ),
+            .selectExpr(
+                "*",
+                "500 + o_orderkey * 7919 % 3000 AS prep_c",
+                "200 + (o_orderkey * 6271 + o_custkey * 31) % 2400 AS travel_c",
+                "CASE WHEN o_orderkey % 97 <> 0 THEN o_orderkey * 3571 % 1000 END AS wait_c",
+                "CAST(FLOOR(o_totalprice / 15.0D) AS BIGINT) AS subtotal_c",
+                "199 + o_orderkey % 400 AS fee_c",
+            )
+            .selectExpr(
+                "*",
+                "CAST(FLOOR(subtotal_c * 15 / 100.0D) AS BIGINT) AS tip_c",
+                "CASE WHEN o_orderkey % 211 <> 0 THEN"
+                " prep_c + COALESCE(wait_c, 400) + travel_c + o_orderkey * 4421 % 500 - 250 END AS actual_c",
             )
         )
         return priced.select(

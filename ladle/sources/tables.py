@@ -56,9 +56,30 @@ def append_batch(rows: DataFrame, path: str, batch_id: str, by: list[str] | None
     ).partitionBy(*(by or []), "batch_id").parquet(path)
 
 
+def _files(spark: SparkSession, path: str):
+    """A path and the file system it lies in, local or distributed."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at, at.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
 def exists(spark: SparkSession, path: str) -> bool:
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+    at, fs = _files(spark, path)
+    return fs.exists(at)
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    at, fs = _files(spark, path)
+    fs.delete(at, True)
+
+
+def swap(spark: SparkSession, new: str, live: str) -> None:
+    """Put a finished folder in the place of another; without one, the place
+    stays empty."""
+    source, fs = _files(spark, new)
+    target, _ = _files(spark, live)
+    fs.delete(target, True)
+    if fs.exists(source):
+        fs.rename(source, target)
 
 
 def read_table(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
@@ -70,16 +91,11 @@ def read_table(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
 
 def drop_partitions(spark: SparkSession, path: str, column: str, before: str) -> int:
     """Remove the partition folders of a table whose value sorts before a bound."""
-    jvm = spark._jvm
-    root = jvm.org.apache.hadoop.fs.Path(path)
-    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not fs.exists(root):
+    at, fs = _files(spark, path)
+    if not fs.exists(at):
         return 0
-    dropped = 0
-    for status in fs.listStatus(root):
-        folder = status.getPath()
-        name, _, value = folder.getName().partition("=")
-        if name == column and value < before:
-            fs.delete(folder, True)
-            dropped += 1
-    return dropped
+    names = [status.getPath().getName() for status in fs.listStatus(at)]
+    old = [n for n in names if n.startswith(f"{column}=") and n.partition("=")[2] < before]
+    for name in old:
+        delete(spark, f"{path}/{name}")
+    return len(old)

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ladle.operators import batches, cleaning, contract
+from ladle.sources import tables
 
 
 def drain(stream: DataFrame, each: Callable[[DataFrame, int], None], checkpoint: str, mode: str = "append") -> None:
@@ -30,9 +31,7 @@ def drain(stream: DataFrame, each: Callable[[DataFrame, int], None], checkpoint:
 
 def _read(spark: SparkSession, path: str, like: DataFrame) -> DataFrame:
     """The folders of all micro-batches; empty when nothing arrived."""
-    from ladle.sources.tables import read_table
-
-    return read_table(spark, path, like.schema)
+    return tables.read_table(spark, path, like.schema)
 
 
 def ingest(stream: DataFrame, target: str, checkpoint: str) -> DataFrame:

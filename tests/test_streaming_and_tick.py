@@ -100,3 +100,23 @@ def test_append_replaces_a_batch(spark, tmp_path):
     tables.append_batch(rows, path, "b", ["order_month"])
     tables.append_batch(rows.limit(4), path, "a", ["order_month"])
     assert spark.read.parquet(path).groupBy("batch_id").count().orderBy("batch_id").collect() == [("a", 4), ("b", 10)]
+
+
+def test_prune_takes_dependents_along(spark, market, tmp_path):
+    """Expired predictions and features go; the rest of every batch stays."""
+    house = tick.Warehouse(spark, str(tmp_path / "house"))
+    deliveries = market.deliveries().withColumns({"promo_id": F.lit(None).cast("int"), "date_key": F.lit(None).cast("long")})
+    early = deliveries.filter("order_ts < TIMESTAMP_NTZ '1997-01-01 00:00:00'")
+    late = deliveries.filter("order_ts >= TIMESTAMP_NTZ '1997-01-01 00:00:00'")
+    predictions = market.predictions().drop("prediction_id").withColumn("predicted_eta_min", F.col("predicted_eta_min").cast("double"))
+    names = ["delivery_id", "model_name", "model_version", "predicted_eta_min", "features_snapshot", "scored_at"]
+    for batch_id, rows in (("early", early), ("late", late)):
+        house.append_deliveries(rows, batch_id)
+        tables.append_batch(predictions.join(rows.select("delivery_id"), "delivery_id", "left_semi").select(*names), house.path("predictions"), batch_id)
+    as_of = house.newest_order()
+    tick.prune_tables(house, as_of, retention.RETENTION_DAYS)
+    kept = retention.prune(market.deliveries(), market.predictions(), house.feature_snapshots())
+    assert house.deliveries().select("delivery_id").exceptAll(kept["deliveries"].select("delivery_id")).count() == 0
+    assert house.deliveries().count() == kept["deliveries"].count()
+    assert house.predictions().select("delivery_id").exceptAll(kept["predictions"].select("delivery_id")).count() == 0
+    assert house.predictions().count() == kept["predictions"].count() > 0
