@@ -95,6 +95,11 @@ def read_ranks(data: bytes) -> dict[bytes, int]:
     return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, data.splitlines())}
 
 
+def as_white_space(pattern: str) -> str:
+    """White space as the pattern means it: by the character property, which leaves out the separators U+001C to U+001F."""
+    return pattern.replace(r"\s", r"\p{White_Space}").replace(r"\S", r"\P{White_Space}")
+
+
 class TextEncoder:
     """Encodes whole texts, word by word where that is safe.
 
@@ -105,8 +110,8 @@ class TextEncoder:
     """
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
-        self.encoder, self.split = Encoder(ranks), regex.compile(pattern)
-        self.open_space = regex.compile(r" (?:\s|\Z)")
+        self.encoder, self.split = Encoder(ranks), regex.compile(as_white_space(pattern))
+        self.open_space = regex.compile(as_white_space(r" (?:\s|\Z)"))
         self.pieces = Memo(lambda p: self.encoder.piece(p.encode()), WORDS)
         self.words = Memo(self._word, WORDS)
 
