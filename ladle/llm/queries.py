@@ -2,19 +2,37 @@
 
 from __future__ import annotations
 
+import shutil
+import tempfile
 from collections.abc import Callable
+from functools import cache
+from pathlib import Path
 
+from pyspark import SparkContext
 from pyspark.sql import DataFrame, SparkSession
 
-from ladle.llm import bpe, sharding, warc
+import ladle
+from ladle.llm import bpe, langid, license, packing, quality, sharding, surrogates, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
 
-def query(name: str, table: str, sql: str | None = None):
-    def register(build: Callable[[DataFrame], DataFrame]):
-        QUERIES[name] = lambda spark, folder: build(spark.read.parquet(f"{folder}/{table}.parquet"))
+@cache
+def _ship(context: SparkContext) -> None:
+    """Send this package to the executors, once per Spark context, so that their Python finds it."""
+    package = Path(ladle.__file__).parent
+    packed = shutil.make_archive(f"{tempfile.mkdtemp(prefix='ladle-')}/ladle", "zip", package.parent, package.name)
+    context.addPyFile(packed)
+
+
+def query(name: str, *tables: str, sql: str | None = None):
+    def register(build: Callable[..., DataFrame]):
+        def run(spark: SparkSession, folder: str) -> DataFrame:
+            _ship(spark.sparkContext)
+            return build(*[spark.read.parquet(f"{folder}/{t}.parquet") for t in tables])
+
+        QUERIES[name] = run
         if sql:
             SQL[name] = sql
         return build
@@ -27,11 +45,36 @@ def op2(pages):
     return warc.archived_pages(pages)
 
 
+@query("op3_surrogates", "documents")
+def op3(docs):
+    return surrogates.surrogate_documents(docs)
+
+
 @query("op4_byte_bpe", "documents")
 def op4(docs):
     return bpe.encode_documents(docs)
 
 
+@query("op5_quality", "documents", "labels")
+def op5(docs, labels):
+    return quality.quality_rules(docs, labels)
+
+
+@query("op6_licenses", "documents", sql=license.oracle())
+def op6(docs):
+    return license.scan(docs)
+
+
 @query("op7_sharding", "documents")
 def op7(docs):
     return sharding.shard_documents(docs)
+
+
+@query("op8_packing", "documents")
+def op8(docs):
+    return packing.pack_documents(docs)
+
+
+@query("op9_languages", "documents")
+def op9(docs):
+    return langid.identify_languages(docs)
