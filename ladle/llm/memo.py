@@ -39,3 +39,14 @@ def per_batch(df: DataFrame, start: Callable[[], Callable[[pa.RecordBatch], pa.R
             yield work(batch)
 
     return df.mapInArrow(run, schema)
+
+
+def rows_where(df: DataFrame, start: Callable[[], Callable[[pa.RecordBatch], Any]]) -> DataFrame:
+    """The rows for which the function that ``start()`` builds once per task is true, with all their columns."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keep = start()
+        for batch in batches:
+            yield batch.filter(pa.array(keep(batch), pa.bool_()))
+
+    return df.mapInArrow(run, df.schema)
