@@ -12,7 +12,7 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ladle.llm.memo import per_batch
+from ladle.llm.memo import per_batch, rows_where
 
 LETTERS = regex.compile(r"\p{L}+")
 UNKNOWN = "und"
@@ -23,6 +23,8 @@ MOST_WORDS, MOST_GRAMS = 50_000, 100_000
 SIZES = (5, 4, 3, 2, 1)
 HELD_OUT = 2
 SMOOTH = 0.5
+# Documents whose language is less certain than this are not kept.
+KEEP_FROM = 0.5
 # Looked-up words of a task are held in a table of at most so many numbers.
 TABLE = 1 << 21
 SLICE = 20_000
@@ -93,7 +95,7 @@ def _most_frequent(counts: DataFrame, langs: list[str], most: int, least: int, *
     """The ``most`` most frequent entries that were seen ``least`` times or more, with a count per language."""
     columns = [F.sum(F.when(F.col("lang") == v, F.col("n")).otherwise(0)).alias(f"n{i}") for i, v in enumerate(langs)]
     wide = counts.groupBy(*key).agg(F.sum("n").alias("n"), *columns).filter(F.col("n") >= least)
-    return wide.orderBy(F.desc("n"), *key).limit(most).toPandas()
+    return wide.orderBy(F.desc("n"), *key).limit(most).toArrow().to_pandas()
 
 
 @dataclass
@@ -207,3 +209,19 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
 def identify_languages(docs: DataFrame) -> DataFrame:
     """Learn from the documents that are not held out, then predict every document from its text alone."""
     return identify(docs, train(docs))
+
+
+def keep_identified(docs: DataFrame, keep_from: float = KEEP_FROM) -> DataFrame:
+    """The documents whose language is known with some certainty, as they are."""
+    held = docs.sparkSession.sparkContext.broadcast(train(docs))
+
+    def start():
+        scorer = Scorer(held.value)
+
+        def keep(batch: pa.RecordBatch) -> list[bool]:
+            found = [scorer.predict(t.as_py()) for t in batch.column("text")]
+            return [lang != UNKNOWN and score >= keep_from for lang, score in found]
+
+        return keep
+
+    return rows_where(docs, start)

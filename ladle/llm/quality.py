@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ladle.llm.memo import Memo, per_batch
+from ladle.llm.memo import Memo, per_batch, rows_where
 
 # Words are stretches without space, tab, newline, vertical tab, form feed and carriage return: what bytes.split() yields.
 SPACES = " \t\n\v\f\r"
@@ -198,6 +198,17 @@ def train(docs: DataFrame, labels: DataFrame, rows_per_class: int = ROWS_PER_CLA
     return Model(weights.astype(np.float32), bias, max(slope, 0.0), shift)
 
 
+def verdict(text: str | None, features: Features, model: Model | None, keep_from: float) -> tuple:
+    """The counts, whether the base rule fails, whether the document is kept, the probability that it is good."""
+    text = text or ""
+    data = text.encode()
+    words, codes = word_codes(data)
+    found = counts(text, codes, len(words))
+    failed = found[0] < LEAST_WORDS or 100 * found[4] > MOST_REPEATED_PERCENT * found[0]
+    score = model.probability(*features.places(data, words, codes)) if model else 1.0
+    return *found, failed, not failed and score >= keep_from, score
+
+
 def judge(docs: DataFrame, model: Model | None, keep_from: float = KEEP_FROM) -> DataFrame:
     """Per document its counts, the base rule, the probability that it is good, and the verdict.
 
@@ -210,15 +221,7 @@ def judge(docs: DataFrame, model: Model | None, keep_from: float = KEEP_FROM) ->
         features, model = Features(), held.value
 
         def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-            rows = []
-            for value in batch.column("text"):
-                text = value.as_py() or ""
-                data = text.encode()
-                words, codes = word_codes(data)
-                found = counts(text, codes, len(words))
-                failed = found[0] < LEAST_WORDS or 100 * found[4] > MOST_REPEATED_PERCENT * found[0]
-                score = model.probability(*features.places(data, words, codes)) if model else 1.0
-                rows.append((*found, failed, not failed and score >= keep_from, score))
+            rows = [verdict(t.as_py(), features, model, keep_from) for t in batch.column("text")]
             kinds = [pa.int64()] * 5 + [pa.bool_()] * 2 + [pa.float64()]
             columns = [pa.array(c, kind) for c, kind in zip(zip(*rows) if rows else [[]] * 8, kinds)]
             return pa.RecordBatch.from_arrays(
@@ -233,3 +236,14 @@ def judge(docs: DataFrame, model: Model | None, keep_from: float = KEEP_FROM) ->
 
 def quality_rules(docs: DataFrame, labels: DataFrame) -> DataFrame:
     return judge(docs, train(docs, labels))
+
+
+def keep_good(docs: DataFrame, labels: DataFrame, keep_from: float = KEEP_FROM) -> DataFrame:
+    """The documents that pass base rule and model, as they are."""
+    held = docs.sparkSession.sparkContext.broadcast(train(docs, labels))
+
+    def start():
+        features, model = Features(), held.value
+        return lambda batch: [verdict(t.as_py(), features, model, keep_from)[-2] for t in batch.column("text")]
+
+    return rows_where(docs, start)

@@ -12,14 +12,14 @@ from pyspark import SparkContext
 from pyspark.sql import DataFrame, SparkSession
 
 import ladle
-from ladle.llm import bpe, langid, license, packing, quality, sharding, surrogates, warc
+from ladle.llm import bpe, langid, license, multi_index, ngram_join, packing, quality, sharding, surrogates, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
 
 @cache
-def _ship(context: SparkContext) -> None:
+def ship(context: SparkContext) -> None:
     """Send this package to the executors, once per Spark context, so that their Python finds it."""
     package = Path(ladle.__file__).parent
     packed = shutil.make_archive(f"{tempfile.mkdtemp(prefix='ladle-')}/ladle", "zip", package.parent, package.name)
@@ -29,7 +29,7 @@ def _ship(context: SparkContext) -> None:
 def query(name: str, *tables: str, sql: str | None = None):
     def register(build: Callable[..., DataFrame]):
         def run(spark: SparkSession, folder: str) -> DataFrame:
-            _ship(spark.sparkContext)
+            ship(spark.sparkContext)
             return build(*[spark.read.parquet(f"{folder}/{t}.parquet") for t in tables])
 
         QUERIES[name] = run
@@ -40,6 +40,11 @@ def query(name: str, *tables: str, sql: str | None = None):
     return register
 
 
+@query("op1_multi_index", "embeddings")
+def op1(vectors):
+    return multi_index.search(vectors)
+
+
 @query("op2_warc", "pages")
 def op2(pages):
     return warc.archived_pages(pages)
@@ -78,3 +83,8 @@ def op8(docs):
 @query("op9_languages", "documents")
 def op9(docs):
     return langid.identify_languages(docs)
+
+
+@query("op10_ngram_join", "documents")
+def op10(docs):
+    return ngram_join.link(docs)
