@@ -22,8 +22,8 @@ from ladle.streaming import jobs
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
-# A model is trained with few trees when a query only has to show the job.
-QUICK_MODEL = {"maxIter": 5, "maxDepth": 4}
+# The fitted model and its metrics by session and folder: four queries are about the same training run.
+_RUNS: dict[tuple[str, str], tuple] = {}
 
 
 def portable(df: DataFrame) -> DataFrame:
@@ -455,9 +455,7 @@ def accuracy_over_time(m):
 
 @query
 def error_by_segment(m):
-    scored = _scored(m)
-    by = lambda key: monitoring.error_by_segment(scored, key).withColumn("segment_key", F.lit(key))
-    return by("weather_condition").unionByName(by("density_tier"))
+    return monitoring.error_by_segments(_scored(m), ["weather_condition", "density_tier"])
 
 
 @query
@@ -473,7 +471,8 @@ def bias_label(m):
 @query
 def histogram_bins(m):
     residuals = sampling.histogram(_scored(m), {"residual": 30})
-    shapes = sampling.histogram(m.deliveries(), {"subtotal": 40, "actual_delivery_min": 40, "item_count": 7})
+    most = m.deliveries().agg(F.max("item_count")).first()[0] or 1
+    shapes = sampling.histogram(m.deliveries(), {"subtotal": 40, "actual_delivery_min": 40, "item_count": int(most)})
     return shapes.unionByName(residuals)
 
 
@@ -828,9 +827,24 @@ def _landed_features(m: Marketplace) -> DataFrame:
     return m.spark.read.parquet(path)
 
 
+def _run(m: Marketplace) -> tuple:
+    """The training run over all deliveries of a folder, with the parameters of production: the model, its metrics on the
+    later part, and the number of training and test rows. It is run once per session."""
+    key = (m.spark.sparkContext.applicationId, m.folder)
+    if key not in _RUNS:
+        rows = _landed_features(m)
+        model, metrics = training.train_eta(rows)
+        path = session.scratch(m.spark, "metrics")
+        metrics.write.parquet(path)
+        n = rows.count()
+        cut = int(n * 0.8)
+        _RUNS[key] = model, m.spark.read.parquet(path), {"train": cut, "test": n - cut, "sample_pct": 100}
+    return _RUNS[key]
+
+
 @query
 def train_eta(m):
-    return training.train_eta(_landed_features(m), **QUICK_MODEL)[1]
+    return _run(m)[1]
 
 
 @query
@@ -840,18 +854,13 @@ def serving_features(m):
 
 @query
 def score_batch(m):
-    model = training.fit(_landed_features(m), **QUICK_MODEL)
-    return serving.score_batch(model, _serving(m), latest(m.deliveries()))
+    return serving.score_batch(_run(m)[0], _serving(m), latest(m.deliveries()))
 
 
 @query
 def training_runs_log(m):
-    rows = _landed_features(m)
-    _, metrics = training.train_eta(rows, **QUICK_MODEL)
-    n = rows.count()
-    cut = int(n * 0.8)
-    counts = {"train": cut, "test": n - cut, "sample_pct": 100}
-    return training.training_runs_log(metrics, "run-1", counts, **QUICK_MODEL)
+    _, metrics, counts = _run(m)
+    return training.training_runs_log(metrics, "run-1", counts)
 
 
 # -- maintenance and composite jobs --------------------------------------------------------
@@ -882,7 +891,7 @@ def pipeline_tick(m):
         past.withColumns({"promo_id": F.lit(None).cast("int"), "date_key": F.lit(None).cast("long")}), "seed"
     )
     batch = m.raw_from(deliveries.filter(F.col("source") == "realtime"))
-    model = training.fit(_landed_features(m), **QUICK_MODEL)
+    model = _run(m)[0]
     return tick.run_tick(house, batch, "tick-1", m.zones(), m.merchants(), m.weather(), model)
 
 

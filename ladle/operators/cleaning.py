@@ -40,12 +40,19 @@ def dedup_first(batch: DataFrame, key: list[str] = DEDUP_KEY, arrival: str = "in
 
 def medians(batch: DataFrame) -> dict[str, Column]:
     """Exact medians to two decimals. The values are contract-checked minutes
-    with two decimals, so the aggregate holds at most 30,001 distinct values
-    per column however many rows there are."""
-    halves = {
-        c: F.round(F.median(F.round(F.col(c) * 100).cast("long"))) / 100 for c in IMPUTED
-    }
-    row = scalar(batch, F.struct(*[v.alias(c) for c, v in halves.items()]))
+    with two decimals: rows are counted per value first, in every task, and
+    the median of at most 30,001 values per column is taken with their counts."""
+    values = F.array(*[F.struct(F.lit(c).alias("name"), F.round(F.col(c) * 100).cast("long").alias("value")) for c in IMPUTED])
+    counted = (
+        batch.select(F.inline(values)).filter("value IS NOT NULL").groupBy("name", "value").agg(F.count(F.lit(1)).alias("n"))
+    )
+
+    def middle(name: str) -> Column:
+        mine = F.col("name") == name
+        found = F.percentile(F.when(mine, F.col("value")), F.lit(0.5), F.when(mine, F.col("n")).otherwise(F.lit(0)))
+        return (F.round(found) / 100).alias(name)
+
+    row = scalar(counted, F.struct(*map(middle, IMPUTED)))
     return {c: row.getField(c) for c in IMPUTED}
 
 
@@ -86,8 +93,11 @@ def cleaning_stats(batch: DataFrame) -> DataFrame:
 
 
 def parse_order_ts(value: Column) -> Column:
-    """ISO text with a UTC offset as a zone-less UTC instant."""
-    return F.try_to_timestamp(value).cast("timestamp_ntz")
+    """ISO text with a UTC offset as a zone-less UTC instant, in any session
+    time zone (text without an offset is in the session's)."""
+    micros = F.unix_micros(F.try_to_timestamp(value))
+    seconds = (micros.cast("decimal(20,0)") / F.lit(1_000_000)).cast("decimal(18,6)")
+    return F.expr("TIMESTAMP_NTZ '1970-01-01 00:00:00'") + F.make_dt_interval(secs=seconds)
 
 
 def type_coercion(batch: DataFrame, keep: tuple[str, ...] = ("ingest_seq",)) -> DataFrame:

@@ -9,7 +9,6 @@ from ladle.functions.exact import mean, scalar, share_pct
 from ladle.session import ensure_checkpoint_dir
 
 HISTORY_DAYS = 180
-HOT_ROWS = 1_000_000
 
 # Per entity type: the minutes that are averaged.
 MONTHLY_MINUTES = {
@@ -122,26 +121,8 @@ def _measures(n: Column, gmv: Column) -> list[Column]:
     ]
 
 
-def _few_rows_per_user(orders: DataFrame, days: int) -> DataFrame:
-    """One shuffle by user: a day-range frame for the earlier days and a row
-    frame for the earlier orders of the same day."""
-    earlier_days = Window.partitionBy("user_id").orderBy("day").rangeBetween(-days, -1)
-    same_day = (
-        Window.partitionBy("user_id", "day")
-        .orderBy("order_ts", "delivery_id")
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-
-    def both(agg) -> Column:
-        return F.coalesce(agg.over(earlier_days), F.lit(0)) + F.coalesce(agg.over(same_day), F.lit(0))
-
-    return orders.select(
-        "delivery_id", "user_id", "order_ts", *_measures(both(F.count(F.lit(1))), both(F.sum("total_amount")))
-    )
-
-
-def _many_rows_per_user(orders: DataFrame, days: int) -> DataFrame:
-    """The same for users with any number of orders.
+def _levelled(orders: DataFrame, days: int) -> DataFrame:
+    """Totals before each order, for users with any number of orders.
 
     Orders are totalled per slot of their time order - minute, then instant
     and block of 65,536 ids - and the totals are run up level by level, so no
@@ -182,21 +163,10 @@ def _many_rows_per_user(orders: DataFrame, days: int) -> DataFrame:
     return joined.select("delivery_id", "user_id", "order_ts", *_measures(total("n"), total("gmv")))
 
 
-def rolling_user_history(deliveries: DataFrame, days: int = HISTORY_DAYS, hot_rows: int = HOT_ROWS) -> DataFrame:
+def rolling_user_history(deliveries: DataFrame, days: int = HISTORY_DAYS) -> DataFrame:
     """For each order its user's orders and spend in the ``days`` days before,
-    earlier orders of the same day included, the order itself not.
-
-    Users above ``hot_rows`` orders go through the levelled form. There are at
-    most rows/hot_rows of them; the list is checkpointed, and when it is empty,
-    as it usually is, the orders are read and shuffled once and no more.
-    """
+    earlier orders of the same day included, the order itself not."""
     orders = deliveries.select(
         "delivery_id", "user_id", "order_ts", "total_amount", F.unix_date(F.to_date("order_ts")).alias("day")
     )
-    hot = orders.groupBy("user_id").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > hot_rows).select("user_id")
-    ensure_checkpoint_dir(deliveries.sparkSession)
-    hot = hot.checkpoint()
-    if hot.isEmpty():
-        return _few_rows_per_user(orders, days)
-    usual = _few_rows_per_user(orders.join(hot, "user_id", "left_anti"), days)
-    return usual.unionByName(_many_rows_per_user(orders.join(hot, "user_id", "left_semi"), days))
+    return _levelled(orders, days)

@@ -48,6 +48,13 @@ def online_latest(features: DataFrame) -> DataFrame:
     )
 
 
+def newest_rows(features: DataFrame) -> DataFrame:
+    """The newest row per key, as it came; combined before the shuffle."""
+    return features.groupBy("entity_type", "entity_id", "feature_name").agg(
+        F.max_by("feature_value", "computed_at").alias("feature_value"), F.max("computed_at").alias("computed_at")
+    )
+
+
 def online_read(keys: DataFrame, online: DataFrame) -> DataFrame:
     """Values for (entity_type, entity_id, feature_name) rows, null if absent."""
     return with_online_key(keys).join(online.select("online_key", "value"), "online_key", "left")

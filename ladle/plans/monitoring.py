@@ -33,20 +33,24 @@ def kpi_summary(deliveries, users, merchants, dashers, predictions, quarantined,
     active = lambda df: scalar(df, F.count_if(F.col("churn_date").isNull()))
     scored = joins.predictions_with_actuals(predictions, deliveries)
     late = scalar(last_days(deliveries, as_of), F.round(share_pct(F.col("is_late")), 1))
+    errors = scalar(
+        scored, F.struct(F.round(mean(F.abs("residual")), 2).alias("mae"), F.count(F.lit(1)).alias("n"))
+    )
     return deliveries.agg(
         F.count(F.lit(1)).alias("total_deliveries"),
         active(users).alias("active_users"),
         active(merchants).alias("active_merchants"),
         active(dashers).alias("active_dashers"),
         late.alias("late_rate_30d"),
-        scalar(scored, F.round(mean(F.abs("residual")), 2)).alias("mae"),
-        _rows(scored).alias("n_predictions"),
+        errors.getField("mae").alias("mae"),
+        errors.getField("n").alias("n_predictions"),
         _rows(quarantined).alias("n_quarantined"),
     )
 
 
 def monthly_growth(deliveries: DataFrame) -> DataFrame:
-    return deliveries.groupBy(F.trunc("order_ts", "MM").alias("month")).agg(F.count(F.lit(1)).alias("deliveries"))
+    months = deliveries.groupBy(F.trunc("order_ts", "MM").alias("month")).agg(F.count(F.lit(1)).alias("deliveries"))
+    return months.orderBy("month")
 
 
 def quarterly_growth(deliveries: DataFrame) -> DataFrame:
@@ -117,6 +121,7 @@ def quarantine_breakdown(quarantined: DataFrame) -> DataFrame:
         quarantined.select(F.explode("failed_expectations").alias("reason"))
         .groupBy("reason")
         .agg(F.count(F.lit(1)).alias("n"))
+        .orderBy(F.desc("n"), "reason")
     )
 
 
@@ -125,7 +130,7 @@ def accuracy_over_time(scored: DataFrame) -> DataFrame:
         mean(F.col("residual")).alias("mean_residual"),
         mean(F.abs("residual")).alias("mae"),
         F.count(F.lit(1)).alias("n"),
-    )
+    ).orderBy("day")
 
 
 def error_by_segment(scored: DataFrame, segment: str) -> DataFrame:
@@ -135,6 +140,15 @@ def error_by_segment(scored: DataFrame, segment: str) -> DataFrame:
     )
 
 
+def error_by_segments(scored: DataFrame, segments: list[str]) -> DataFrame:
+    """The same for several fields in one pass, in order."""
+    field = lambda s: F.get_json_object("features_snapshot", f"$.{s}")
+    pairs = F.array(*[F.struct(F.lit(s).alias("segment_key"), field(s).alias("segment")) for s in segments])
+    rows = scored.select("residual", F.inline(pairs))
+    found = rows.groupBy("segment_key", "segment").agg(mean(F.abs("residual")).alias("mae"), F.count(F.lit(1)).alias("n"))
+    return found.orderBy("segment_key", "segment")
+
+
 def scoring_coverage(predictions: DataFrame, deliveries: DataFrame) -> DataFrame:
     """Predictions per hundred realtime deliveries, 0 when there are none. A
     delivery scored twice counts twice, so more than 100 is possible."""

@@ -41,12 +41,16 @@ def features_snapshot(names: list[str] = training.FEATURES) -> Column:
 
 
 def score_batch(model, serving: DataFrame, scored_at: Column) -> DataFrame:
-    """One prediction row per serving row."""
+    """One prediction row per serving row. Its id follows from delivery, model
+    and time, so scoring again gives the same ids."""
+    scored_at = scored_at.cast("timestamp_ntz")
+    names = [F.lit(training.MODEL_NAME), F.lit(training.MODEL_VERSION)]
     return training.predict(model, serving).select(
+        F.xxhash64("delivery_id", *names, scored_at.cast("string")).alias("prediction_id"),
         "delivery_id",
         F.lit(training.MODEL_NAME).alias("model_name"),
         F.lit(training.MODEL_VERSION).alias("model_version"),
         "predicted_eta_min",
         features_snapshot().alias("features_snapshot"),
-        scored_at.cast("timestamp_ntz").alias("scored_at"),
+        scored_at.alias("scored_at"),
     )

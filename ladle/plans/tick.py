@@ -27,6 +27,7 @@ _BATCH_LOG = T.StructType(
 _FEATURES = T.StructType([*FEATURE_SNAPSHOT, T.StructField("batch_id", T.StringType())])
 _PREDICTION = T.StructType(
     [
+        T.StructField("prediction_id", T.LongType()),
         T.StructField("delivery_id", T.LongType()),
         T.StructField("model_name", T.StringType()),
         T.StructField("model_version", T.StringType()),
@@ -65,8 +66,36 @@ class Warehouse:
     def predictions(self) -> DataFrame:
         return tables.read_table(self.spark, self.path("predictions"), _PREDICTION)
 
+    def recover(self) -> None:
+        """Finish what a prune that stopped midway had begun."""
+        for name in ("predictions", "deliveries"):
+            tables.finish_swaps(self.spark, self.path(f"_staged/{name}"), self.path(name))
+
+    def _online_versions(self) -> list[int]:
+        """Complete versions of the online store, oldest first."""
+        found = tables.partitions(self.spark, self.path("online"), "version")
+        return sorted(int(v) for v in found if tables.exists(self.spark, self.path(f"online/version={v}/_SUCCESS")))
+
+    def online_rows(self) -> DataFrame:
+        """The newest feature row of every key ever written; pruning history
+        does not touch it."""
+        versions = self._online_versions()
+        if not versions:
+            return self.spark.createDataFrame([], FEATURE_SNAPSHOT)
+        return self.spark.read.schema(FEATURE_SNAPSHOT).parquet(self.path(f"online/version={versions[-1]}"))
+
     def online(self) -> DataFrame:
-        return store.online_latest(self.feature_values().drop("batch_id"))
+        return store.online_latest(self.online_rows())
+
+    def upsert_online(self, values: DataFrame) -> None:
+        """Merge new values by key into a new version, then drop older ones.
+        A version counts once it is complete, so a stop in between leaves the
+        one before in place."""
+        versions = self._online_versions()
+        merged = store.newest_rows(self.online_rows().unionByName(values.select(*FEATURE_SNAPSHOT.names)))
+        merged.write.mode("overwrite").parquet(self.path(f"online/version={max(versions, default=0) + 1}"))
+        for version in versions:
+            tables.delete(self.spark, self.path(f"online/version={version}"))
 
     def append_deliveries(self, rows: DataFrame, batch_id: str) -> None:
         month = F.date_format("order_ts", "yyyy-MM")
@@ -119,6 +148,7 @@ def prune_tables(house: Warehouse, as_of, days: int) -> None:
     which of them have expired.
     """
     spark = house.spark
+    house.recover()
     edge = as_of - dt.timedelta(days=days)
     cutoff, month = F.lit(edge).cast("timestamp_ntz"), edge.strftime("%Y-%m")
     log = house.batch_log().filter(F.col("first_ts") < cutoff)
@@ -157,6 +187,7 @@ def run_tick(house: Warehouse, batch: DataFrame, batch_id: str, zones, merchants
     costs the tasks of one stage and a failed tick is simply run again.
     """
     spark = house.spark
+    house.recover()
     landed = house.path(f"landed/{batch_id}")
     batch.write.mode("overwrite").parquet(landed)
     batch = spark.read.schema(batch.schema).parquet(landed)
@@ -184,6 +215,7 @@ def run_tick(house: Warehouse, batch: DataFrame, batch_id: str, zones, merchants
         written = house.feature_values().filter(F.col("batch_id") == batch_id).drop("batch_id")
         known = house.feature_snapshots().filter((F.col("batch_id") != batch_id) & (F.col("computed_at") == at))
         tables.append_batch(store.new_snapshots(store.snapshot_rows(written), known), house.path("feature_snapshots"), batch_id)
+        house.upsert_online(written)
         stages.append(("features", written))
         if model is not None:
             chosen = sampling.scoring_sample(added, score_limit)

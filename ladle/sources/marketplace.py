@@ -50,18 +50,6 @@ def _thousandths(amount: str) -> Column:
     return (F.expr(f"CAST({amount} AS DECIMAL(10,0))") * F.lit(Decimal("0.001"))).cast("decimal(6,3)")
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Deal a table out by key when it is so small that one task would read
-    all of it and do all the work per row. A table of more than one file split
-    is read as it lies, without a shuffle."""
-    spark = df.sparkSession
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    split = int(spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(
-        spark.conf.get("spark.sql.files.maxPartitionBytes")
-    ))
-    return df if size > split else df.repartition(spark.sparkContext.defaultParallelism, key)
-
-
 def view(build):
     """Keep the plan of a view, so a query that uses it again builds it once."""
 
@@ -87,7 +75,7 @@ class Marketplace:
 
     @view
     def orders(self) -> DataFrame:
-        return spread(self.table("orders"), "o_orderkey")
+        return self.table("orders")
 
     def stream(self, name: str, files_per_batch: int = 1000) -> DataFrame:
         """The same table read as a stream of files. The bracket makes the
@@ -333,12 +321,12 @@ class Marketplace:
             )
         )
 
-    def month_starts(self, months: int = 12) -> Column:
-        """The first days of the last months of the data, as one array value."""
+    def month_starts(self) -> Column:
+        """The first days of all months of the data, newest first, as one array value."""
         return scalar(
             self.deliveries(),
             F.expr(
-                f"transform(sequence(0, {months - 1}),"
+                "transform(sequence(0, CAST(months_between(trunc(max(order_ts), 'MM'), trunc(min(order_ts), 'MM')) AS INT)),"
                 " k -> CAST(add_months(trunc(max(order_ts), 'MM'), -k) AS TIMESTAMP_NTZ))"
             ),
         )

@@ -46,11 +46,18 @@ def publish(messages: DataFrame, sink: str, options: dict[str, str]) -> None:
 
 def append_batch(rows: DataFrame, path: str, batch_id: str, by: list[str] | None = None) -> None:
     """Add a batch to a table. The batch id is a partition and partitions are
-    overwritten one by one, so writing a batch again replaces it. Rows are
-    rebalanced by partition first: few files per folder, and a folder that
+    what the batch had before is removed first, so writing a batch again
+    replaces it, also by fewer partitions or none; ``rows`` must not read the
+    batch itself. Rows are rebalanced by partition first: few files per folder, and a folder that
     takes most of the rows is still written by many tasks."""
+    spark = rows.sparkSession
     if by:
         rows = rows.hint("rebalance", *[F.col(c) for c in by])
+        # Folders that an earlier write of this batch filled and this one may not touch.
+        for value in partitions(spark, path, by[0]):
+            delete(spark, f"{path}/{by[0]}={value}/batch_id={batch_id}")
+    else:
+        delete(spark, f"{path}/batch_id={batch_id}")
     rows.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite").option(
         "partitionOverwriteMode", "dynamic"
     ).partitionBy(*(by or []), "batch_id").parquet(path)
@@ -89,13 +96,31 @@ def read_table(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
-def drop_partitions(spark: SparkSession, path: str, column: str, before: str) -> int:
-    """Remove the partition folders of a table whose value sorts before a bound."""
+def partitions(spark: SparkSession, path: str, column: str) -> list[str]:
+    """The values of a table's outermost partition column."""
     at, fs = _files(spark, path)
     if not fs.exists(at):
-        return 0
+        return []
     names = [status.getPath().getName() for status in fs.listStatus(at)]
-    old = [n for n in names if n.startswith(f"{column}=") and n.partition("=")[2] < before]
-    for name in old:
-        delete(spark, f"{path}/{name}")
+    return [n.partition("=")[2] for n in names if n.startswith(f"{column}=")]
+
+
+def finish_swaps(spark: SparkSession, staged: str, path: str) -> None:
+    """Carry on where a swap of staged folders stopped: a complete folder
+    whose place is empty moves there. Folders whose place is still taken were
+    not begun with; their rows are staged anew by whoever runs again."""
+    at, fs = _files(spark, staged)
+    if not exists(spark, f"{staged}/_SUCCESS"):
+        return
+    for status in fs.listStatus(at):
+        name = status.getPath().getName()
+        if "=" in name and not exists(spark, f"{path}/{name}"):
+            swap(spark, f"{staged}/{name}", f"{path}/{name}")
+
+
+def drop_partitions(spark: SparkSession, path: str, column: str, before: str) -> int:
+    """Remove the partition folders of a table whose value sorts before a bound."""
+    old = [v for v in partitions(spark, path, column) if v < before]
+    for value in old:
+        delete(spark, f"{path}/{column}={value}")
     return len(old)

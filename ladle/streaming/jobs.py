@@ -34,6 +34,23 @@ def _read(spark: SparkSession, path: str, like: DataFrame) -> DataFrame:
     return tables.read_table(spark, path, like.schema)
 
 
+def _new_parts(spark: SparkSession, target: str, like: DataFrame) -> DataFrame:
+    """The parts that no run has returned yet, and a note that this run has.
+
+    Parts are numbered by micro-batch, and numbers go on from run to run. A run
+    that stops before its note leaves its parts to the next one.
+    """
+    notes = f"{target}-returned"
+    seen = _read(spark, notes, spark.createDataFrame([], "part long")).agg(F.max("part")).first()[0]
+    numbers = tables.partitions(spark, target, "part")
+    last = max(map(int, numbers), default=-1)
+    parts = _read(spark, target, like)
+    fresh = parts.filter((F.col("part") > F.lit(-1 if seen is None else seen)) & (F.col("part") <= last))
+    if numbers and last != seen:
+        spark.createDataFrame([(last,)], "part long").write.mode("append").parquet(notes)
+    return fresh
+
+
 def ingest(stream: DataFrame, target: str, checkpoint: str) -> DataFrame:
     """Append everything new to a Parquet table, exactly once."""
     query = (
@@ -67,7 +84,8 @@ def tick_metrics(stream: DataFrame, target: str, checkpoint: str) -> DataFrame:
         batches.metric_parts(batch).write.mode("overwrite").parquet(f"{target}/part={number}")
 
     drain(stream, each, checkpoint)
-    return batches.merge_parts(_read(stream.sparkSession, target, batches.metric_parts(_static(stream))))
+    like = batches.metric_parts(_static(stream)).withColumn("part", F.lit(0).cast("long"))
+    return batches.merge_parts(_new_parts(stream.sparkSession, target, like).drop("part"))
 
 
 def _static(stream: DataFrame) -> DataFrame:
@@ -78,13 +96,17 @@ def _static(stream: DataFrame) -> DataFrame:
 def running_totals(stream: DataFrame, target: str, checkpoint: str) -> DataFrame:
     """Orders seen so far per zone and overall, kept as streaming state over
     all runs that share the checkpoint. The state has one row per zone."""
-    counts = stream.groupBy("zone_id").agg(F.count(F.lit(1)).alias("orders_total"))
+
+    def counts_of(rows: DataFrame) -> DataFrame:
+        return rows.groupBy("zone_id").agg(F.count(F.lit(1)).alias("orders_total"))
+
+    counts = counts_of(stream)
 
     def each(state: DataFrame, number: int) -> None:
         state.write.mode("overwrite").parquet(f"{target}/batch={number}")
 
     drain(counts, each, checkpoint, mode="complete")
-    states = stream.sparkSession.read.parquet(target)
+    states = _read(stream.sparkSession, target, counts_of(_static(stream)).withColumn("batch", F.lit(0).cast("long")))
     last = states.filter(F.col("batch") == states.agg(F.max("batch")).scalar())
     zones = last.select(F.concat(F.lit("zone:"), F.col("zone_id").cast("string")).alias("scope"), "orders_total")
     overall = last.agg(F.coalesce(F.sum("orders_total"), F.lit(0)).alias("orders_total"))
@@ -105,9 +127,8 @@ def gate_and_clean(stream: DataFrame, target: str, checkpoint: str, batch_id: st
 
     drain(stream, each, checkpoint)
     judged = contract.contract_gate(_static(stream))
-    written = _read(
-        stream.sparkSession, target, judged.withColumns({"outcome": F.lit(""), "part": F.lit(0)})
-    ).drop("part")
+    like = judged.withColumns({"outcome": F.lit(""), "part": F.lit(0).cast("long")})
+    written = _new_parts(stream.sparkSession, target, like).drop("part")
     passing = written.filter(F.col("outcome") == "passing").drop(contract.REASONS, "outcome")
     failing = written.filter(F.col("outcome") == "failing").drop("outcome")
     return cleaning.preprocess_rows(passing), contract.quarantine_rows(failing, batch_id)
@@ -116,19 +137,23 @@ def gate_and_clean(stream: DataFrame, target: str, checkpoint: str, batch_id: st
 def weekly_ticks(events: DataFrame, target: str, checkpoint: str, mode: str = "complete", lateness: str = "7 days") -> DataFrame:
     """Events per type and tumbling week. ``complete`` keeps every week and
     drops nothing; ``append`` closes a week once the watermark has passed it."""
-    # Watermarks are kept on instants; the session time zone is UTC.
-    dated = events.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", lateness)
-    counted = batches.weekly_ticks(dated, "ts", ["event_type"]).agg(
-        F.count(F.lit(1)).alias("events")
-    )
+
+    # Watermarks are kept on instants.
+    def counted(rows: DataFrame) -> DataFrame:
+        dated = rows.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", lateness)
+        return batches.weekly_ticks(dated, "ts", ["event_type"]).agg(F.count(F.lit(1)).alias("events"))
+
+    def weeks(batch: DataFrame) -> DataFrame:
+        return batch.select(
+            F.col("tick.start").alias("week_start"), F.col("tick.end").alias("week_end"), "event_type", "events"
+        )
 
     def each(batch: DataFrame, number: int) -> None:
-        batch.select(F.col("tick.start").alias("week_start"), F.col("tick.end").alias("week_end"), "event_type", "events").write.mode(
-            "overwrite"
-        ).parquet(f"{target}/batch={number}")
+        weeks(batch).write.mode("overwrite").parquet(f"{target}/batch={number}")
 
-    drain(counted, each, checkpoint, mode=mode)
-    written = events.sparkSession.read.parquet(target)
+    drain(counted(events), each, checkpoint, mode=mode)
+    like = weeks(counted(_static(events))).withColumn("batch", F.lit(0).cast("long"))
+    written = _read(events.sparkSession, target, like)
     if mode == "complete":
         written = written.filter(F.col("batch") == written.agg(F.max("batch")).scalar())
     return written.drop("batch")

@@ -155,7 +155,8 @@ FROM {as_of} a JOIN deliveries d ON d.order_ts >= a.as_of - INTERVAL 30 DAY AND
 """
 VIEWS["latest_order"] = "SELECT max(order_ts) AS as_of FROM deliveries"
 VIEWS["month_starts"] = """
-SELECT CAST(date_trunc('month', (SELECT max(order_ts) FROM deliveries)) - to_months(CAST(range AS INT)) AS TIMESTAMP) AS as_of FROM range(0, 12)
+SELECT CAST(date_trunc('month', (SELECT max(order_ts) FROM deliveries)) - to_months(CAST(range AS INT)) AS TIMESTAMP) AS as_of
+FROM range(0, (SELECT date_diff('month', min(order_ts), max(order_ts)) + 1 FROM deliveries))
 """
 VIEWS["features_now"] = "SELECT * FROM (" + _LONG.format(as_of="latest_order") + ") f WHERE feature_value IS NOT NULL"
 VIEWS["feature_history"] = "SELECT * FROM (" + _LONG.format(as_of="month_starts") + ") f WHERE feature_value IS NOT NULL"
