@@ -70,19 +70,18 @@ def predictions_with_actuals(predictions: DataFrame, deliveries: DataFrame) -> D
 
 
 def referential_audit(fact: DataFrame, parents: dict[str, DataFrame]) -> DataFrame:
-    """Rows without a parent, per foreign key. Each key column is counted
-    first, so a parent is joined with distinct keys and hot keys cost nothing."""
-    out = None
+    """Rows without a parent, per foreign key, from one scan of the fact. Key
+    values are counted first, so hot keys cost nothing; parents come in as
+    values with no rows, so a value without a parent is one that only the fact
+    has."""
+    pair = lambda key: F.struct(F.lit(key).alias("foreign_key"), F.col(key).cast("long").alias("value"))
+    used = fact.select(F.inline(F.array(*map(pair, parents)))).filter("value IS NOT NULL")
+    seen = used.groupBy("foreign_key", "value").agg(F.count(F.lit(1)).alias("n")).withColumn("known", F.lit(False))
     for key, parent in parents.items():
-        counted = fact.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("n"))
-        orphans = counted.join(parent.select(key).distinct(), key, "left_anti")
-        row = orphans.agg(
-            F.coalesce(F.sum("n"), F.lit(0)).alias("orphan_rows"), F.count(F.lit(1)).alias("orphan_keys")
-        ).select(F.lit(key).alias("foreign_key"), "orphan_rows", "orphan_keys")
-        out = row if out is None else out.unionByName(row)
-    return out
-
-
-def duplicate_keys(table: DataFrame, key: list[str]) -> DataFrame:
-    """Keys that occur more than once, with their number of rows."""
-    return table.groupBy(*key).agg(F.count(F.lit(1)).alias("rows")).filter(F.col("rows") > 1)
+        known = parent.select(pair(key).alias("p")).select("p.*").withColumns({"n": F.lit(0).cast("long"), "known": F.lit(True)})
+        seen = seen.unionByName(known)
+    values = seen.groupBy("foreign_key", "value").agg(F.sum("n").alias("n"), F.max("known").alias("known"))
+    return values.groupBy("foreign_key").agg(
+        F.coalesce(F.sum(F.when(~F.col("known"), F.col("n"))), F.lit(0)).alias("orphan_rows"),
+        F.count_if(~F.col("known")).alias("orphan_keys"),
+    )
