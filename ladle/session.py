@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
 
+from pyarrow import fs
 from pyspark.sql import SparkSession
 
 # Sizes are per task, so they hold on 8 local threads and on 1,000 executors:
@@ -47,9 +49,23 @@ def scratch_root(spark: SparkSession) -> str:
     return root
 
 
+_USED: list[str] = []
+
+
+def _remove_used() -> None:
+    for path in _USED:
+        store, place = fs.FileSystem.from_uri(path) if ":/" in path else (fs.LocalFileSystem(), path)
+        if store.get_file_info(place).type == fs.FileType.Directory:
+            store.delete_dir(place)
+
+
 def scratch(spark: SparkSession, name: str) -> str:
-    """A fresh folder below the shared root."""
-    return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+    """A fresh folder below the shared root, for tables that a query lands on
+    its way. It is removed when the driver ends."""
+    if not _USED:
+        atexit.register(_remove_used)
+    _USED.append(f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex[:12]}")
+    return _USED[-1]
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
