@@ -895,11 +895,19 @@ def pipeline_tick(m):
     return tick.run_tick(house, batch, "tick-1", m.zones(), m.merchants(), m.weather(), model)
 
 
+def _zone_days(m: Marketplace) -> DataFrame:
+    users = _members(m).filter(F.col("kind") == "user")
+    pool = intervals.active_pool_daily(users, *_span(m)).select("zone_id", "day", "active_weight")
+    return demand.zone_day_demand(pool, m.zones(), m.weather(), m.external_events(), _span(m))
+
+
 @query
 def expected_demand(m):
-    deliveries = m.deliveries()
-    users = _members(m).filter(F.col("kind") == "user")
-    pool = intervals.active_pool_daily(users, *_span(m))
-    pool = pool.select("zone_id", "day", "active_weight")
-    zone_days = demand.zone_day_demand(pool, m.zones(), m.weather(), m.external_events(), _span(m))
-    return demand.demand_against_actual(demand.expected_per_day(zone_days), deliveries, m.zones())
+    """Per zone and day, beside the actual orders."""
+    return demand.demand_against_actual(demand.expected_per_day(_zone_days(m)), m.deliveries(), m.zones())
+
+
+@query
+def expected_demand_hourly(m):
+    """Per zone, day and hour."""
+    return demand.expected_demand(_zone_days(m))

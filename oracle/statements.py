@@ -389,14 +389,18 @@ B["pipeline_tick"] = """WITH landed AS (SELECT j.* FROM judged j JOIN deliveries
   UNION ALL SELECT 'kept', count(*) FROM fact WHERE order_ts >= (SELECT t FROM newest) - INTERVAL 730 DAY"""
 _DEMAND_DAYS = "(SELECT DISTINCT z.state, p.day, 0 AS orders FROM pool p JOIN zones z ON z.zone_id = p.zone_id)"
 _USER_POOL = _pool("kind = 'user'")
-B["expected_demand"] = f"""WITH pool AS (SELECT * FROM {_USER_POOL} x), mult AS (SELECT * FROM {_MULT.format(days=_DEMAND_DAYS)} y),
+_DEMAND_BASE = f"""WITH pool AS (SELECT * FROM {_USER_POOL} x), mult AS (SELECT * FROM {_MULT.format(days=_DEMAND_DAYS)} y),
   base AS (SELECT p.zone_id, p.day, p.active_weight, coalesce({_DEMAND}, CAST(1 AS DOUBLE)) AS weather_demand, e.event_demand
     FROM pool p JOIN zones z ON z.zone_id = p.zone_id LEFT JOIN (SELECT zone_id, date, condition AS weather_condition, is_flash_flood, is_heatwave FROM weather) w ON w.zone_id = p.zone_id AND w.date = p.day
-    JOIN mult e ON e.state = z.state AND e.day = p.day),
+    JOIN mult e ON e.state = z.state AND e.day = p.day)"""
+B["expected_demand"] = f"""{_DEMAND_BASE},
   daily AS (SELECT zone_id, day, CAST(0.0129 AS DOUBLE) * active_weight * (CAST(list_sum({_EXACT_WEIGHTS}) AS DOUBLE) * {_DAY_FACTORS.format(d='day')})
     * weather_demand * event_demand AS expected_orders FROM base),
   actual AS (SELECT zone_id, CAST(local_ts AS DATE) AS day, count(*) AS n FROM {_LOCAL_ROWS} l GROUP BY 1, 2)
   SELECT d.zone_id, {day('d.day')} AS day, d.expected_orders, coalesce(a.n, 0) AS actual_orders FROM daily d LEFT JOIN actual a ON a.zone_id = d.zone_id AND a.day = d.day"""
+B["expected_demand_hourly"] = f"""{_DEMAND_BASE}
+  SELECT zone_id, {day('day')} AS day, CAST(h.range AS INTEGER) AS hour, CAST(0.0129 AS DOUBLE) * active_weight * ({_hour_weight('day', 'h.range')})
+    * weather_demand * event_demand AS expected_orders FROM base, range(24) h"""
 
 
 def statement(name: str) -> str:
