@@ -77,15 +77,25 @@ def _scored(m: Marketplace) -> DataFrame:
     return joins.predictions_with_actuals(m.predictions(), m.deliveries())
 
 
-def _landed(m: Marketplace) -> DataFrame:
-    """The raw batch as a table. Jobs that read a batch more than once land it
-    first, so that it is derived once and a lost task re-reads files."""
+def _written(m: Marketplace, batch: DataFrame) -> DataFrame:
+    """Rows as a table. Jobs that read a batch more than once land it first,
+    so that it is derived once and a lost task re-reads files."""
     path = session.scratch(m.spark, "landed")
-    batch = m.raw_batch()
     batch.write.parquet(path)
     return m.spark.read.schema(batch.schema).parquet(path)
 
 
+def _landed(m: Marketplace) -> DataFrame:
+    """The raw batch."""
+    return _written(m, m.raw_batch())
+
+
+def _unique(m: Marketplace) -> DataFrame:
+    """The passing rows without copies: medians are taken from them and rows
+    are filled and numbered, so they are landed instead of the raw batch."""
+    return _written(m, cleaning.dedup_first(contract.gate_split(m.raw_batch())[0]))
+
+
 def _passing(m: Marketplace) -> DataFrame:
     return contract.gate_split(_landed(m))[0]
 
@@ -148,7 +158,7 @@ def stream_publish(m):
 @query
 def fact_append(m):
     start = scalar(m.deliveries(), F.max("delivery_id"))
-    rows = cleaning.preprocess_rows(_passing(m))
+    rows = cleaning.fill_and_clip(_unique(m))
     return numbering.dense_number(rows, "ingest_seq", "delivery_id", start).select("delivery_id", "ingest_seq")
 
 
@@ -561,9 +571,9 @@ def scoring_sample(m):
 
 @query
 def gate_split(m):
-    passing, failing = contract.gate_split(_landed(m))
-    ok = passing.select("ingest_seq", F.lit("passing").alias("outcome"))
-    return ok.unionByName(failing.select("ingest_seq", F.lit("quarantined").alias("outcome")))
+    """Which side of the split each row is on, in one pass."""
+    side = F.when(contract.fails_any(), "quarantined").otherwise("passing")
+    return m.raw_batch().select("ingest_seq", side.alias("outcome"))
 
 
 # -- scalar functions -----------------------------------------------------------------
@@ -873,7 +883,7 @@ def contract_gate(m):
 
 @query
 def preprocess(m):
-    return cleaning.type_coercion(cleaning.preprocess_rows(_passing(m)))
+    return cleaning.type_coercion(cleaning.fill_and_clip(_unique(m)))
 
 
 @query

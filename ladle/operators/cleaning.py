@@ -74,9 +74,14 @@ def clip_outliers(batch: DataFrame) -> DataFrame:
     return batch.withColumns({c: clipped(c).cast(kinds[c]) for c in CLIP_BOUNDS})
 
 
+def fill_and_clip(unique: DataFrame) -> DataFrame:
+    """Impute by the medians of the rows, then clip."""
+    return clip_outliers(median_impute(unique))
+
+
 def preprocess_rows(batch: DataFrame) -> DataFrame:
     """Dedup, then impute (medians of the deduplicated rows), then clip."""
-    return clip_outliers(median_impute(dedup_first(batch)))
+    return fill_and_clip(dedup_first(batch))
 
 
 def cleaning_stats(batch: DataFrame) -> DataFrame:
