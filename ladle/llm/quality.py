@@ -5,8 +5,8 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -22,7 +22,7 @@ KEEP_FROM = 0.5
 BITS = 18
 CHAR_SIZES = (2, 3, 4)
 # At most so many labelled rows of each class are trained on.
-ROWS_PER_CLASS = 2000
+ROWS_PER_CLASS = 1000
 WORDS = 200_000
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
@@ -151,17 +151,42 @@ def _feature_rows(sample: DataFrame) -> DataFrame:
     return per_batch(rows, start, "doc_id long, good int, places array<int>, shares array<float>")
 
 
-def _descend(rows: pd.DataFrame, rounds: int = 150, rate: float = 2.0, keep: float = 1e-6) -> tuple[np.ndarray, float]:
-    """Logistic regression with both classes weighing the same, by gradients with a rate per weight."""
-    good = rows["good"].to_numpy(np.float64)
-    doc = np.repeat(np.arange(len(rows)), rows["places"].str.len())
-    places, shares = np.concatenate(rows["places"].to_list()), np.concatenate(rows["shares"].to_list())
-    importance = np.where(good == 1, 0.5 / max(good.sum(), 1), 0.5 / max((1 - good).sum(), 1))
+@dataclass
+class Sparse:
+    """Rows of (place, share) pairs, one after the other."""
+
+    good: np.ndarray
+    lengths: np.ndarray
+    places: np.ndarray
+    shares: np.ndarray
+
+    @staticmethod
+    def of(table: pa.Table) -> Sparse:
+        flat = lambda name: table.column(name).combine_chunks().flatten().to_numpy()
+        lengths = pa.compute.list_value_length(table.column("places")).to_numpy()
+        return Sparse(table.column("good").to_numpy().astype(np.float64), lengths, flat("places"), flat("shares"))
+
+    def sums(self, weights: np.ndarray) -> np.ndarray:
+        """Each row's shares times weights. No row is empty: every text in it has a byte."""
+        products = weights[self.places]
+        products *= self.shares
+        return np.add.reduceat(products, np.cumsum(self.lengths) - self.lengths, dtype=np.float64)
+
+    def importance(self) -> np.ndarray:
+        """Both classes weigh the same."""
+        return np.where(self.good == 1, 0.5 / max(self.good.sum(), 1), 0.5 / max((1 - self.good).sum(), 1))
+
+
+def _descend(rows: Sparse, rounds: int = 150, rate: float = 2.0, keep: float = 1e-6) -> tuple[np.ndarray, float]:
+    """Logistic regression by gradients with a rate per weight."""
+    importance = rows.importance()
     weights, bias, past, past_bias = np.zeros(2 << BITS), 0.0, np.full(2 << BITS, 1e-12), 1e-12
     for _ in range(rounds):
-        z = np.bincount(doc, weights[places] * shares, len(rows)) + bias
-        error = (1 / (1 + np.exp(-np.clip(z, -50, 50))) - good) * importance
-        gradient = np.bincount(places, error[doc] * shares, 2 << BITS) + keep * weights
+        z = rows.sums(weights) + bias
+        error = (1 / (1 + np.exp(-np.clip(z, -50, 50))) - rows.good) * importance
+        steps = np.repeat(error.astype(np.float32), rows.lengths)
+        steps *= rows.shares
+        gradient = np.bincount(rows.places, steps, 2 << BITS) + keep * weights
         past += gradient**2
         weights -= rate * gradient / np.sqrt(past)
         past_bias += error.sum() ** 2
@@ -176,17 +201,16 @@ def train(docs: DataFrame, labels: DataFrame, rows_per_class: int = ROWS_PER_CLA
     the model's logit) maximises the held-out likelihood, both classes weighing the same. Without two documents of either
     class in both parts there is no model.
     """
-    rows = _feature_rows(labelled_sample(docs, labels, rows_per_class)).toPandas().sort_values("doc_id", ignore_index=True)
-    held = np.array([xxhash.xxh32_intdigest(str(i)) % 4 == 0 for i in rows["doc_id"]], bool)
-    fit, check = rows[~held].reset_index(drop=True), rows[held].reset_index(drop=True)
-    if min(part["good"].value_counts().reindex([0, 1], fill_value=0).min() for part in (fit, check)) < 2:
+    rows = _feature_rows(labelled_sample(docs, labels, rows_per_class).filter("text <> ''")).toArrow().sort_by("doc_id")
+    held = pa.array([xxhash.xxh32_intdigest(str(i)) % 4 == 0 for i in rows.column("doc_id").to_pylist()], pa.bool_())
+    parts = [rows.filter(pa.compute.invert(held)), rows.filter(held)]
+    if any(part.filter(pa.compute.equal(part.column("good"), v)).num_rows < 2 for part in parts for v in (0, 1)):
         return None
-    weights, bias = _descend(fit)
-    z = np.array([bias + float(weights[p] @ s) for p, s in zip(check["places"], check["shares"])])
-    good = check["good"].to_numpy(np.float64)
+    weights, bias = _descend(Sparse.of(parts[0]))
+    check = Sparse.of(parts[1])
+    z, good, importance = check.sums(weights) + bias, check.good, check.importance()
     # Platt's targets keep a perfectly split sample from an infinite slope.
     target = np.where(good == 1, (good.sum() + 1) / (good.sum() + 2), 1 / ((1 - good).sum() + 2))
-    importance = np.where(good == 1, 0.5 / good.sum(), 0.5 / (1 - good).sum())
     slope, shift = 1.0, 0.0
     for _ in range(50):  # Newton's method
         p = 1 / (1 + np.exp(-np.clip(slope * z + shift, -50, 50)))
