@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from functools import cache
 
@@ -21,16 +22,17 @@ CAPACITY = 2048
 END_ID = 0
 # About so many pieces are packed together: more fill sequences better, fewer spread over more tasks.
 PIECES_PER_PACK = 20_000
-WORDS = 150_000
+WORDS = 300_000
 
 
 class Tokens:
     """Ids of whole texts as little-endian 32-bit bytes, word by word.
 
     The vocabulary's split pattern matches from a single space on, so where every space of a text is followed by something
-    other than white space, its words (each with the space before it) are split as inside the text. Words are encoded by the
-    library in one call for all that are new, and remembered. A text with other spaces is encoded as a whole. Strings of
-    special tokens are ordinary text.
+    other than white space, its words (each with the space before it) are split as inside the text, and as inside any other
+    such text. All words of a text that are new are encoded by the library as one such text, whose ids fall to the words by
+    their lengths in bytes; they are remembered. A text with other spaces is encoded as a whole. Strings of special tokens
+    are ordinary text.
     """
 
     def __init__(self, vocabulary: str):
@@ -38,20 +40,33 @@ class Tokens:
 
         self.library = Tokenizer.from_str(vocabulary)
         self.library.encode_special_tokens = True
-        self.words = Memo(lambda w: self.encode([w])[0], WORDS)
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        found = self.library.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, "<u4").tobytes() for e in found]
+        names = self.library.get_vocab()
+        self.lengths = np.zeros(max(names.values()) + 1, np.int64)
+        self.lengths[list(names.values())] = [len(name) for name in names]  # a byte is a character of the name
+        self.open_space = re.compile(r" (?:\s|\Z)")
+        # Words by what follows their space.
+        self.words = Memo(lambda w: self.encode(f" {w}"), WORDS)
+
+    def encode(self, text: str) -> bytes:
+        return np.array(self.library.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4").tobytes()
+
+    def learn(self, words: list[str]) -> None:
+        text = " " + " ".join(words)
+        ids = np.array(self.library.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
+        ends = np.cumsum([1 + len(w.encode()) for w in words])
+        cuts = (4 * np.searchsorted(np.cumsum(self.lengths[ids]), ends, side="right")).tolist()
+        data = ids.tobytes()
+        self.words.update((w, data[a:b]) for w, a, b in zip(words, [0, *cuts], cuts))
 
     def ids(self, text: str) -> bytes:
-        first, *rest = text.split(" ")
-        if any(not w or w[0].isspace() for w in rest):
-            return self.encode([text])[0]
-        words = [first] * bool(first) + [f" {w}" for w in rest]
-        new = [w for w in dict.fromkeys(words) if w not in self.words and w not in self.words.old]
-        self.words.update(zip(new, self.encode(new)))
-        joined = b"".join([self.words[w] for w in words])
+        if self.open_space.search(text):
+            return self.encode(text)
+        first, *words = text.split(" ")
+        known, before = self.words, self.words.old
+        new = [w for w in set(words) if w not in known and w not in before]
+        if len(new) > 1:
+            self.learn(new)
+        joined = (self.encode(first) if first else b"") + b"".join(map(self.words.__getitem__, words))
         self.words.trim()
         return joined
 
