@@ -287,8 +287,10 @@ def write_archive(rows: DataFrame, folder: str, **options: str) -> None:
 
 
 def read_archive(spark: SparkSession, folder: str, **options: str) -> DataFrame:
+    """The records of an archive. Every scan carries a filter, which all records pass (a record has a type): a scan without
+    any would be planned with the filters of the scan before it."""
     register(spark)
-    return spark.read.format("warc").options(**options).load(folder)
+    return spark.read.format("warc").options(**options).load(folder).filter("record_type IS NOT NULL")
 
 
 def archived_pages(pages: DataFrame, folder: str | None = None) -> DataFrame:
