@@ -2,27 +2,17 @@
 
 from __future__ import annotations
 
-import atexit
-
-from pyarrow import fs as pafs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ladle.session import ensure_checkpoint_dir, scratch
 
 
-def _remove(path: str) -> None:
-    store, place = pafs.FileSystem.from_uri(path) if ":/" in path else (pafs.LocalFileSystem(), path)
-    if store.get_file_info(place).type == pafs.FileType.Directory:
-        store.delete_dir(place)
-
-
 def landed(df: DataFrame, name: str) -> DataFrame:
     """The same rows as a Parquet table in the shared folder: computed once, compressed, and there for whoever reads them
     after an executor was lost. The table is removed when the driver ends."""
     path = scratch(df.sparkSession, f"llm-{name}")
     df.write.parquet(path)
-    atexit.register(_remove, path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
