@@ -21,8 +21,8 @@ WORDS_PER_SHINGLE = 5
 SIMILARITY = Fraction(4, 5)
 # A prefix is lengthened for at most so many shared tokens. Verifying a candidate costs about so many list entries.
 MOST_SHARED, VERIFY_COST = 8, 8
-# Tokens from the lowest quarter of the hash range are counted and come first in the global order.
-REGION = np.uint64(1 << 62)
+# Tokens from the lowest two fifths of the hash range are counted and come first in the global order.
+REGION = np.uint64(int(0.4 * 2**64))
 # Bits of the filters that keep rows without a partner from being shuffled.
 FILTER_BITS = 26
 # So many times each set is compared with a hub of its tokens.
@@ -158,15 +158,20 @@ def _sets(docs: DataFrame) -> DataFrame:
     return _rows(docs, start, "doc_id long, n long, key long, text_hash long")
 
 
-def _tokens(docs: DataFrame) -> DataFrame:
+def _mixed(key: int, doc_id: int | None) -> np.ndarray:
+    """What filters hold of a set's first document."""
+    return np.array([key ^ (doc_id or 0)], np.int64).view(np.uint64)
+
+
+def _tokens(docs: DataFrame, firsts) -> DataFrame:
     """token: every token that is posted."""
 
     def start():
-        shingles, once = Shingler(), _Once()
+        shingles, once, keep = Shingler(), _Once(), firsts.value
 
         def make(doc_id, text):
             tokens = shingles(text)
-            if len(tokens) and once(set_key(tokens)):
+            if len(tokens) and keep.holds(_mixed(key := set_key(tokens), doc_id))[0] and once(key):
                 return [tokens[: posted(tokens)[0]].view(np.int64)]
 
         return make
@@ -174,18 +179,18 @@ def _tokens(docs: DataFrame) -> DataFrame:
     return _rows(docs, start, "token long")
 
 
-def _postings(docs: DataFrame, live) -> DataFrame:
+def _postings(docs: DataFrame, firsts, live) -> DataFrame:
     """token, key, n, place (in hash order), region: of posted tokens, those that ``live`` holds."""
 
     def start():
-        shingles, once, keep = Shingler(), _Once(), live.value
+        shingles, once, keep, tokens_kept = Shingler(), _Once(), firsts.value, live.value
 
         def make(doc_id, text):
             tokens = shingles(text)
-            if not len(tokens) or not once(key := set_key(tokens)):
+            if not len(tokens) or not keep.holds(_mixed(key := set_key(tokens), doc_id))[0] or not once(key):
                 return None
             count, region = posted(tokens)
-            places = np.flatnonzero(keep.holds(tokens[:count]))
+            places = np.flatnonzero(tokens_kept.holds(tokens[:count]))
             n = len(places)
             return [
                 tokens[places].view(np.int64), np.full(n, key, np.int64), np.full(n, len(tokens), np.int32),
@@ -206,8 +211,7 @@ def _token_sets(docs: DataFrame, wanted) -> DataFrame:
         def make(doc_id, text):
             tokens = shingles(text)
             key = set_key(tokens)
-            mixed = np.array([key ^ (doc_id or 0)], np.int64).view(np.uint64)
-            if not len(tokens) or not keep.holds(mixed)[0] or not once((key, doc_id)):
+            if not len(tokens) or not keep.holds(_mixed(key, doc_id))[0] or not once((key, doc_id)):
                 return None
             return [pa.array([doc_id], pa.int64()), np.array([key], np.int64), pa.array([tokens.view(np.int64)], pa.list_(pa.int64()))]
 
@@ -223,8 +227,9 @@ def _length(shared) -> Column:
     return F.least(F.col("n"), F.col("n") - least + shared)
 
 
-def prefixes(docs: DataFrame) -> DataFrame:
-    """token, key, n, need: the prefix of every set, without tokens that no other prefix can hold.
+def prefixes(docs: DataFrame, firsts) -> DataFrame:
+    """token, key, n, need: the prefix of every set, without tokens that no other prefix can hold. ``firsts`` (a broadcast
+    filter of the sets' first documents) spares the work on most copies; what it lets through twice is dropped.
 
     The global order puts tokens of the counted region first, by the number of sets that post them (rarest first, ties by
     hash), then all others by hash. A set's prefix has ``prefix_length(n, need)`` tokens. Among similar sets x and y at
@@ -233,10 +238,10 @@ def prefixes(docs: DataFrame) -> DataFrame:
     most those entries divided by ``need``.
     """
     spark = docs.sparkSession
-    counts = _tokens(docs).groupBy("token").agg(F.count("*").alias("df")).filter("df > 1")
+    counts = _tokens(docs, firsts).groupBy("token").agg(F.count("*").alias("df")).filter("df > 1")
     counts = landed(counts, "tokens")
     live = spark.sparkContext.broadcast(Filter.of(counts, F.col("token")))
-    rows = _postings(docs, live).dropDuplicates(["token", "key"]).join(counts, "token")
+    rows = _postings(docs, firsts, live).join(counts, "token").repartition("key").dropDuplicates(["key", "token"])
     per_set = Window.partitionBy("key")
     counted = F.col("place") < F.col("region")
     ranked = rows.withColumn("nth", F.row_number().over(per_set.orderBy(~counted, "df", "token")))
@@ -257,17 +262,26 @@ def _near(n: Column, m: Column) -> Column:
     return F.least(n, m) * SIMILARITY.denominator >= F.greatest(n, m) * SIMILARITY.numerator
 
 
-def _hub_pairs(entries: DataFrame, seed: int) -> DataFrame:
-    """a, b: each set with the hub it shares most prefix tokens with, outside its component.
+def _with_hubs(entries: DataFrame, seed: int) -> DataFrame:
+    """Entries (token, key, n, need, component) with a hub for each token: its set with the smallest hash of this round.
+    Tokens of one component only are left out, since nothing can be linked there any more.
 
-    A token's hub is its set with the smallest hash of this round. That makes one pair per entry, however many sets a token
-    has. The minima combine before the shuffle and form a table of their own, so a frequent token can be split in the join.
+    The minima combine before the shuffle and form a table of their own, so a frequent token can be split in the join.
     """
-    rank = F.struct(F.xxhash64("key", F.lit(seed)).alias("rank"), "key", "n", "need", "component")
-    hubs = landed(entries.groupBy("token").agg(F.min(rank).alias("hub")), "hubs")
-    within = entries.join(hubs, "token")
-    pairs = within.filter((F.col("component") != F.col("hub.component")) & _near(F.col("n"), F.col("hub.n")))
-    counted = pairs.groupBy(F.col("key").alias("a"), F.col("hub.key").alias("b")).agg(F.count("*").alias("shared"))
+    rank = F.struct(F.xxhash64("key", F.lit(seed)).alias("rank"), "key", "n", "component")
+    tokens = entries.groupBy("token").agg(
+        F.min(rank).alias("hub"), F.min("component").alias("low"), F.max("component").alias("high")
+    )
+    hubs = landed(tokens.filter("low <> high").select("token", "hub"), "hubs")
+    joined = entries.select("token", "key", "n", "need", "component").join(hubs, "token")
+    return joined.withColumns({f"hub_{c}": F.col(f"hub.{c}") for c in ("key", "n", "component")}).drop("hub")
+
+
+def _hub_pairs(entries: DataFrame) -> DataFrame:
+    """a, b: each set with the hub it shares most prefix tokens with, outside its component: one pair per entry at most,
+    however many sets a token has."""
+    pairs = entries.filter((F.col("component") != F.col("hub_component")) & _near(F.col("n"), F.col("hub_n")))
+    counted = pairs.groupBy(F.col("key").alias("a"), F.col("hub_key").alias("b")).agg(F.count("*").alias("shared"))
     return counted.groupBy("a").agg(F.max(F.struct("shared", "b")).alias("most")).select("a", "most.b")
 
 
@@ -277,9 +291,7 @@ def _all_pairs(entries: DataFrame) -> DataFrame:
     Components that meet at a token are paired first; only then are their sets, so no work goes into the pairs within a
     component, however large it is.
     """
-    groups = entries.groupBy("token", "component").agg(F.min("n").alias("low"), F.max("n").alias("high"))
-    several = groups.groupBy("token").agg(F.count("*").alias("groups")).filter("groups > 1").select("token")
-    groups = landed(groups.join(several, "token", "left_semi"), "groups")
+    groups = landed(entries.groupBy("token", "component").agg(F.min("n").alias("low"), F.max("n").alias("high")), "groups")
     left = groups.select("token", F.col("component").alias("c"), F.col("low").alias("low_c"), F.col("high").alias("high_c"))
     right = groups.select("token", F.col("component").alias("d"), F.col("low").alias("low_d"), F.col("high").alias("high_d"))
     s = SIMILARITY
@@ -297,7 +309,9 @@ def _all_pairs(entries: DataFrame) -> DataFrame:
 
 
 def _similar(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs whose sets are similar, by their whole sets."""
+    """The pairs whose sets are similar, by their whole sets. Pairs form a table first: where they are few, as they are
+    after the first round, Spark sees it and leaves the sets where they lie."""
+    pairs = landed(pairs, "pairs")
     first = sets.select(F.col("key").alias("a"), F.col("tokens").alias("tokens_a"))
     second = sets.select(F.col("key").alias("b"), F.col("tokens").alias("tokens_b"))
     both = pairs.join(first, "a").join(second, "b")
@@ -321,30 +335,30 @@ def groups(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     named = landed(_sets(docs), "sets")
     spark = docs.sparkSession
-    prefix = landed(prefixes(docs), "prefixes")
-    several = landed(prefix.groupBy("token").agg(F.count("*").alias("sets")).filter("sets > 1").select("token"), "several")
-    entries = landed(prefix.join(several, "token"), "entries")
+    member = F.col("key").bitwiseXOR(F.coalesce("doc_id", F.lit(0)))
+    first = landed(named.filter("n > 0").groupBy("key").agg(F.min("doc_id").alias("doc_id")), "firsts")
+    firsts = spark.sparkContext.broadcast(Filter.of(first, member))
+    prefix = landed(prefixes(docs, firsts), "prefixes")
+    entries = landed(_with_hubs(prefix.withColumn("component", F.col("key")), 0), "entries")
 
-    first = named.filter("n > 0").groupBy("key").agg(F.min("doc_id").alias("doc_id"))
     wanted = landed(first.join(entries.select("key").distinct(), "key", "left_semi"), "wanted")
-    keep = spark.sparkContext.broadcast(Filter.of(wanted, F.col("key").bitwiseXOR(F.coalesce("doc_id", F.lit(0)))))
+    keep = spark.sparkContext.broadcast(Filter.of(wanted, member))
     mine = wanted.select(F.col("key").alias("its_key"), F.col("doc_id").alias("its_doc"))
     found = _token_sets(docs, keep)
     same = (F.col("key") == F.col("its_key")) & F.col("doc_id").eqNullSafe(F.col("its_doc"))
     sets = landed(found.join(mine, same, "left_semi").dropDuplicates(["key"]).select("key", "tokens"), "token-sets")
 
     links = None
-    labelled = entries.withColumn("component", F.col("key"))
-    labels = None
     for step in range(HUB_ROUNDS + 1):
-        pairs = _hub_pairs(labelled, step) if step < HUB_ROUNDS else _all_pairs(labelled)
+        pairs = _hub_pairs(entries) if step < HUB_ROUNDS else _all_pairs(entries)
         new = _similar(pairs, sets)
         links = landed(new if links is None else links.unionByName(new), f"links-{step}")
         labels = components(links)
         if step < HUB_ROUNDS:
-            named_by = labels.select(F.col("node").alias("key"), F.col("component"))
-            labelled = entries.join(named_by, "key", "left").withColumn("component", F.coalesce("component", "key"))
-            labelled = landed(labelled, f"entries-{step}")
+            named_by = labels.select(F.col("node").alias("key"), F.col("component").alias("now"))
+            labelled = entries.drop("component").join(named_by, "key", "left")
+            labelled = landed(labelled.withColumn("component", F.coalesce("now", "key")), f"labelled-{step}")
+            entries = landed(_with_hubs(labelled, step + 1), f"entries-{step + 1}")
 
     whole = first.join(labels.withColumnRenamed("node", "key"), "key", "left").select(
         "key", "doc_id", F.coalesce("component", "key").alias("component")
