@@ -235,8 +235,17 @@ def search(vectors: DataFrame, every: int = QUERY_EVERY, neighbours: int = NEIGH
     paths = queries.select(F.col("gid").alias("query"), "embedding")
     paths = per_batch(paths, through_cells, f"query long, embedding {element}, cells array<int>").checkpoint()
     visits = np.zeros(len(counts), np.int64)
-    seen = paths.select(F.explode("cells").alias("cell")).groupBy("cell").count().toArrow().to_pandas()
-    visits[seen["cell"]] = seen["count"]
+
+    def count_cells():
+        def work(batch: pa.RecordBatch) -> pa.RecordBatch:
+            cells, n = np.unique(batch.column("cells").flatten().to_numpy(), return_counts=True)
+            return pa.RecordBatch.from_arrays([pa.array(cells, pa.int32()), pa.array(n, pa.int64())], ["cell", "n"])
+
+        return work
+
+    seen = per_batch(paths.select("cells"), count_cells, "cell int, n long").groupBy("cell").agg(F.sum("n").alias("n"))
+    seen = seen.toArrow().to_pandas()
+    visits[seen["cell"]] = seen["n"]
     layout = spark.sparkContext.broadcast(Layout.of(counts, visits))
     scored = _rerank(members, paths, layout, dims, most, element)
 
