@@ -14,10 +14,12 @@ from pyspark.sql import DataFrame
 from ladle.llm.memo import Memo, per_batch
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
-LEAF_BYTES = 16
+LEAF_BYTES = 3
+# Short stretches come back in many words; their encodings are remembered.
+SHORT_BYTES = 8
 NONE = 1 << 40
 # Words held per generation of a task's memo.
-WORDS = 120_000
+WORDS = 250_000
 
 
 class Encoder:
@@ -34,6 +36,7 @@ class Encoder:
     def __init__(self, ranks: dict[bytes, int], leaf_bytes: int = LEAF_BYTES):
         self.ranks, self.leaf_bytes = ranks, leaf_bytes
         self.bytes_of = {rank: token for token, rank in ranks.items()}
+        self.decimal_of = {rank: str(rank) for rank in ranks.values()}
         self.single = [ranks[bytes([b])] for b in range(256)]
         self.pairs: dict[int, int] = {}
         for token, rank in ranks.items():
@@ -41,7 +44,8 @@ class Encoder:
                 left, right = ranks.get(token[:cut]), ranks.get(token[cut:])
                 if left is not None and right is not None:
                     self.pairs[left << 32 | right] = rank
-        self.settled = Memo(self._settled, 50_000)
+        self.short = Memo(self._tree, 100_000)
+        self.meeting = Memo(lambda pair: self.leaf(self.bytes_of[pair[0]] + self.bytes_of[pair[1]]), 100_000)
 
     def leaf(self, data: bytes) -> list[int]:
         """Encode few bytes merge by merge."""
@@ -60,28 +64,39 @@ class Encoder:
                 ranks[i - 1] = pairs.get(ids[i - 1] << 32 | best, NONE)
         return ids
 
-    def _settled(self, pair: tuple[int, int]) -> bool:
-        return self.leaf(self.bytes_of[pair[0]] + self.bytes_of[pair[1]]) == [*pair]
+    def settled(self, a: int, b: int) -> bool:
+        """Whether two tokens stay as they are when they meet."""
+        return self.meeting[a, b] == [a, b]
 
     def join(self, left: list[int], right: list[int]) -> list[int]:
         """The encoding of the bytes of two encodings, one after the other."""
-        if not left or not right or self.settled[left[-1], right[0]]:
+        if not left or not right:
+            return left + right
+        window, reach = self.meeting[left[-1], right[0]], 1
+        if window == [left[-1], right[0]]:
             return left + right
-        reach = 1
         while True:
             a, b = max(0, len(left) - reach), min(len(right), reach)
-            window = self.leaf(self.decode(left[a:] + right[:b]))
-            if (not a or self.settled[left[a - 1], window[0]]) and (b == len(right) or self.settled[window[-1], right[b]]):
+            if reach > 1:
+                window = self.leaf(self.decode(left[a:] + right[:b]))
+            if (not a or self.settled(left[a - 1], window[0])) and (b == len(right) or self.settled(window[-1], right[b])):
                 return left[:a] + window + right[b:]
             reach *= 2
 
-    def tree(self, data: bytes) -> list[int]:
-        """Encode by halves. The depth is the logarithm of the length."""
+    def _tree(self, data: bytes) -> list[int]:
         if len(data) <= self.leaf_bytes:
             return self.leaf(data)
         half = len(data) // 2
         return self.join(self.tree(data[:half]), self.tree(data[half:]))
 
+    def tree(self, data: bytes) -> list[int]:
+        """Encode by halves. The depth is the logarithm of the length."""
+        return self.short[data] if len(data) <= SHORT_BYTES else self._tree(data)
+
+    def trim(self) -> None:
+        self.short.trim()
+        self.meeting.trim()
+
     def piece(self, data: bytes) -> list[int]:
         """A match of the split pattern: a token if it is one as a whole, else its merges."""
         rank = self.ranks.get(data)
@@ -112,25 +127,29 @@ class TextEncoder:
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.encoder, self.split = Encoder(ranks), regex.compile(as_white_space(pattern))
         self.open_space = regex.compile(as_white_space(r" (?:\s|\Z)"))
+        self.letters = regex.compile(r" \p{L}+")
         self.pieces = Memo(lambda p: self.encoder.piece(p.encode()), WORDS)
-        self.words = Memo(self._word, WORDS)
+        # Words by what follows their space.
+        self.words = Memo(lambda w: self._word(f" {w}"), WORDS)
 
     def ids(self, text: str) -> list[int]:
         return [i for piece in self.split.findall(text) for i in self.pieces[piece]]
 
     def _word(self, word: str) -> tuple[int, bytes, bytes]:
-        ids = self.ids(word)
-        return len(ids), ",".join(map(str, ids)).encode(), self.encoder.decode(ids)
+        # Letters after a space are one match of the pattern's letter branch; words that are no such match are split.
+        whole = self.letters.fullmatch(word)
+        ids = self.encoder.piece(word.encode()) if whole else self.ids(word)
+        return len(ids), ",".join([self.encoder.decimal_of[i] for i in ids]).encode(), self.encoder.decode(ids)
 
     def text(self, text: str) -> tuple[int, bytes, bytes]:
         """Number of ids, the ids in decimal joined by commas, the decoded bytes. Decoding joins the parts' decodings."""
         if self.open_space.search(text):
             return self._word(text)
         first, *rest = text.split(" ")
-        words = [first] * bool(first) + [f" {w}" for w in rest]
-        parts = [self.words[w] for w in words]
+        parts = [self._word(first)] * bool(first) + list(map(self.words.__getitem__, rest))
         self.words.trim()
         self.pieces.trim()
+        self.encoder.trim()
         return sum([p[0] for p in parts]), b",".join([p[1] for p in parts]), b"".join([p[2] for p in parts])
 
 
