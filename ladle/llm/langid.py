@@ -18,6 +18,8 @@ LETTERS = regex.compile(r"\p{L}+")
 UNKNOWN = "und"
 # About so many documents of each language are learned from.
 DOCS_PER_LANG = 2000
+# The most frequent languages are learned.
+MOST_LANGS = 500
 # The most frequent words and n-grams are kept.
 MOST_WORDS, MOST_GRAMS = 50_000, 100_000
 SIZES = (5, 4, 3, 2, 1)
@@ -46,9 +48,10 @@ def sample(docs: DataFrame, docs_per_lang: int = DOCS_PER_LANG) -> DataFrame:
     rate per language follows from counts over all documents; who is taken, from a hash of doc_id and text."""
     usable = docs.select("doc_id", "lang", "text").filter((fold(F.col("doc_id")) != HELD_OUT) & F.col("lang").isNotNull())
     usable = usable.filter("text IS NOT NULL")
-    rates = usable.groupBy("lang").agg((F.lit(float(docs_per_lang)) / F.count("*")).alias("rate"))
+    counts = usable.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(MOST_LANGS).collect()
+    rates = F.create_map(*[F.lit(v) for r in counts for v in (r["lang"], docs_per_lang / r["n"])]) if counts else F.lit(None)
     drawn = F.shiftrightunsigned(F.xxhash64("doc_id", "text"), 11) / F.lit(float(1 << 53))
-    taken = usable.join(rates, "lang").filter(drawn < F.col("rate"))
+    taken = usable.filter(drawn < F.element_at(rates, F.col("lang"))) if counts else usable.limit(0)
     return taken.groupBy("lang", F.xxhash64("text").alias("key"), F.length("text").alias("n")).agg(F.min("text").alias("text"))
 
 
@@ -100,27 +103,29 @@ def _most_frequent(counts: DataFrame, langs: list[str], most: int, least: int, *
 
 @dataclass
 class Model:
-    """Per word and per n-gram the log frequency in each language, less its mean over the languages."""
+    """Per word and per n-gram its row of ``voices``: the log frequency in each language, less the mean over languages."""
 
     langs: list[str]
-    words: dict[str, np.ndarray]
-    grams: dict[str, np.ndarray]
+    words: dict[str, int]
+    grams: dict[str, int]
+    voices: np.ndarray
 
     def word(self, word: str) -> np.ndarray:
         """A known word by its frequencies. Else at each place the longest known n-gram speaks, and the word's voice is the
         mean over its places: a place falls back to shorter ones until one is known, down to single letters."""
         known = self.words.get(word)
         if known is not None:
-            return known
-        total, places, marked = np.zeros(len(self.langs)), 0, f"^{word}$"
+            return self.voices[known]
+        rows, marked, grams = [], f"^{word}$", self.grams
         for i in range(len(marked) - 1):
             for size in SIZES:
                 gram = marked[i : i + size] if size > 1 else marked[max(i, 1)]
-                if len(gram) == size and (found := self.grams.get(gram)) is not None:
-                    total += found
-                    places += 1
+                if len(gram) == size and (row := grams.get(gram)) is not None:
+                    rows.append(row)
                     break
-        return total / max(places, 1)
+        if not rows:
+            return np.zeros(len(self.langs), np.float32)
+        return np.add.reduce(self.voices[rows], axis=0) / len(rows)
 
 
 def train(docs: DataFrame, docs_per_lang: int = DOCS_PER_LANG) -> Model:
@@ -128,7 +133,7 @@ def train(docs: DataFrame, docs_per_lang: int = DOCS_PER_LANG) -> Model:
     words = _word_counts(sample(docs, docs_per_lang)).checkpoint()
     langs = sorted(r["lang"] for r in words.select("lang").distinct().collect())
     if not langs:
-        return Model([], {}, {})
+        return Model([], {}, {}, np.zeros((0, 0), np.float32))
     columns = [f"n{i}" for i in range(len(langs))]
 
     def centred(table: pd.DataFrame) -> np.ndarray:
@@ -138,10 +143,13 @@ def train(docs: DataFrame, docs_per_lang: int = DOCS_PER_LANG) -> Model:
 
     top = _most_frequent(words, langs, MOST_WORDS, 2, "word")
     parts = _most_frequent(_gram_counts(words), langs, MOST_GRAMS, 2, "size", "word")
-    by_gram: dict[str, np.ndarray] = {}
+    names: list[str] = []
+    voices = [centred(top)]
     for _, table in parts.groupby("size"):
-        by_gram |= dict(zip(table["word"], centred(table)))
-    return Model(langs, dict(zip(top["word"], centred(top))) if len(top) else {}, by_gram)
+        names += table["word"].to_list()
+        voices.append(centred(table))
+    grams_at = {name: len(top) + i for i, name in enumerate(names)}
+    return Model(langs, {w: i for i, w in enumerate(top["word"])}, grams_at, np.concatenate(voices))
 
 
 class Scorer:
@@ -158,7 +166,13 @@ class Scorer:
         number = self.numbers.get(stretch)
         if number is None:
             number = self.numbers[stretch] = len(self.numbers)
-            words = LETTERS.findall(stretch.lower())
+            low = stretch.lower()
+            row = self.model.words.get(low)
+            if row is not None:
+                self.table[number, :-1] = self.model.voices[row]
+                self.table[number, -1] = 1
+                return number
+            words = LETTERS.findall(low)
             self.table[number] = 0
             for word in words:
                 self.table[number, :-1] += self.model.word(word)
