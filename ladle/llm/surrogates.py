@@ -16,15 +16,15 @@ TITLES = {
 }
 # Surrogate names: syllables, then an ending that tells gender and part of the name.
 SOUNDS = {
-    "latin": ("b d f g k l m n p r s t v z", "a e i o u"),
-    "cyrillic": ("б в г д к л м н п р с т ф з", "а е и о у"),
-    "greek": ("β γ δ κ λ μ ν π ρ σ τ φ ζ χ", "α ε ι ο ω"),
+    "latin": ("bdfgklmnprstvz", "aeiou"),
+    "cyrillic": ("бвгдклмнпрстфз", "аеиоу"),
+    "greek": ("βγδκλμνπρστφζχ", "αειοω"),
 }
 ENDINGS = {
-    "latin": {"given f": "la", "given m": "lon", "family f": "rick", "family m": "rick"},
-    "cyrillic": {"given f": "ла", "given m": "лан", "family f": "рова", "family m": "ров"},
-    "greek": {"given f": "λα", "given m": "λος", "family f": "ρου", "family m": "ρης"},
-}
+    "latin given f": "la", "latin given m": "lon", "latin family f": "rick", "latin family m": "rick",
+    "cyrillic given f": "ла", "cyrillic given m": "лан", "cyrillic family f": "рова", "cyrillic family m": "ров",
+    "greek given f": "λα", "greek given m": "λος", "greek family f": "ρου", "greek family m": "ρης",
+}
 NAME = r"\p{Lu}[\p{L}'’-]+"
 TITLE = "|".join(t for titles in TITLES.values() for t in titles.split())
 # The first of these forms that fits at a place is taken.
@@ -42,7 +42,7 @@ FORMS = {
 ANY = "|".join(f"(?:{form})" for form in FORMS.values())
 # A text without these has no entity; most texts are settled by this one look.
 HINT = rf"[0-9@]|token|password|passwd|secret|key|(?<!\p{{L}})(?:{TITLE})\.? \p{{Lu}}"
-ROUNDS = 4
+ROUNDS = 3
 LETTERS = "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -100,60 +100,65 @@ def _luhn(digits: Column) -> Column:
     return ((10 - F.aggregate(F.sequence(F.lit(0), n - 1), F.lit(0), add) % 10) % 10).cast("string")
 
 
-def candidate(secret_key: str, kind: Column, canon: Column, made_of: Column, attempt: int) -> Column:
-    """The surrogate of an attempt: a keyed hash of the entity, written in the entity's form.
+def _of(values: dict[str, str], name: Column) -> Column:
+    """The value of a name; null for others."""
+    return F.element_at(F.create_map(*[F.lit(x) for pair in values.items() for x in pair]), name)
+
+
+def with_candidates(entities: DataFrame, secret_key: str, attempt: int) -> DataFrame:
+    """Add the surrogate of an attempt to kind, canon, made_of: a keyed hash of the entity, written in the entity's form.
 
     Digits become digits and letters letters of the same case, place by place; what else stands in it stays, and so do the
     last label of a mail domain, a country code, an issuer's first digit and IBAN country. Cards and bare hex keep their
     checksum and alphabet. The octets of addresses keep their lengths. Names get 2 syllables and one more per attempt.
     """
+    kind, canon = F.col("kind"), F.col("canon")
     blocks = [F.sha2(F.concat_ws("|", F.lit(f"{secret_key}|{attempt}|{b}"), kind, canon), 256) for b in range(4)]
-    stream = F.concat(*blocks)  # 128 bytes in hex
-
-    def byte(i: Column) -> Column:
-        return F.conv(F.substring(stream, (i % 128) * 2 + 1, F.lit(2)), 16, 10).cast("int")
-
+    rows = entities.withColumn("stream", F.concat(*blocks))  # 128 bytes in hex, a column of its own: hashed once
     kept = (
         F.when(kind == "email", F.length(F.substring_index(canon, ".", -1)) * -1)
         .when(kind == "phone", F.when(canon.startswith("+1"), 2).when(canon.startswith("+"), 3).otherwise(0))
         .when(kind == "iban", 4).when(kind == "card", 1)
         .when((kind == "secret") & canon.startswith("AKIA"), 4).otherwise(0)
     )
-    hexadecimal = (kind == "secret") & canon.rlike("^[0-9a-f]+$")
+    rows = rows.withColumn("stays", kept).withColumn("hexadecimal", (kind == "secret") & canon.rlike("^[0-9a-f]+$"))
+
+    def byte(i: Column) -> Column:
+        return F.conv(F.substring("stream", (i % 128) * 2 + 1, F.lit(2)), 16, 10).cast("int")
 
     def place(i: Column) -> Column:
         c = F.substring(canon, i + 1, F.lit(1))
         letter = F.substring(F.lit(LETTERS), byte(i) % 26 + 1, F.lit(1))
         fresh = (
-            F.when(hexadecimal, F.substring(stream, (i % 128) * 2 + 1, F.lit(1)))
+            F.when(F.col("hexadecimal"), F.substring("stream", (i % 128) * 2 + 1, F.lit(1)))
             .when(c.rlike("[0-9]"), (byte(i) % 10).cast("string"))
             .when(c.rlike("[a-z]"), letter).when(c.rlike("[A-Z]"), F.upper(letter)).otherwise(c)
         )
-        stays = (i < kept) | ((kept < 0) & (i >= F.length(canon) + kept))
+        stays = (i < F.col("stays")) | ((F.col("stays") < 0) & (i >= F.length(canon) + F.col("stays")))
         return F.when(stays, c).otherwise(fresh)
 
-    whole = F.array_join(F.transform(F.sequence(F.lit(0), F.length(canon) - 1), place), "")
-    valid = _luhn(F.expr("substring(canon, 1, length(canon) - 1)")) == F.substring(canon, -1, 1)
-    body = F.left(whole, F.length(whole) - 1)
-    card = F.when(valid, F.concat(body, _luhn(body))).otherwise(whole)
-
-    def octet(i: int) -> Column:
-        b, n = byte(F.lit(i)), F.length(F.get(F.split(canon, "[.]"), F.lit(i)))
+    def octet(part: Column, i: Column) -> Column:
+        b, n = byte(i), F.length(part)
         return F.when(n == 1, b % 9 + 1).when(n == 2, b % 90 + 10).otherwise(b % 155 + 100).cast("string")
 
-    octets = F.concat_ws(".", *map(octet, range(4)))
+    script = F.substring_index("made_of", " ", 1)
+    consonants, vowels = ({s: sounds[k] for s, sounds in SOUNDS.items()} for k in (0, 1))
 
-    def name(script: str, role: str) -> Column:
-        consonants, vowels = (s.split() for s in SOUNDS[script])
-        pick = lambda values, i: F.element_at(F.array(*map(F.lit, values)), byte(F.lit(i)) % len(values) + 1)
-        sounds = [pick(consonants if i % 2 == 0 else vowels, i) for i in range(2 * (2 + attempt))]
-        return F.concat(*sounds, F.lit(ENDINGS[script][role]))
+    def sound(i: Column) -> Column:
+        of = F.when(i % 2 == 0, _of(consonants, script)).otherwise(_of(vowels, script))
+        return F.substring(of, byte(i) % F.length(of) + 1, F.lit(1))
 
-    person = F.lit(None)
-    for script, endings in ENDINGS.items():
-        for role in endings:
-            person = F.when(made_of == f"{script} {role}", name(script, role)).otherwise(person)
-    return F.when(kind == "card", card).when(kind == "ip", octets).when(kind == "person", person).otherwise(whole)
+    spelled = F.transform(F.sequence(F.lit(0), F.length(canon) - 1), place)
+    sounds = F.transform(F.sequence(F.lit(0), F.lit(2 * (2 + attempt) - 1)), sound)
+    made = (
+        F.when(kind == "ip", F.array_join(F.transform(F.split(canon, "[.]"), octet), "."))
+        .when(kind == "person", F.concat(F.array_join(sounds, ""), _of(ENDINGS, F.col("made_of"))))
+        .otherwise(F.array_join(spelled, ""))
+    )
+    body = F.left("made", F.length("made") - 1)
+    valid = (kind == "card") & (_luhn(F.left(canon, F.length(canon) - 1)) == F.substring(canon, -1, 1))
+    surrogate = F.when(valid, F.concat(body, _luhn(body))).otherwise(F.col("made"))
+    return rows.withColumn("made", made).withColumn("surrogate", surrogate).drop("stream", "stays", "hexadecimal", "made")
 
 
 def assign(entities: DataFrame, secret_key: str, rounds: int = ROUNDS) -> DataFrame:
@@ -169,8 +174,7 @@ def assign(entities: DataFrame, secret_key: str, rounds: int = ROUNDS) -> DataFr
     taken = left.select("kind", F.col("canon").alias("surrogate"))
     given = []
     for attempt in range(rounds):
-        made = candidate(secret_key, F.col("kind"), F.col("canon"), F.col("made_of"), attempt)
-        tried = left.withColumn("surrogate", made)
+        tried = with_candidates(left, secret_key, attempt)
         first = tried.groupBy("kind", "surrogate").agg(F.min("canon").alias("canon"))
         won = first.join(taken, ["kind", "surrogate"], "left_anti").select("kind", "canon", "surrogate").checkpoint()
         given.append(won)
