@@ -37,7 +37,6 @@ TEMPLATES = [
 CONTAINMENT = Fraction(4, 5)
 # Words: runs of digits, lower-case letters and everything beyond ASCII, once A-Z are lower case.
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]"
-BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]"
 
 
 def lower(text: Column) -> Column:
@@ -48,17 +47,12 @@ def words_of(text: Column) -> Column:
     return F.regexp_extract_all(text, F.lit(f"{WORD}+"), F.lit(0))
 
 
-def holds_phrase(text: Column, phrase: str) -> Column:
-    """Whether a phrase's words stand consecutively in a text in lower case."""
-    return text.rlike(f"(?<!{WORD}){f'{BETWEEN}+'.join(phrase.split())}(?!{WORD})")
-
-
 def _strings(values: list[str]) -> Column:
     return F.array(*map(F.lit, values)) if values else F.array().cast("array<string>")
 
 
-def places(text: Column, words: Column, phrase: str) -> Column:
-    """The places (from 0) where a phrase starts. Words are only compared in texts that hold it."""
+def places(words: Column, held: Column, phrase: str) -> Column:
+    """The places (from 0) where a phrase starts. Places are only looked at in texts that hold all of its words."""
     parts = phrase.split()
     last = F.greatest(F.size(words) - len(parts), F.lit(0))
 
@@ -69,7 +63,8 @@ def places(text: Column, words: Column, phrase: str) -> Column:
         return found
 
     none = F.array().cast("array<int>")
-    return F.when(holds_phrase(text, phrase), F.filter(F.sequence(F.lit(0), last), here)).otherwise(none)
+    possible = F.size(F.array_intersect(held, _strings(parts))) == len(parts)
+    return F.when(possible, F.filter(F.sequence(F.lit(0), last), here)).otherwise(none)
 
 
 def template_index(docs: DataFrame, templates: list[tuple[str, str]], least: Fraction) -> list[tuple]:
@@ -131,9 +126,12 @@ def scan(docs: DataFrame, templates: list[tuple[str, str]] | None = None, least:
     words, text = F.col("words"), F.col("lowered")
     prefixes = _strings(sorted({row[0] for row in index}))
     rows = docs.withColumn("lowered", lower(F.col("text"))).withColumn("words", words_of(text))
-    found = {label: places(text, words, phrase) for phrase, label in PHRASES.items()}
+    parts = sorted({w for phrase in PHRASES for w in phrase.split()})
+    rows = rows.withColumn("held", F.array_intersect(words, _strings(parts)))
+    found = {label: F.col(f"places_{i}") for i, label in enumerate(PHRASES.values())}
+    rows = rows.withColumns({f"places_{i}": places(words, F.col("held"), phrase) for i, phrase in enumerate(PHRASES)})
     every = F.concat(*found.values())
-    key = F.when(F.arrays_overlap(words, prefixes), F.sha2(text, 256))
+    key = F.when(F.arrays_overlap(words, prefixes), F.sha2("text", 256))
     slim = rows.select(
         "doc_id",
         F.size(words).cast("long").alias("n_words"),
@@ -178,7 +176,7 @@ w AS (SELECT r, doc_id, low, regexp_extract_all(low, {pattern}) AS words FROM d)
 phrases(parts, label) AS (VALUES {phrases}),
 starts AS (
     SELECT r, label, unnest(list_filter(range(0, len(words)), lambda i: words[i + 1 : i + len(parts)] = parts)) AS place
-    FROM w, phrases
+    FROM w, phrases WHERE list_has_all(words, parts)
 ),
 base AS (
     SELECT r, count(*) AS n_base, min(place) AS first_word, max(place) AS last_word, list(DISTINCT label) AS labels
