@@ -220,11 +220,15 @@ def _token_sets(docs: DataFrame, wanted) -> DataFrame:
     return _rows(docs, start, "doc_id long, key long, tokens array<long>")
 
 
+def _least() -> Column:
+    """The smallest overlap of a set of n with a similar set."""
+    s = SIMILARITY
+    return F.floor((F.col("n") * s.numerator + (s.denominator - 1)) / F.lit(s.denominator)).cast("int")
+
+
 def _length(shared) -> Column:
     """``prefix_length`` of n as a column."""
-    s = SIMILARITY
-    least = F.floor((F.col("n") * s.numerator + (s.denominator - 1)) / F.lit(s.denominator)).cast("int")
-    return F.least(F.col("n"), F.col("n") - least + shared)
+    return F.least(F.col("n"), F.col("n") - _least() + shared)
 
 
 def prefixes(docs: DataFrame, firsts) -> DataFrame:
@@ -235,7 +239,8 @@ def prefixes(docs: DataFrame, firsts) -> DataFrame:
     hash), then all others by hash. A set's prefix has ``prefix_length(n, need)`` tokens. Among similar sets x and y at
     least min(need of x, need of y) tokens are in both prefixes, so each set may pick its own ``need``: the one with the
     lowest estimated cost, which is the entries its prefix meets in the token lists, plus the candidates to verify, at
-    most those entries divided by ``need``.
+    most those entries divided by ``need``. A set asks for no more tokens than it must share with a similar one, which for
+    a small set are fewer than MOST_SHARED.
     """
     spark = docs.sparkSession
     counts = _tokens(docs, firsts).groupBy("token").agg(F.count("*").alias("df")).filter("df > 1")
@@ -251,7 +256,8 @@ def prefixes(docs: DataFrame, firsts) -> DataFrame:
 
     def cost(need: int) -> Column:
         met = F.sum(F.when(F.col("at") < _length(need), F.col("df") - 1).otherwise(0)).over(per_set)
-        return F.struct((met * (1.0 + VERIFY_COST / need)).alias("cost"), F.lit(need).alias("need"))
+        priced = F.struct((met * (1.0 + VERIFY_COST / need)).alias("cost"), F.lit(need).alias("need"))
+        return F.when(_least() >= need, priced)  # else null, which array_min leaves out
 
     best = F.array_min(F.array(*map(cost, range(1, MOST_SHARED + 1))))["need"]
     return ranked.withColumn("need", best).filter(F.col("at") < _length(F.col("need"))).select("token", "key", "n", "need")

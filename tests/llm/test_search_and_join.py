@@ -155,6 +155,20 @@ def test_without_hubs_the_full_join_finds_the_same(spark, monkeypatch):
     assert sorted(map(tuple, got)) == sorted(brute_groups(rows))
 
 
+@pytest.mark.parametrize("rounds", [0, 3])
+def test_short_documents_around_one(spark, monkeypatch, rounds):
+    """Sets of 4 to 7 shingles, similar to the middle one only: they share fewer tokens than the longest prefix asks for."""
+    monkeypatch.setattr(ngram_join, "HUB_ROUNDS", rounds)
+    rows = []
+    for size in range(8, 12):
+        words = " ".join(f"s{size}w{j}" for j in range(size))
+        stars = [f"{words} end{i}" if i % 2 else f"end{i} {words}" for i in range(40)]
+        rows += [(100 * size + i, t) for i, t in enumerate([words, *stars])]
+    got = ngram_join.link(docs(spark, rows)).collect()
+    assert sorted(map(tuple, got)) == sorted(brute_groups(rows))
+    assert {c for _, _, c in got} == {800, 900, 1000, 1100}
+
+
 def test_keeping_one_of_each_group(spark):
     rows = hard_texts() + [(5000, None), (5001, ""), (5001, "")] + [(6000, "one text that is there twice as is")] * 2
     table = docs(spark, rows)
