@@ -68,11 +68,12 @@ def places(words: Column, held: Column, phrase: str) -> Column:
 
 
 def template_index(docs: DataFrame, templates: list[tuple[str, str]], least: Fraction) -> list[tuple]:
-    """(token, position, label, tokens, needed) of every prefix token of every template.
+    """(token, position, label, tokens, needed, span) of every prefix token of every template.
 
     Tokens of a template are ordered by the number of documents that hold them, over all documents, rarest first. A block
     with ``needed`` of a template's n tokens lacks at most n - needed, so it holds one of the first n - needed + 1: the
-    template's prefix. The counts that reach the driver are one row per different word of the templates.
+    template's prefix. ``span`` is the number of words of a block that goes over line ends: as large a share of it may be
+    words that are not the template's as a block may lack of the template. The counts that reach the driver are one row per different word of the templates.
     """
     vocabulary = sorted({w for _, text in templates for w in text.split()})
     held = F.array_intersect(words_of(lower(F.col("text"))), _strings(vocabulary))
@@ -82,42 +83,49 @@ def template_index(docs: DataFrame, templates: list[tuple[str, str]], least: Fra
     for label, text in templates:
         tokens = sorted(set(text.split()), key=lambda w: (count[w], w))
         needed = math.ceil(least * len(tokens))
-        index += [(t, p, label, tokens, needed) for p, t in enumerate(tokens[: len(tokens) - needed + 1])]
+        span = math.ceil(len(text.split()) / least)
+        index += [(t, p, label, tokens, needed, span) for p, t in enumerate(tokens[: len(tokens) - needed + 1])]
     return index
 
 
 def similar_blocks(texts: DataFrame, index: list[tuple]) -> DataFrame:
-    """key, label, score of every line of ``texts`` (key, text in lower case) that holds enough of a template.
-
-    An exact join of blocks and templates on prefix tokens. A block has to be long enough (length filter). A pair counts
-    once, at the first template token it shares, and goes on if that many tokens before it can be missing (positional
-    filter). What is left is compared in full. The template side is a fixed list and is broadcast.
+    """key, label, score of every text of ``texts`` (key, text in lower case, its words) with a block that holds enough of a
+    template. Blocks are the lines and, since notices are wrapped, all stretches of ``span`` words, whatever lines they are on.
+
+    An exact join of texts and templates on prefix tokens, since a block holds no more than its text. A text has to have
+    enough words (length filter). A pair counts once, at the first template token it shares, and goes on if that many tokens
+    before it can be missing (positional filter). Only texts that hold enough of a template are looked at block by block:
+    line by line, and in a stretch from each word of the template on, as another one holds no more than the next of these.
+    The template side is a fixed list and is broadcast.
     """
     spark = texts.sparkSession
-    schema = "token string, position int, label string, tokens array<string>, needed int"
+    schema = "token string, position int, label string, tokens array<string>, needed int, span int"
     templates = F.broadcast(spark.createDataFrame(index, schema))
     prefixes = sorted({row[0] for row in index})
-    least = min(row[4] for row in index)
-    lines = texts.select("key", F.explode(F.split("text", "\n")).alias("line"))
-    blocks = lines.select("key", F.array_distinct(words_of(F.col("line"))).alias("block")).filter(F.size("block") >= least)
-    probes = blocks.select("key", "block", F.explode(F.array_intersect("block", _strings(prefixes))).alias("token"))
-    size = F.size("tokens")
+    vocabulary = sorted({token for row in index for token in row[3]})
+    held = texts.withColumn("held", F.array_intersect("words", _strings(vocabulary)))
+    held = held.filter(F.size("held") >= min(row[4] for row in index))
+    probes = held.select("key", "text", "words", "held", F.explode(F.array_intersect("held", _strings(prefixes))).alias("token"))
+    size, words = F.size("tokens"), F.col("words")
     pairs = probes.join(templates, "token").filter(
-        (F.size("block") >= F.col("needed"))
+        (F.size("held") >= F.col("needed"))
         & (size - F.col("position") >= F.col("needed"))
-        & ~F.arrays_overlap(F.slice("tokens", F.lit(1), F.col("position")), F.col("block"))
-    )
-    common = F.size(F.array_intersect("tokens", "block"))
-    return pairs.withColumn("common", common).filter(F.col("common") >= F.col("needed")).select(
-        "key", "label", (F.col("common") / size).alias("score")
+        & ~F.arrays_overlap(F.slice("tokens", F.lit(1), F.col("position")), F.col("held"))
+        & (F.size(F.array_intersect("tokens", "held")) >= F.col("needed"))
     )
+    common = lambda block: F.size(F.array_intersect("tokens", block))
+    starts = F.filter(F.sequence(F.lit(1), F.size(words)), lambda i: F.array_contains("tokens", F.get(words, i - 1)))
+    in_lines = F.array_max(F.transform(F.split("text", "\n"), lambda line: common(words_of(line))))
+    in_stretches = F.array_max(F.transform(starts, lambda i: common(F.slice(words, i, F.col("span")))))
+    found = pairs.select("key", "label", "needed", size.alias("size"), F.greatest(in_lines, in_stretches).alias("common"))
+    return found.filter(F.col("common") >= F.col("needed")).select("key", "label", (F.col("common") / F.col("size")).alias("score"))
 
 
 def scan(docs: DataFrame, templates: list[tuple[str, str]] | None = None, least: Fraction = CONTAINMENT) -> DataFrame:
     """Per document: its words, the places of the base phrases, base labels, all labels, the score.
 
-    The score is the largest share of a template found in one line, from ``least`` on, 1 where a phrase stands, else 0. Null
-    text is empty. Labels are a matter of the text alone: they are found once per different text (by SHA-256) that holds a
+    The score is the largest share of a template found in one block, a line or a stretch over line ends, from ``least`` on, 1
+    where a phrase stands, else 0. Null text is empty. Labels are a matter of the text alone: they are found once per different text (by SHA-256) that holds a
     prefix token, and joined back to slim rows without text.
     """
     ensure_checkpoint_dir(docs.sparkSession)
@@ -140,7 +148,7 @@ def scan(docs: DataFrame, templates: list[tuple[str, str]] | None = None, least:
         # Texts without a prefix token match nothing, each under a key of its own.
         F.coalesce(key, F.concat(F.lit("-"), F.col("doc_id").cast("string")), F.lit("-")).alias("key"),
     )
-    texts = rows.select(key.alias("key"), F.col("lowered").alias("text")).filter("key IS NOT NULL")
+    texts = rows.select(key.alias("key"), F.col("lowered").alias("text"), "words").filter("key IS NOT NULL")
     matches = (
         similar_blocks(texts, index)
         .groupBy("key", "label").agg(F.max("score").alias("score"))
@@ -163,7 +171,7 @@ def scan(docs: DataFrame, templates: list[tuple[str, str]] | None = None, least:
 
 
 def oracle(templates: list[tuple[str, str]] = TEMPLATES, least: Fraction = CONTAINMENT) -> str:
-    """The same as SQL: every line against every template."""
+    """The same as SQL for texts whose notices are not wrapped: every line against every template."""
     pattern = f"'{WORD}+'"
     low = f"translate(coalesce(text, ''), '{string.ascii_uppercase}', '{string.ascii_lowercase}')"
     phrases = ", ".join(f"({p.split()!r}, '{label}')" for p, label in PHRASES.items())

@@ -28,6 +28,23 @@ def test_licenses_are_those_of_the_sql(spark, folder, duck, tmp_path):
     assert license.scan(made.limit(0)).count() == 0
 
 
+def test_wrapped_notices_are_found(spark):
+    """Every template in lines of 8 words with comment marks and text around it; a template's words all over a text are none."""
+    rows = []
+    for i, (_, text) in enumerate(license.TEMPLATES):
+        words = text.split()
+        lines = [" ".join(words[k : k + 8]) for k in range(0, len(words), 8)]
+        rows += [(i, prose(i) + "\n\n * " + "\r\n * ".join(lines) + "\n" + prose(i + 50)), (100 + i, f"\n{prose(i, 30)}\n".join(words))]
+    got = {r.doc_id: r for r in license.scan(docs(spark, rows)).collect()}
+    for i, (label, _) in enumerate(license.TEMPLATES):
+        assert label in got[i].labels.split(",") and got[i].score == 1, (label, got[i])
+        assert got[100 + i].labels == "" and got[100 + i].score == 0
+    mit = "Permission is hereby granted, free of charge, to any person obtaining a copy\nof this software and associated documentation files"
+    gpl = "This program is free software: you can redistribute it and/or modify\nit under the terms of the GNU General Public License as published by\nthe Free Software Foundation"
+    labels = [r.labels for r in license.scan(docs(spark, [(1, mit), (2, gpl)])).orderBy("doc_id").collect()]
+    assert labels == ["mit", "gpl"]
+
+
 MAIL = "write to Ann.Lee@mail.example.com or ann.lee@mail.example.com"
 PRIVATE = [
     (1, MAIL + " now"), (2, "ann.lee@mail.example.com, +1 (523) 555-1055!"), (3, "call +1 523 555 1055 or 743-555-3824"),
