@@ -25,23 +25,25 @@ ENDINGS = {
     "cyrillic given f": "ла", "cyrillic given m": "лан", "cyrillic family f": "рова", "cyrillic family m": "ров",
     "greek given f": "λα", "greek given m": "λος", "greek family f": "ρου", "greek family m": "ρης",
 }
-NAME = r"\p{Lu}[\p{L}'’-]+"
 TITLE = "|".join(t for titles in TITLES.values() for t in titles.split())
+# A capitalised word that is no form of address, without a possessive 's.
+NAME = rf"(?!(?:{TITLE})(?!\p{{L}}))\p{{Lu}}[\p{{L}}'’-]*\p{{L}}(?<!['’][sS])"
+SECRET = r"(?i:token|password|passwd|secret|key)"
 # The first of these forms that fits at a place is taken.
 FORMS = {
     "email": r"[A-Za-z0-9._%+-]+@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,}",
     "secret": r"AKIA[0-9A-Z]{16}|(?<![0-9A-Za-z])[0-9a-f]{32,}(?![0-9A-Za-z])"
-    r"|(?<=(?:token|password|passwd|secret|key)[\x22']?\s{0,2}[=:]\s{0,2}[\x22']?)[^\s\x22'=:#$%&*,;|]{6,}",
+    rf"|(?<={SECRET}[\x22']?\s{{0,2}}[=:]\s{{0,2}}[\x22']?)" r"[^\s\x22'=:#$%&*,;|]{6,}",
     "ip": r"(?<![\d.])(?:\d{1,3}\.){3}\d{1,3}(?!\.?\d)",
     "iban": r"(?<![0-9A-Za-z])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![0-9A-Za-z])",
-    "card": r"(?<![\d.])\d{4}(?:[ -]?\d{4}){2}[ -]?\d{1,7}(?!\d)",
+    "card": r"(?<![\d.])(?:\d{4}(?:[ -]?\d{4}){2}[ -]?\d{1,7}|\d{4}[ -]?\d{6}[ -]?\d{4,5})(?!\d)",
     "ssn": r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])",
     "phone": r"\+\d{1,3}[ .-]?\(?\d{1,4}\)?(?:[ .-]?\d{2,4}){2,4}(?!\d)|(?<![\d.-])\(?\d{3}\)?[ .-]\d{3}[ .-]\d{4}(?!\d)",
-    "person": rf"(?<!\p{{L}})(?:{TITLE})\.? {NAME}(?: {NAME})?",
+    "person": rf"(?<!\p{{L}})(?:{TITLE})\.? {NAME}(?: {NAME})*+",
 }
 ANY = "|".join(f"(?:{form})" for form in FORMS.values())
 # A text without these has no entity; most texts are settled by this one look.
-HINT = rf"[0-9@]|token|password|passwd|secret|key|(?<!\p{{L}})(?:{TITLE})\.? \p{{Lu}}"
+HINT = rf"[0-9@]|{SECRET}|(?<!\p{{L}})(?:{TITLE})\.? \p{{Lu}}"
 ROUNDS = 3
 LETTERS = "abcdefghijklmnopqrstuvwxyz"
 
@@ -60,11 +62,17 @@ def kind_of(mention: Column) -> Column:
     return F.coalesce(kinds, F.lit("secret"))
 
 
+def names_of(mention: Column) -> Column:
+    """The names in a mention of a person: all words after the form of address."""
+    words = F.split(mention, " ")
+    return F.slice(words, F.lit(2), F.greatest(F.size(words) - 1, F.lit(0)))
+
+
 def parts_of(mention: Column, kind: Column) -> Column:
     """The entities in a mention: (kind, canon, made_of). A person's names are entities of their own, so a name is the same
     in full and after a title alone. ``canon`` is what all spellings of an entity share, ``made_of`` what tells how a
     surrogate is made."""
-    names = F.slice(F.split(mention, " "), 2, 3)
+    names = names_of(mention)
     female = mention.rlike(f"^(?:{'|'.join(TITLES['f'].split())})")
     gender = F.when(female, "f").otherwise("m")
 
@@ -184,6 +192,19 @@ def assign(entities: DataFrame, secret_key: str, rounds: int = ROUNDS) -> DataFr
     return reduce(DataFrame.unionByName, [*given, rest])
 
 
+def named(word: Column, surrogate: Column) -> Column:
+    """The surrogate of a name in the case of the word."""
+    return F.when(word == F.upper(word), F.upper(surrogate)).otherwise(F.initcap(surrogate))
+
+
+def renamed(text: Column, names: Column, pattern: Column) -> Column:
+    """A stretch between mentions, with the names that the text's mentions hold replaced there as well."""
+    found = F.regexp_extract_all(text, pattern, F.lit(0))
+    put = F.transform(found, lambda word: named(word, F.element_at(names, F.lower(word))))
+    pairs = F.zip_with(F.split(text, pattern, -1), F.zip_with(found, put, lambda a, b: F.coalesce(b, a)), lambda a, b: F.concat(a, F.coalesce(b, F.lit(""))))
+    return F.when(F.size(names) > 0, F.array_join(pairs, "")).otherwise(text)
+
+
 def rendered(mention: Column, kind: Column, surrogates: Column) -> Column:
     """The surrogate in the mention's spelling: its separators and its upper case."""
     surrogate = F.get(surrogates, F.lit(0))
@@ -207,19 +228,15 @@ def rendered(mention: Column, kind: Column, surrogates: Column) -> Column:
         .when(kind == "email", F.array_join(F.transform(chars, cased), ""))
         .otherwise(surrogate)
     )
-    names = F.slice(F.split(mention, " "), 2, 3)
-
-    def named(word: Column, i: Column) -> Column:
-        s = F.get(surrogates, i)
-        return F.when(word == F.upper(word), F.upper(s)).otherwise(F.initcap(s))
-
-    person = F.concat_ws(" ", F.substring_index(mention, " ", 1), F.transform(names, named))
+    put = F.transform(names_of(mention), lambda word, i: named(word, F.get(surrogates, i)))
+    person = F.concat_ws(" ", F.substring_index(mention, " ", 1), put)
     beyond = F.length(surrogate) == 64  # an entity whose form was used up
     return F.when(kind == "person", person).when(beyond & (kind != "secret"), surrogate).otherwise(spelled)
 
 
 def replacements(texts: DataFrame, secret_key: str) -> DataFrame:
-    """key, swaps (mention -> its rendered surrogate) for texts (key, text); one row per key with a mention.
+    """key, swaps (mention -> its rendered surrogate), names (a person's name in lower case -> its surrogate) and the
+    pattern of these names, for texts (key, text); one row per key with a mention.
 
     Mentions are taken once per text and form a table of their own; a text's swaps are bounded by its own mentions.
     """
@@ -241,12 +258,23 @@ def replacements(texts: DataFrame, secret_key: str) -> DataFrame:
         .agg(F.sort_array(F.collect_list(F.struct("place", "surrogate")))["surrogate"].alias("surrogates"))
         .withColumn("swap", rendered(F.col("mention"), F.col("form"), F.col("surrogates")))
     )
-    return spelled.groupBy("key").agg(F.map_from_entries(F.collect_list(F.struct("mention", "swap"))).alias("swaps"))
+    each = F.transform(names_of(F.col("mention")), lambda word, i: F.struct(F.lower(word).alias("name"), F.get("surrogates", i).alias("to")))
+    spelled = spelled.withColumn("each", F.when(F.col("form") == "person", each))
+    grouped = spelled.groupBy("key").agg(
+        F.map_from_entries(F.collect_list(F.struct("mention", "swap"))).alias("swaps"),
+        F.map_from_entries(F.array_distinct(F.flatten(F.collect_list("each")))).alias("names"),
+    )
+    # Names hold nothing but letters, apostrophes and hyphens; longer ones are tried first.
+    longest = F.transform(F.map_keys("names"), lambda n: F.struct((-F.length(n)).alias("n"), n.alias("name")))
+    one_of = F.array_join(F.transform(F.sort_array(longest), lambda x: x["name"]), "|")
+    pattern = F.concat(F.lit(r"(?<!\p{L})(?=\p{Lu})(?iu:"), one_of, F.lit(r")(?!\p{L})"))
+    return grouped.withColumn("pattern", pattern)
 
 
 def replace_entities(docs: DataFrame, secret_key: str = "surrogates", column: str = "text") -> DataFrame:
     """The same rows and columns, with every entity in ``column`` replaced by its surrogate; an entity has one surrogate in
-    all rows, different entities have different ones.
+    all rows, different entities have different ones. The names of a person that was found by its form of address are
+    replaced wherever the same text has them capitalised.
 
     Rows without an entity are passed on as they are, unshuffled. The others find their swaps by the SHA-256 of the text, so
     copies share them and nothing depends on ids. Null text stays null, and other columns are not touched, whatever their
@@ -259,6 +287,7 @@ def replace_entities(docs: DataFrame, secret_key: str = "surrogates", column: st
     # A table of its own, so that a text with very many copies can be split in the join.
     swaps = replacements(dirty.select("key", "text"), secret_key).withColumnRenamed("key", "its_key").checkpoint()
     between = F.split(F.col("text"), ANY, -1)
+    between = F.transform(between, lambda part: renamed(part, F.col("names"), F.col("pattern")))
     put = F.transform(F.col("mentions"), lambda m: F.element_at("swaps", m))
     pairs = F.zip_with(between, put, lambda a, b: F.concat(a, F.coalesce(b, F.lit(""))))
     joined = dirty.join(swaps, F.col("key") == F.col("its_key"))

@@ -83,6 +83,27 @@ def test_surrogates(spark):
     assert re.fullmatch(r"DE89( \d{4}){4} \d\d", got[9])
 
 
+def test_whole_names_labels_in_capitals_and_grouped_cards(spark):
+    texts = [
+        (1, "Mr John Paul Smith came. Smith's wife, Mrs Smith, met John Smith; SMITH left, a smith and Smithers stayed."),
+        (2, "Mrs Smith-Lee Mr Paul"), (3, "API_KEY=Zx81Qwerty PASSWORD: hunter2go Token='AbCdEfGh'"), (4, "card 3782 822463 10005 or 378282246310005"),
+        (5, "PASSWORD: hunterGo"), (6, "John Smith without a title"),
+    ]
+    got = {r.doc_id: r.text for r in surrogates.replace_entities(docs(spark, texts)).collect()}
+    given, middle, family, *others = re.fullmatch(
+        r"Mr (\w+) (\w+) (\w+) came\. (\w+)'s wife, Mrs (\w+), met (\w+) (\w+); (\w+) left, a smith and Smithers stayed\.", got[1]
+    ).groups()
+    assert others == [family, family, given, family, family.upper()] and len({given, middle, family, "John", "Paul", "Smith"}) == 6
+    assert family.endswith("rick") and given.endswith("lon")
+    assert re.fullmatch(r"Mrs [A-Z]\w+ Mr [A-Z]\w+", got[2]) and got[2].endswith(f" {middle}")
+    for old, i in (("Zx81Qwerty", 3), ("hunter2go", 3), ("AbCdEfGh", 3), ("hunterGo", 5)):
+        assert old not in got[i], got[i]
+    assert re.fullmatch(r"API_KEY=\w{10} PASSWORD: \w{9} Token='\w{8}'", got[3])
+    spaced, plain = re.fullmatch(r"card (\d{4} \d{6} \d{5}) or (\d{15})", got[4]).groups()
+    assert spaced.replace(" ", "") == plain != "378282246310005" and luhn(plain)
+    assert got[6] == texts[5][1]
+
+
 def luhn(number):
     total = 0
     for i, d in enumerate(reversed(number)):
