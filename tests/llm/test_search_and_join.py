@@ -179,15 +179,34 @@ def test_keeping_one_of_each_group(spark):
     assert ngram_join.keep_one(table.limit(0)).count() == 0
 
 
-def test_components(spark):
-    rnd = random.Random(1)
-    edges = [(i, i + 1) for i in range(0, 60)] + [(100, x) for x in range(101, 160)] + [(300 + rnd.randrange(99), 300 + rnd.randrange(99)) for _ in range(80)]
+def _components_agree(spark, edges):
     got = {r.node: r.component for r in tables.components(spark.createDataFrame(edges, "a long, b long")).collect()}
     root = {}
-    find = lambda x: x if root.setdefault(x, x) == x else find(root[x])
+
+    def find(x):
+        root.setdefault(x, x)
+        while root[x] != x:
+            root[x] = x = root[root[x]]
+        return x
+
     for a, b in edges:
-        root[find(a)] = find(b)
+        if a is not None and b is not None:
+            root[find(a)] = find(b)
     assert set(got) == set(root)
     pairs = {(find(x), c) for x, c in got.items()}
     assert len(pairs) == len({a for a, _ in pairs}) == len({b for _, b in pairs})
+
+
+def test_components(spark):
+    rnd = random.Random(1)
+    edges = [(i, i + 1) for i in range(0, 60)] + [(100, x) for x in range(101, 160)] + [(300 + rnd.randrange(99), 300 + rnd.randrange(99)) for _ in range(80)]
+    _components_agree(spark, [*edges, (700, 700), (701, None), (0, 1)])
     assert tables.components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_components_of_a_long_chain_and_a_sparse_graph(spark):
+    rnd = random.Random(2)
+    names = rnd.sample(range(100_000), 5_000)
+    chain = list(zip(names, names[1:]))
+    sparse = [(200_000 + rnd.randrange(3_000), 200_000 + rnd.randrange(3_000)) for _ in range(2_900)]
+    _components_agree(spark, chain + sparse)
