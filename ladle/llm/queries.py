@@ -12,7 +12,9 @@ from pyspark import SparkContext
 from pyspark.sql import DataFrame, SparkSession
 
 import ladle
-from ladle.llm import bpe, langid, license, multi_index, ngram_join, packing, quality, sharding, surrogates, warc
+from ladle.llm import (
+    bpe, langid, lexical, license, multi_index, ngram_join, packing, prefix_trie, quality, sharding, substrings, surrogates, warc,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -88,3 +90,18 @@ def op9(docs):
 @query("op10_ngram_join", "documents")
 def op10(docs):
     return ngram_join.link(docs)
+
+
+@query("op11_de_bruijn_dedup", "documents", sql=substrings.oracle())
+def op11(docs):
+    return substrings.remove_repeats(docs)
+
+
+@query("op12_fp_tree_search", "documents", "benchmark", sql=lexical.oracle())
+def op12(docs, items):
+    return lexical.search(docs, items)
+
+
+@query("op13_prefix_trie", "conversations", sql=prefix_trie.oracle())
+def op13(conversations):
+    return prefix_trie.prefix_trie(conversations)

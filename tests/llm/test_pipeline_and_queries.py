@@ -16,11 +16,12 @@ COLUMNS = {
     "op6": "doc_id n_words n_base first_word last_word base_labels labels score",
     "op7": "doc_id size text_crc32 law shard slot grown_shard",
     "op8": "doc_id piece start length ids_crc32 sequence_id offset", "op9": "doc_id held_out lang_pred score",
-    "op10": "doc_id n_shingles component_id",
+    "op10": "doc_id n_shingles component_id", "op11": "doc_id n_words n_removed kept_sha256", "op12": "item_id rank doc_id score",
+    "op13": "conv_id depth parent_conv_id n_convs n_children n_leaves saved_tokens ends_sha256",
 }
 
 
-def test_ten_operators_and_the_pipeline_are_registered():
+def test_all_operators_and_the_pipeline_are_registered():
     assert {n.split("_")[0] for n in QUERIES} == set(COLUMNS)
     assert {*QUERIES, "pipeline"} <= set(entry.queries()) and set(SQL) <= set(entry.oracle_sql())
 
