@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import operator
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -24,18 +27,19 @@ CLIP_BOUNDS = {
 
 
 def dedup_first(batch: DataFrame, key: list[str] = DEDUP_KEY, arrival: str = "ingest_seq") -> DataFrame:
-    """The first row to arrive for each key.
+    """The first row to arrive for each key (null is a value of it).
 
-    An aggregate, not a window: copies are dropped before the shuffle, so a
-    key that makes up a third of the batch sends one row per map task.
+    Only key and arrival number are grouped, combined before the shuffle, and
+    of them only the keys that came more than once meet the batch again: these
+    are few, so as a rule they are broadcast by their measured size and the
+    batch itself is neither sorted nor shuffled. Where they are many, the join
+    is split like any skewed one. Arrival numbers are unique in a batch.
     """
-    rest = [c for c in batch.columns if c not in key and c != arrival]
-    first = F.min_by(F.struct(*rest), F.col(arrival)) if rest else None
-    found = batch.groupBy(*key).agg(
-        F.min(arrival).alias(arrival), *([first.alias("first")] if rest else [])
-    )
-    fields = {c: F.col(f"first.{c}") for c in rest}
-    return found.select(*[fields.get(c, F.col(c)).alias(c) for c in batch.columns])
+    seen = batch.groupBy(*key).agg(F.min(arrival).alias("_first"), F.count(F.lit(1)).alias("_rows"))
+    repeated = seen.filter("_rows > 1").select(*[F.col(c).alias(f"_{c}") for c in key], "_first")
+    same = reduce(operator.and_, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in key])
+    later = F.coalesce(F.col(arrival) > F.col("_first"), F.lit(False))
+    return batch.join(repeated, same, "left").filter(~later).select(*batch.columns)
 
 
 def medians(batch: DataFrame) -> dict[str, Column]:

@@ -93,5 +93,19 @@ def features_at(deliveries: DataFrame, instants: Column) -> DataFrame:
     return _long(rows.select(*needed, F.explode(inside).alias("computed_at")), ["computed_at"])
 
 
+def features_monthly(deliveries: DataFrame, newest: Column) -> DataFrame:
+    """``features_long`` at the start of every month up to ``newest``, in one
+    pass. A row counts for the month after its own, and for the one after that
+    where the month between is shorter than the window: two dates to compare,
+    whatever the number of months."""
+    back = F.make_dt_interval(F.lit(WINDOW_DAYS))
+    ts = F.col("order_ts")
+    needed = ["dasher_id", "merchant_id", "zone_id", "actual_delivery_min", "prep_time_min", "travel_time_min", "is_late"]
+    start = lambda k: F.add_months(F.trunc(ts, "MM"), k).cast("timestamp_ntz")
+    near = F.array(*[F.when(ts >= start(k) - back, start(k)) for k in (1, 2)])
+    rows = deliveries.select(*needed, F.explode(near).alias("computed_at"))
+    return _long(rows.filter(F.col("computed_at") <= newest), ["computed_at"])
+
+
 def feature_entity_counts(features: DataFrame) -> DataFrame:
     return features.groupBy("entity_type").agg(F.count_distinct("entity_id").alias("entities"))

@@ -32,11 +32,11 @@ def snapshot_rows(features: DataFrame, computed_at: Column | None = None) -> Dat
     )
 
 
-def new_snapshots(rows: DataFrame, existing: DataFrame) -> DataFrame:
+def new_snapshots(rows: DataFrame, existing: DataFrame, key: list[str] = SNAPSHOT_KEY) -> DataFrame:
     """The rows whose key is not stored yet. Running the same rows again adds
-    nothing. Only the instants being written are compared."""
+    nothing."""
     wanted = rows.dropDuplicates(SNAPSHOT_KEY)
-    return wanted.join(existing.select(*SNAPSHOT_KEY), SNAPSHOT_KEY, "left_anti")
+    return wanted.join(existing.select(*key), key, "left_anti")
 
 
 def online_latest(features: DataFrame) -> DataFrame:
@@ -70,36 +70,49 @@ def online_wide(online: DataFrame, kind: str) -> DataFrame:
     )
 
 
-def feature_asof_lookup(probes: DataFrame, snapshots: DataFrame, bucket_days: int = 30) -> DataFrame:
+def feature_asof_lookup(probes: DataFrame, snapshots: DataFrame, bucket_hours: int = 24) -> DataFrame:
     """For each probe (entity_type, entity_id, feature_name, as_of, ...) the
     newest snapshot at or before ``as_of``; null when there is none.
 
-    A snapshot is valid until the next one of its key. Its span is listed
-    under each time bucket it touches, which makes the lookup an equi-join on
-    key and bucket that returns at most one row per probe. A hot entity is a
-    skewed join key on the probe side, which adaptive execution splits; no
-    window ever runs over probes.
+    Probes and snapshots are merged as one stream per key and time bucket, in
+    order of time, snapshots before probes of the same instant; a probe takes
+    the last snapshot before it. What was known when a bucket began is carried
+    over from the buckets before: the last snapshot of each, which is one row
+    per key and bucket that has any. So no window holds more than the probes
+    of one key in one bucket, and a key with a third of all probes is spread
+    over its buckets. Of snapshots of one key and instant the largest value
+    counts. Probes without a key or time find nothing.
     """
     key = ["entity_type", "entity_id", "feature_name"]
-
-    def bucket(ts: Column) -> Column:
-        return F.floor(F.unix_date(F.to_date(ts)) / bucket_days)
-
-    last_bucket = probes.select(bucket(F.max("as_of"))).scalar()
-    until = F.lead("computed_at").over(Window.partitionBy(*key).orderBy("computed_at"))
-    spans = snapshots.select(*key, "feature_value", "computed_at", until.alias("valid_until"))
-    first = bucket(F.col("computed_at"))
-    final = F.greatest(first, F.coalesce(bucket(F.col("valid_until")), last_bucket, first))
-    spans = spans.withColumn("bucket", F.explode(F.sequence(first, final)))
-
-    p, s = probes.withColumn("bucket", bucket(F.col("as_of"))).alias("p"), spans.alias("s")
-    same = [F.col(f"p.{c}") == F.col(f"s.{c}") for c in [*key, "bucket"]]
-    valid = (F.col("p.as_of") >= F.col("s.computed_at")) & (
-        F.col("s.valid_until").isNull() | (F.col("p.as_of") < F.col("s.valid_until"))
-    )
-    condition = valid
-    for pair in same:
-        condition = pair & condition
-    return p.join(s, condition, "left").select(
-        *[F.col(f"p.{c}") for c in probes.columns], F.col("s.feature_value"), F.col("s.computed_at")
-    )
+    fields = probes.columns
+    step = bucket_hours * 3600
+    seconds = lambda c: F.unix_seconds(F.col(c).cast("timestamp"))
+    nothing = lambda kind: F.lit(None).cast(kind)
+    kinds = dict(snapshots.select("feature_value", "computed_at").dtypes)
+
+    asked = probes.select(
+        *key, F.col("as_of").alias("_at"), F.lit(1).alias("_turn"), F.floor(seconds("as_of") / step).alias("_bucket"),
+        nothing(f"struct<computed_at:{kinds['computed_at']},feature_value:{kinds['feature_value']}>").alias("_known"),
+        F.struct(*fields).alias("_probe"),
+    )
+    told = snapshots.filter(F.col("computed_at").isNotNull()).select(
+        *key, F.col("computed_at").alias("_at"), F.lit(0).alias("_turn"), F.floor(seconds("computed_at") / step).alias("_bucket"),
+        F.struct("computed_at", "feature_value").alias("_known"), nothing(asked.schema["_probe"].dataType.simpleString()).alias("_probe"),
+    )
+    # Per key and bucket: the last snapshot in it, then the last before it.
+    touched = asked.select(*key, "_bucket", "_known").unionByName(told.select(*key, "_bucket", "_known"))
+    per_bucket = touched.groupBy(*key, "_bucket").agg(F.max("_known").alias("_last"))
+    earlier = Window.partitionBy(*key).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    carried = per_bucket.select(*key, "_bucket", F.last("_last", ignorenulls=True).over(earlier).alias("_known")).filter("_known IS NOT NULL")
+    first = carried.select(
+        *key, F.col("_known.computed_at").alias("_at"), F.lit(0).alias("_turn"), "_bucket", "_known",
+        nothing(asked.schema["_probe"].dataType.simpleString()).alias("_probe"),
+    )
+    stream = asked.unionByName(told).unionByName(first)
+    so_far = Window.partitionBy(*key, "_bucket").orderBy("_at", "_turn", F.col("_known").asc_nulls_last()).rowsBetween(Window.unboundedPreceding, 0)
+    answered = stream.withColumn("_known", F.last("_known", ignorenulls=True).over(so_far)).filter("_turn = 1")
+    whole = F.col("_probe.as_of").isNotNull()
+    for c in key:
+        whole &= F.col(f"_probe.{c}").isNotNull()
+    known = F.when(whole, F.col("_known"))
+    return answered.select("_probe.*", known["feature_value"].alias("feature_value"), known["computed_at"].alias("computed_at"))

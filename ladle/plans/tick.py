@@ -13,6 +13,7 @@ from ladle.operators import batches, cleaning, contract, features, numbering, re
 from ladle.plans import serving
 from ladle.schema import DELIVERY, FEATURE_SNAPSHOT
 from ladle.sources import tables
+from ladle.sources.feature_tables import OnlineStore
 
 _STORED = T.StructType([*DELIVERY, T.StructField("order_month", T.StringType()), T.StructField("batch_id", T.StringType())])
 _BATCH_LOG = T.StructType(
@@ -71,31 +72,16 @@ class Warehouse:
         for name in ("predictions", "deliveries"):
             tables.finish_swaps(self.spark, self.path(f"_staged/{name}"), self.path(name))
 
-    def _online_versions(self) -> list[int]:
-        """Complete versions of the online store, oldest first."""
-        found = tables.partitions(self.spark, self.path("online"), "version")
-        return sorted(int(v) for v in found if tables.exists(self.spark, self.path(f"online/version={v}/_SUCCESS")))
-
-    def online_rows(self) -> DataFrame:
-        """The newest feature row of every key ever written; pruning history
-        does not touch it."""
-        versions = self._online_versions()
-        if not versions:
-            return self.spark.createDataFrame([], FEATURE_SNAPSHOT)
-        return self.spark.read.schema(FEATURE_SNAPSHOT).parquet(self.path(f"online/version={versions[-1]}"))
+    def online_store(self) -> OnlineStore:
+        """The newest value of every key ever written; pruning history does
+        not touch it."""
+        return OnlineStore(self.spark, self.path("online"))
 
     def online(self) -> DataFrame:
-        return store.online_latest(self.online_rows())
+        return self.online_store().latest()
 
     def upsert_online(self, values: DataFrame) -> None:
-        """Merge new values by key into a new version, then drop older ones.
-        A version counts once it is complete, so a stop in between leaves the
-        one before in place."""
-        versions = self._online_versions()
-        merged = store.newest_rows(self.online_rows().unionByName(values.select(*FEATURE_SNAPSHOT.names)))
-        merged.write.mode("overwrite").parquet(self.path(f"online/version={max(versions, default=0) + 1}"))
-        for version in versions:
-            tables.delete(self.spark, self.path(f"online/version={version}"))
+        self.online_store().upsert(values)
 
     def append_deliveries(self, rows: DataFrame, batch_id: str) -> None:
         month = F.date_format("order_ts", "yyyy-MM")

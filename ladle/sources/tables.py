@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from ladle.schema import RAW_RECORD
 
@@ -34,6 +34,23 @@ def parse_messages(messages: DataFrame, schema: StructType = RAW_RECORD) -> Data
     return messages.select(F.from_json(F.col("value").cast("string"), schema).alias("r")).select("r.*")
 
 
+def judge_messages(messages: DataFrame, schema: StructType = RAW_RECORD) -> DataFrame:
+    """The fields of every message, ``malformed`` (whether it is no record of that form) and the message itself.
+
+    Text that is no JSON object, that is cut off, or that holds a value of another type in a field is malformed: its fields
+    stay null, so that nothing half-read passes for a record. A record that is well formed but wrong is the contract's
+    matter, also one that lacks fields.
+    """
+    broken = "_not_parsed"
+    text = F.col("value").cast("string")
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": broken}
+    record = F.from_json(text, StructType([*schema, StructField(broken, StringType())]), options)
+    read = messages.select(text.alias("message"), record.alias("r"))
+    bad = F.col("r").isNull() | F.col(f"r.{broken}").isNotNull()
+    read = read.withColumn("malformed", bad)
+    return read.select(*[F.when(~F.col("malformed"), F.col(f"r.{c}")).alias(c) for c in schema.names], "malformed", "message")
+
+
 def message_stream(spark: SparkSession, source: str, options: dict[str, str]) -> DataFrame:
     """A stream of raw messages: ``text`` files or a ``kafka`` topic."""
     reader = spark.readStream.format(source).options(**options)
@@ -74,6 +91,12 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(at)
 
 
+def touch(spark: SparkSession, path: str) -> None:
+    """An empty file: a mark that is there at once or not at all."""
+    at, fs = _files(spark, path)
+    fs.create(at, True).close()
+
+
 def delete(spark: SparkSession, path: str) -> None:
     at, fs = _files(spark, path)
     fs.delete(at, True)

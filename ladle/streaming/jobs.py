@@ -64,6 +64,28 @@ def ingest(stream: DataFrame, target: str, checkpoint: str) -> DataFrame:
     return _read(stream.sparkSession, target, stream)
 
 
+def ingest_messages(messages: DataFrame, target: str, checkpoint: str) -> tuple[DataFrame, DataFrame]:
+    """Records out of a stream of JSON messages (value), and the messages that are none: both tables as they stand after
+    everything new has been read.
+
+    Every message is parsed once and written to one of two folders of its micro-batch. The positions in the topic are
+    kept in the checkpoint; a micro-batch that is run again replaces its folders, so a message counts once.
+    """
+
+    def each(batch: DataFrame, number: int) -> None:
+        outcome = F.when(F.col("malformed"), "malformed").otherwise("record")
+        judged = tables.judge_messages(batch).withColumn("outcome", outcome)
+        kept = judged.withColumn("message", F.when(F.col("malformed"), F.col("message"))).drop("malformed")
+        kept.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("outcome").parquet(f"{target}/part={number}")
+
+    drain(messages, each, checkpoint)
+    like = tables.judge_messages(_static(messages)).drop("malformed").withColumns({"outcome": F.lit(""), "part": F.lit(0).cast("long")})
+    written = _read(messages.sparkSession, target, like)
+    records = written.filter(F.col("outcome") == "record").drop("message", "outcome", "part")
+    malformed = written.filter(F.col("outcome") == "malformed").select("message", F.col("part").alias("micro_batch"))
+    return records, malformed
+
+
 def publish_stream(messages: DataFrame, sink: str, options: dict[str, str], checkpoint: str) -> None:
     """Write a stream of (value) messages to files or a topic."""
     query = (

@@ -49,7 +49,11 @@ B["scan_fact"] = f"SELECT delivery_id, user_id, merchant_id, dasher_id, zone_id,
 _iso = "strftime(order_ts, '%Y-%m-%dT%H:%M:%S.%f') || '+00:00'"
 B["read_json_batch"] = f"SELECT ingest_seq, user_id, {_iso} AS order_ts, total_amount, issue_type FROM raw_batch"
 B["write_json_batch"] = "SELECT ingest_seq, merchant_id, promised_eta_min, is_late, source FROM passed"
-B["stream_ingest"] = f"SELECT ingest_seq, zone_id, {ts('order_ts')} AS order_ts, promised_eta_min, is_late FROM raw_batch"
+B["stream_ingest"] = f"""SELECT ingest_seq, zone_id, {_iso} AS order_ts, promised_eta_min, is_late, CAST(NULL AS VARCHAR) AS malformed
+  FROM raw_batch WHERE ingest_seq % 397 NOT IN (11, 12, 13, 14)
+  UNION ALL SELECT NULL, NULL, NULL, NULL, NULL, CASE ingest_seq % 397 WHEN 11 THEN concat('{{"ingest_seq": ', ingest_seq, ', "zone_id"')
+    WHEN 12 THEN concat('{{"ingest_seq": ', ingest_seq, ', "zone_id": "north"}}') WHEN 13 THEN concat('no record ', ingest_seq) ELSE '' END
+  FROM raw_batch WHERE ingest_seq % 397 IN (11, 12, 13, 14)"""
 B["stream_publish"] = f"SELECT ingest_seq, user_id, {_iso} AS order_ts, tip_amount FROM raw_batch"
 B["fact_append"] = """SELECT CAST((SELECT max(delivery_id) FROM deliveries) + row_number() OVER (ORDER BY ingest_seq) AS BIGINT) AS delivery_id,
   ingest_seq FROM deduped"""
