@@ -101,6 +101,12 @@ def _passing(m: Marketplace) -> DataFrame:
     return contract.gate_split(_landed(m))[0]
 
 
+def _prior(m: Marketplace) -> DataFrame:
+    """Every entity-month with the stats of its entity's month before: one scan of the fact, written as it is looked up in
+    three times."""
+    return _written(m, history.prior_months(m.deliveries()))
+
+
 def _newest_month(m: Marketplace) -> Column:
     return scalar(m.deliveries(), F.trunc(F.max("order_ts"), "MM").cast("timestamp_ntz"))
 
@@ -326,7 +332,7 @@ def join_weather_left(m):
 def join_prior_period_left(m):
     deliveries = m.deliveries()
     rows = deliveries.select("delivery_id", "order_ts", "dasher_id", "merchant_id", "zone_id")
-    return joins.with_prior_period(rows, deliveries).select(
+    return joins.with_prior_period(rows, _prior(m)).select(
         "delivery_id", *[c for names in joins.PRIOR_COLUMNS.values() for c in names.values()]
     )
 
@@ -521,8 +527,7 @@ def bias_label(m):
 @query
 def histogram_bins(m):
     residuals = sampling.histogram(_scored(m), {"residual": 30})
-    most = m.deliveries().agg(F.max("item_count")).first()[0] or 1
-    shapes = sampling.histogram(m.deliveries(), {"subtotal": 40, "actual_delivery_min": 40, "item_count": int(most)})
+    shapes = sampling.histogram(m.deliveries(), {"subtotal": 40, "actual_delivery_min": 40, "item_count": None})
     return shapes.unionByName(residuals)
 
 
@@ -559,23 +564,23 @@ def ml_error_metrics(m):
 # -- windows, top-k, set operations -----------------------------------------------------
 
 
-def _prior(m, kind: str, *columns: str) -> DataFrame:
+def _prior_of(m, kind: str, *columns: str) -> DataFrame:
     return history.prior_month(m.deliveries(), kind).select(f"{kind}_id", "month", *columns)
 
 
 @query
 def prior_month_dasher(m):
-    return _prior(m, "dasher", "prior_avg", "prior_count")
+    return _prior_of(m, "dasher", "prior_avg", "prior_count")
 
 
 @query
 def prior_month_merchant(m):
-    return _prior(m, "merchant", "prior_avg", "prior_late_rate")
+    return _prior_of(m, "merchant", "prior_avg", "prior_late_rate")
 
 
 @query
 def prior_month_zone(m):
-    return _prior(m, "zone", "prior_avg", "prior_count")
+    return _prior_of(m, "zone", "prior_avg", "prior_count")
 
 
 @query
@@ -826,6 +831,25 @@ def stream_weekly_ticks(m):
     return jobs.weekly_ticks(m.stream("events"), session.scratch(m.spark, "weeks"), session.scratch(m.spark, "position"))
 
 
+@query
+def stream_closed_weeks(m):
+    """Weeks that are closed: three sets of events arrive one after another, the last with events of the first fifth that
+    come too late. A week is given out once, when the watermark has passed it, and its state is dropped."""
+    events = m.table("events")
+    low, high = (scalar(events, f(F.unix_micros(F.col("ts").cast("timestamp")))) for f in (F.min, F.max))
+    at = (F.unix_micros(F.col("ts").cast("timestamp")) - low) / (high - low)
+    late = (F.col("event_id") % 13 == 0) & (at < 0.2)
+    sets = F.when(late | (at >= 0.75), 3).when(at >= 0.5, 2).otherwise(1)
+    numbered = _written(m, events.select("ts", "event_type", sets.alias("arrives")))
+    topic, weeks, position = (session.scratch(m.spark, n) for n in ("events", "weeks", "position"))
+    for number in (1, 2, 3):
+        arrived = numbered.filter(F.col("arrives") == number).drop("arrives")
+        arrived.write.mode("append").parquet(topic)
+        stream = m.spark.readStream.schema(arrived.schema).parquet(topic)
+        closed = jobs.weekly_ticks(stream, weeks, position, mode="append")
+    return closed
+
+
 @query
 def resume_point(m):
     deliveries = m.deliveries()
@@ -853,7 +877,7 @@ def stream_gate_and_clean(m):
 
 
 def _training(m: Marketplace) -> DataFrame:
-    return training.training_set(m.deliveries(), m.zones(), m.merchants(), m.weather())
+    return training.training_set(m.deliveries(), m.zones(), m.merchants(), m.weather(), _prior(m))
 
 
 @query
@@ -904,10 +928,30 @@ def score_batch(m):
     return serving.score_batch(_run(m)[0], _serving(m), latest(m.deliveries()))
 
 
+def _run_log(m: Marketplace) -> DataFrame:
+    """The log after the training run of a folder was entered twice, and once with other parameters, as a run that is only
+    planned: without metrics."""
+    _, metrics, counts = _run(m)
+    log = training.RunLog(m.spark, session.scratch(m.spark, "runs"))
+    seen = m.deliveries().agg(F.max("order_ts").cast("string")).first()[0]
+    for params in ({}, {}, {"maxIter": 100}):
+        name = training.run_id_of(counts, seen, **params)
+        rows = training.training_runs_log(metrics, name, counts, **params)
+        log.append(rows.filter("kind = 'param'") if params else rows, name)
+    return log.rows()
+
+
 @query
 def training_runs_log(m):
-    _, metrics, counts = _run(m)
-    return training.training_runs_log(metrics, "run-1", counts)
+    return _run_log(m)
+
+
+@query
+def training_run_parameters(m):
+    """What the log says of each run before it began: parameters and sizes, the runs in the order of their iterations."""
+    rows = _run_log(m).filter("kind = 'param'")
+    iterations = rows.filter("name = 'maxIter'").select("run_id", F.col("value").alias("iterations"))
+    return rows.join(iterations, "run_id").select("iterations", "name", "value")
 
 
 # -- maintenance and composite jobs --------------------------------------------------------

@@ -91,6 +91,19 @@ def prior_month(deliveries: DataFrame, kind: str, strict_calendar: bool = False)
     return lagged.drop("prior_month")
 
 
+def prior_months(deliveries: DataFrame, strict_calendar: bool = False) -> DataFrame:
+    """entity_type, entity_id, month, prior_avg, prior_count, prior_late_rate: ``prior_month`` of all three entity types, from
+    one scan. The window runs over the long monthly rows, so a courier, a merchant and a zone are windows alike, of one row
+    per active month."""
+    w = Window.partitionBy("entity_type", "entity_id").orderBy("month")
+    names = {"prior_avg": "avg_minutes", "prior_count": "order_count", "prior_late_rate": "late_rate_pct"}
+    before = {name: F.lag(c).over(w) for name, c in names.items()}
+    lagged = all_monthly_stats(deliveries).withColumns({**before, "prior_month": F.lag("month").over(w)})
+    if strict_calendar:
+        lagged = lagged.filter(F.add_months("prior_month", 1) == F.col("month"))
+    return lagged.select("entity_type", "entity_id", "month", *names)
+
+
 def trailing_user_stats(deliveries: DataFrame, users: DataFrame, as_of=None, days: int = HISTORY_DAYS) -> DataFrame:
     """Orders and spend of every user in the days before a date, 0 if none."""
     if as_of is None:

@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ladle.functions.conditions import NO_WEATHER
-from ladle.operators.history import prior_month
 
 
 def orders_by_place(deliveries: DataFrame, zones: DataFrame) -> DataFrame:
@@ -49,15 +48,20 @@ PRIOR_COLUMNS = {
 }
 
 
-def with_prior_period(rows: DataFrame, history: DataFrame, strict_calendar: bool = False) -> DataFrame:
+def with_prior_period(rows: DataFrame, prior: DataFrame) -> DataFrame:
     """Stats of the previous active month of the row's courier, merchant and
-    zone. Rows for which one of the three averages is missing drop out, so the
-    joins are inner from the start and the null averages never travel."""
+    zone, looked up in ``history.prior_months``; as a written table, that is
+    read three times and the fact once. Rows for which one of the three
+    averages is missing drop out, so the joins are inner from the start and
+    the null averages never travel."""
+    kinds = dict(rows.dtypes)
+    known = prior.filter(F.col("prior_avg").isNotNull())
     out = rows.withColumn("month", F.trunc("order_ts", "MM"))
     for kind, names in PRIOR_COLUMNS.items():
-        stats = prior_month(history, kind, strict_calendar).filter(F.col("prior_avg").isNotNull())
-        stats = stats.select(f"{kind}_id", "month", *[F.col(c).alias(n) for c, n in names.items()])
-        out = out.join(stats, [f"{kind}_id", "month"])
+        key = f"{kind}_id"
+        stats = known.filter(F.col("entity_type") == kind)
+        stats = stats.select(F.col("entity_id").cast(kinds[key]).alias(key), "month", *[F.col(c).alias(n) for c, n in names.items()])
+        out = out.join(stats, [key, "month"])
     return out.drop("month")
 
 

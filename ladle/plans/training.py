@@ -2,17 +2,23 @@
 
 from __future__ import annotations
 
+import hashlib
+import json
+from dataclasses import dataclass
+
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import StringIndexerModel, VectorAssembler
 from pyspark.ml.regression import GBTRegressor
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ladle.functions import localtime
 from ladle.functions.exact import mean
 from ladle.operators import joins, sampling
 from ladle.operators.numbering import time_based_split
 from ladle.session import ensure_checkpoint_dir
+from ladle.sources import tables
 
 # The columns of the model, in order.
 NUMERIC = [
@@ -52,16 +58,16 @@ LABELS = {
 MISSING = -999.0
 
 
-def training_set(deliveries, zones, merchants, weather, sample_pct: int | None = None, local_weather: bool = False) -> DataFrame:
+def training_set(deliveries, zones, merchants, weather, prior, sample_pct: int | None = None, local_weather: bool = False) -> DataFrame:
     """Deliveries with what was known before them: dimensions, weather of the
-    day and each entity's previous month. ``sample_pct`` trains on a sample;
-    the monthly stats always come from all deliveries."""
+    day and each entity's previous month (``history.prior_months`` of all
+    deliveries, written). ``sample_pct`` trains on a sample."""
     rows = deliveries if sample_pct is None else sampling.table_sample(deliveries, sample_pct)
     rows = rows.select("delivery_id", "order_ts", TARGET, "item_count", "subtotal", "zone_id", "merchant_id", "dasher_id")
     rows = joins.with_dimensions(rows, zones, merchants)
     local_day = F.to_date(localtime.local_time(F.col("order_ts"), F.col("timezone"))) if local_weather else None
     rows = joins.with_weather(rows, weather, local_day)
-    return joins.with_prior_period(rows, deliveries).select(*TRAINING_COLUMNS)
+    return joins.with_prior_period(rows, prior).select(*TRAINING_COLUMNS)
 
 
 def flag_text(flag: Column) -> Column:
@@ -134,6 +140,33 @@ def train_eta(features: DataFrame, **params) -> tuple[PipelineModel, DataFrame]:
     return model, error_metrics(predict(model, test), F.col("prediction"), F.col(TARGET).cast("double"))
 
 
+def run_id_of(split_counts: dict[str, int], data: str, **params) -> str:
+    """A name that follows from what a run does: its parameters, the sizes of its parts and the data it saw. The same run
+    has the same name wherever and whenever it is done."""
+    facts = {**PARAMS, **params, **split_counts, "data": data, "columns": FEATURES, "target": TARGET}
+    return hashlib.sha256(json.dumps(facts, sort_keys=True).encode()).hexdigest()[:16]
+
+
+@dataclass
+class RunLog:
+    """An append-only table of training runs, one folder per run. A run that is logged again, also after a stop midway,
+    adds nothing."""
+
+    spark: SparkSession
+    path: str
+
+    def append(self, rows: DataFrame, run_id: str) -> bool:
+        """Log the (run_id, kind, name, value) rows of a run; False if it was logged before."""
+        if run_id in tables.partitions(self.spark, self.path, "run"):
+            return False
+        rows.withColumn("run", F.lit(run_id)).write.mode("append").partitionBy("run").parquet(self.path)
+        return True
+
+    def rows(self) -> DataFrame:
+        kinds = "run_id string, kind string, name string, value double"
+        return tables.read_table(self.spark, self.path, StructType.fromDDL(kinds))
+
+
 def training_runs_log(metrics: DataFrame, run_id: str, split_counts: dict[str, int], **params) -> DataFrame:
     """Parameters and metrics of a run as (run_id, kind, name, value) rows."""
     fixed = {**PARAMS, **params, "training_rows": split_counts["train"], "test_rows": split_counts["test"], "sample_pct": split_counts["sample_pct"]}

@@ -360,6 +360,11 @@ B["weekly_tick_window"] = f"""SELECT strftime(w, '%Y-%m-%d %H:%M:%S') AS week_st
   count(*) FILTER (WHERE is_late) AS late FROM (SELECT CAST({_WEEK.format('order_ts')} AS TIMESTAMP) AS w, is_late FROM deliveries) d GROUP BY w"""
 B["stream_weekly_ticks"] = f"""SELECT strftime(w, '%Y-%m-%d %H:%M:%S') AS week_start, strftime(w + INTERVAL 7 DAY, '%Y-%m-%d %H:%M:%S') AS week_end, event_type, count(*) AS events
   FROM (SELECT CAST({_WEEK.format('ts')} AS TIMESTAMP) AS w, event_type FROM events) e GROUP BY w, event_type"""
+B["stream_closed_weeks"] = f"""WITH span AS (SELECT epoch_us(min(ts)) AS low, epoch_us(max(ts)) AS high, max(ts) AS last FROM events),
+  placed AS (SELECT e.*, (epoch_us(ts) - low)::DOUBLE / (high - low)::DOUBLE AS place FROM events e, span)
+  SELECT strftime(w, '%Y-%m-%d %H:%M:%S') AS week_start, strftime(w + INTERVAL 7 DAY, '%Y-%m-%d %H:%M:%S') AS week_end, event_type, count(*) AS events
+  FROM (SELECT CAST({_WEEK.format('ts')} AS TIMESTAMP) AS w, event_type FROM placed WHERE NOT (event_id % 13 = 0 AND place < 0.2)) e, span
+  WHERE w + INTERVAL 7 DAY <= last - INTERVAL 7 DAY GROUP BY w, event_type"""
 B["resume_point"] = f"""WITH r AS (SELECT CAST(max(order_ts) AS DATE) + 1 AS resume_date FROM deliveries WHERE source = 'historical')
   SELECT strftime(CAST(resume_date AS DATE), '%Y-%m-%d') AS resume_date, (SELECT count(*) FROM deliveries WHERE CAST(order_ts AS DATE) >= resume_date) AS new_rows FROM r"""
 B["stream_gate_and_clean"] = """SELECT ingest_seq, '' AS reasons, prep_time_min, pickup_wait_min, total_amount FROM cleaned
@@ -405,6 +410,10 @@ B["expected_demand"] = f"""{_DEMAND_BASE},
 B["expected_demand_hourly"] = f"""{_DEMAND_BASE}
   SELECT zone_id, {day('day')} AS day, CAST(h.range AS INTEGER) AS hour, CAST(0.0129 AS DOUBLE) * active_weight * ({_hour_weight('day', 'h.range')})
     * weather_demand * event_demand AS expected_orders FROM base, range(24) h"""
+B["training_run_parameters"] = f"""SELECT CAST(r.maxIter AS DOUBLE) AS iterations, p.name, CAST(CASE p.name WHEN 'maxIter' THEN r.maxIter WHEN 'maxDepth' THEN 6 WHEN 'stepSize' THEN 0.1
+    WHEN 'seed' THEN 42 WHEN 'training_rows' THEN n * 8 // 10 WHEN 'test_rows' THEN n - n * 8 // 10 WHEN 'sample_pct' THEN 100 END AS DOUBLE) AS value
+  FROM (SELECT count(*) AS n FROM ({B["training_set"]}) t) c, (VALUES (100), (200)) r(maxIter),
+    (VALUES ('maxIter'), ('maxDepth'), ('stepSize'), ('seed'), ('training_rows'), ('test_rows'), ('sample_pct')) p(name)"""
 
 
 def statement(name: str) -> str:

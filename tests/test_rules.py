@@ -5,7 +5,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from ladle.functions import conditions, localtime, money
-from ladle.operators import intervals, joins, sampling
+from ladle.operators import history, intervals, joins, sampling
 from ladle.plans import demand, monitoring, training
 
 
@@ -114,7 +114,7 @@ def test_coverage_and_pass_rate_of_nothing(spark, market):
 
 
 def test_serving_and_training_share_their_features(market):
-    rows = training.training_set(market.deliveries(), market.zones(), market.merchants(), market.weather())
+    rows = training.training_set(market.deliveries(), market.zones(), market.merchants(), market.weather(), history.prior_months(market.deliveries()))
     engineered = training.engineer_features(rows)
     assert set(training.FEATURES) <= set(engineered.columns)
     assert {r[0] for r in engineered.select("is_weekend").distinct().collect()} == {"True", "False"}
@@ -123,7 +123,7 @@ def test_serving_and_training_share_their_features(market):
 def test_no_cross_joins_and_no_python_in_plans(spark, folder):
     from ladle.catalog import QUERIES
 
-    eager = {"train_eta", "score_batch", "training_runs_log", "pipeline_tick"}
+    eager = {"train_eta", "score_batch", "training_runs_log", "training_run_parameters", "pipeline_tick"}
     for name, build in QUERIES.items():
         if name in eager or name.startswith("stream"):
             continue
