@@ -11,7 +11,7 @@ from ladle.schema import FEATURE_SNAPSHOT
 from ladle.sources import tables
 
 KEY = ["entity_type", "entity_id", "feature_name"]
-BUCKETS = 64
+BUCKETS = 16
 
 
 class OnlineStore:
@@ -40,20 +40,23 @@ class OnlineStore:
 
     def _versions(self) -> dict[int, list[int]]:
         """All versions of each bucket, committed or not, from the names of the folders."""
-        found = {}
-        for bucket in tables.partitions(self.spark, f"{self.root}/values", "bucket"):
-            found[int(bucket)] = [int(v) for v in tables.partitions(self.spark, f"{self.root}/values/bucket={bucket}", "version")]
+        found: dict[int, list[int]] = {}
+        for bucket, version in tables.nested_partitions(self.spark, f"{self.root}/values", "bucket", "version"):
+            found.setdefault(int(bucket), []).append(int(version))
         return found
 
-    def _current(self) -> dict[int, int]:
+    def _current(self, versions: dict[int, list[int]]) -> dict[int, int]:
+        """The newest committed version of each bucket."""
         committed = {int(v) for v in tables.partitions(self.spark, f"{self.root}/commits", "version")}
-        newest = {b: max(committed.intersection(v), default=None) for b, v in self._versions().items()}
+        newest = {b: max(committed.intersection(v), default=None) for b, v in versions.items()}
         return {b: v for b, v in newest.items() if v is not None}
 
     def rows(self, buckets: list[int] | None = None) -> DataFrame:
         """entity_type, entity_id, feature_name, feature_value, computed_at, bucket of the store or of some buckets."""
+        return self._stored(self._current(self._versions()), buckets)
+
+    def _stored(self, current: dict[int, int], buckets: list[int] | None) -> DataFrame:
         schema = T.StructType([*FEATURE_SNAPSHOT, T.StructField("bucket", T.IntegerType()), T.StructField("version", T.LongType())])
-        current = self._current()
         paths = [f"{self.root}/values/bucket={b}/version={v}" for b, v in current.items()]
         if not paths:
             return self.spark.createDataFrame([], schema).drop("version")
@@ -69,9 +72,9 @@ class OnlineStore:
             return touched
         versions = self._versions()
         number = 1 + max((v for of in versions.values() for v in of), default=0)
-        merged = store.newest_rows(self.rows(touched).drop("bucket").unionByName(values)).select(*FEATURE_SNAPSHOT.names)
+        before = self._current(versions)
+        merged = store.newest_rows(self._stored(before, touched).drop("bucket").unionByName(values)).select(*FEATURE_SNAPSHOT.names)
         dealt = merged.withColumns({"bucket": self.bucket(), "version": F.lit(number)}).hint("rebalance", F.col("bucket"))
-        before = self._current()
         dealt.write.mode("append").partitionBy("bucket", "version").parquet(f"{self.root}/values")
         tables.touch(self.spark, f"{self.root}/commits/version={number}")
         self._clean(versions, before, number)

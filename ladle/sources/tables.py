@@ -128,6 +128,14 @@ def partitions(spark: SparkSession, path: str, column: str) -> list[str]:
     return [n.partition("=")[2] for n in names if n.startswith(f"{column}=")]
 
 
+def nested_partitions(spark: SparkSession, path: str, outer: str, inner: str) -> list[tuple[str, str]]:
+    """The values of a table's two outermost partition columns, from one listing."""
+    at, fs = _files(spark, f"{path}/{outer}=*/{inner}=*")
+    value = lambda p: p.getName().partition("=")[2]
+    found = fs.globStatus(at)
+    return [(value(s.getPath().getParent()), value(s.getPath())) for s in found or []]
+
+
 def finish_swaps(spark: SparkSession, staged: str, path: str) -> None:
     """Carry on where a swap of staged folders stopped: a complete folder
     whose place is empty moves there. Folders whose place is still taken were
