@@ -27,9 +27,9 @@ REGION = np.uint64(int(0.4 * 2**64))
 FILTER_BITS = 26
 # So many times each set is compared with a hub of its tokens.
 HUB_ROUNDS = 3
-WORDS = 200_000
-SEEN = 1_000_000
-BATCH_ROWS = 200_000
+WORDS = 100_000
+SEEN = 250_000
+BATCH_ROWS = 100_000
 
 _MULTIPLIERS = [0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F]
 
