@@ -299,7 +299,8 @@ def _budget(members, queries, book: Codebook, counts: np.ndarray, dims: int, mos
         met = np.zeros(len(counts), np.int64)
         met[order] = np.cumsum(counts[order])
         needed += met[cells.to_numpy()].tolist()
-    return int(np.quantile(needed, recall)) if needed else 1
+    # A query meets as many others as it returns, however small the cells are.
+    return max(most, int(np.quantile(needed, recall))) if needed else most
 
 
 def _rerank(members: DataFrame, paths: DataFrame, layout, dims: int, most: int, element: str) -> DataFrame:
