@@ -54,7 +54,7 @@ def op2(pages):
 
 @query("op3_surrogates", "documents")
 def op3(docs):
-    return surrogates.surrogate_documents(docs)
+    return surrogates.surrogate_documents(docs, surrogates.session_key(docs.sparkSession))
 
 
 @query("op4_byte_bpe", "documents")

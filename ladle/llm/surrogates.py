@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ladle.session import ensure_checkpoint_dir
@@ -44,7 +44,8 @@ FORMS = {
 ANY = "|".join(f"(?:{form})" for form in FORMS.values())
 # A text without these has no entity; most texts are settled by this one look.
 HINT = rf"[0-9@]|{SECRET}|(?<!\p{{L}})(?:{TITLE})\.? \p{{Lu}}"
-ROUNDS = 3
+# So often a surrogate is drawn. Few entities need a second draw, unless a form has hardly any free values left.
+ROUNDS = 40
 LETTERS = "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -68,20 +69,24 @@ def names_of(mention: Column) -> Column:
     return F.slice(words, F.lit(2), F.greatest(F.size(words) - 1, F.lit(0)))
 
 
+def gender_of(mention: Column) -> Column:
+    """What the form of address of a person tells."""
+    female = mention.rlike(rf"^(?:{'|'.join(TITLES['f'].split())})(?!\p{{L}})")
+    return F.when(female, "f").otherwise("m")
+
+
 def parts_of(mention: Column, kind: Column) -> Column:
     """The entities in a mention: (kind, canon, made_of). A person's names are entities of their own, so a name is the same
-    in full and after a title alone. ``canon`` is what all spellings of an entity share, ``made_of`` what tells how a
-    surrogate is made."""
+    in full and after a title alone; its gender shows in the ending. ``canon`` is what all spellings of an entity share,
+    ``made_of`` what tells how a surrogate is made."""
     names = names_of(mention)
-    female = mention.rlike(f"^(?:{'|'.join(TITLES['f'].split())})")
-    gender = F.when(female, "f").otherwise("m")
 
     def name(word: Column, i: Column) -> Column:
         script = F.when(word.rlike(r"\p{IsCyrillic}"), "cyrillic").when(word.rlike(r"\p{IsGreek}"), "greek").otherwise("latin")
         role = F.when(i == F.size(names) - 1, "family").otherwise("given")
         return F.struct(
             F.lit("person").alias("kind"), F.lower(word).alias("canon"),
-            F.concat_ws(" ", script, role, gender).alias("made_of"),
+            F.concat_ws(" ", script, role).alias("made_of"),
         )
 
     digits = F.regexp_replace(mention, r"[^0-9]", "")
@@ -108,6 +113,19 @@ def _luhn(digits: Column) -> Column:
     return ((10 - F.aggregate(F.sequence(F.lit(0), n - 1), F.lit(0), add) % 10) % 10).cast("string")
 
 
+def _check_digits(iban: Column) -> Column:
+    """The two digits after the country that make an IBAN valid, whatever stands there: 98 less the rest modulo 97 of the
+    account, the country and 00, with letters as 10 to 35."""
+    number = F.concat(F.substring(iban, F.lit(5), F.length(iban)), F.left(iban, F.lit(2)), F.lit("00"))
+
+    def add(total: Column, i: Column) -> Column:
+        c = F.substring(number, i + 1, F.lit(1))
+        return F.when(c.rlike("[0-9]"), (total * 10 + c.cast("int")) % 97).otherwise((total * 100 + F.ascii(c) - 55) % 97)
+
+    rest = F.aggregate(F.sequence(F.lit(0), F.length(number) - 1), F.lit(0), add)
+    return F.lpad((98 - rest).cast("string"), 2, "0")
+
+
 def _of(values: dict[str, str], name: Column) -> Column:
     """The value of a name; null for others."""
     return F.element_at(F.create_map(*[F.lit(x) for pair in values.items() for x in pair]), name)
@@ -117,8 +135,9 @@ def with_candidates(entities: DataFrame, secret_key: str, attempt: int) -> DataF
     """Add the surrogate of an attempt to kind, canon, made_of: a keyed hash of the entity, written in the entity's form.
 
     Digits become digits and letters letters of the same case, place by place; what else stands in it stays, and so do the
-    last label of a mail domain, a country code, an issuer's first digit and IBAN country. Cards and bare hex keep their
-    checksum and alphabet. The octets of addresses keep their lengths. Names get 2 syllables and one more per attempt.
+    last label of a mail domain, a country code, an issuer's first digit and IBAN country. A card or an IBAN that is valid
+    gets valid check digits, and bare hex keeps its alphabet. The octets of addresses keep their lengths. Names get 2
+    syllables and one more per attempt; their endings follow when they are put into a text.
     """
     kind, canon = F.col("kind"), F.col("canon")
     blocks = [F.sha2(F.concat_ws("|", F.lit(f"{secret_key}|{attempt}|{b}"), kind, canon), 256) for b in range(4)]
@@ -126,7 +145,7 @@ def with_candidates(entities: DataFrame, secret_key: str, attempt: int) -> DataF
     kept = (
         F.when(kind == "email", F.length(F.substring_index(canon, ".", -1)) * -1)
         .when(kind == "phone", F.when(canon.startswith("+1"), 2).when(canon.startswith("+"), 3).otherwise(0))
-        .when(kind == "iban", 4).when(kind == "card", 1)
+        .when(kind == "iban", 2).when(kind == "card", 1)
         .when((kind == "secret") & canon.startswith("AKIA"), 4).otherwise(0)
     )
     rows = rows.withColumn("stays", kept).withColumn("hexadecimal", (kind == "secret") & canon.rlike("^[0-9a-f]+$"))
@@ -160,36 +179,47 @@ def with_candidates(entities: DataFrame, secret_key: str, attempt: int) -> DataF
     sounds = F.transform(F.sequence(F.lit(0), F.lit(2 * (2 + attempt) - 1)), sound)
     made = (
         F.when(kind == "ip", F.array_join(F.transform(F.split(canon, "[.]"), octet), "."))
-        .when(kind == "person", F.concat(F.array_join(sounds, ""), _of(ENDINGS, F.col("made_of"))))
+        .when(kind == "person", F.array_join(sounds, ""))
         .otherwise(F.array_join(spelled, ""))
     )
     body = F.left("made", F.length("made") - 1)
     valid = (kind == "card") & (_luhn(F.left(canon, F.length(canon) - 1)) == F.substring(canon, -1, 1))
+    checked = (kind == "iban") & (_check_digits(canon) == F.substring(canon, 3, 2))
+    country, account = F.left("made", F.lit(2)), F.substring(F.col("made"), F.lit(5), F.length("made"))
     surrogate = F.when(valid, F.concat(body, _luhn(body))).otherwise(F.col("made"))
+    surrogate = F.when(checked, F.concat(country, _check_digits(F.col("made")), account)).otherwise(surrogate)
     return rows.withColumn("made", made).withColumn("surrogate", surrogate).drop("stream", "stays", "hexadecimal", "made")
 
 
 def assign(entities: DataFrame, secret_key: str, rounds: int = ROUNDS) -> DataFrame:
-    """kind, canon, surrogate: a surrogate for each different entity, no two alike, none of them an entity of the corpus.
+    """kind, canon, made_of, surrogate: a surrogate for each different entity, no two alike, none of them an entity of the
+    corpus. A name that is a given name anywhere is one everywhere. A person's surrogate is the stem of a name; a stem is
+    no good if it makes a name of the corpus with any ending.
 
     In each round the entities that are left make a candidate. One that is itself an entity, or was given away before, is
-    no good; of several entities with one candidate the first keeps it. Few are left after a round. What is left at the end
-    (only where a form has fewer values than there are entities) gets its SHA-256 in place of a form. Every round is
-    checkpointed, so each reads the one before as a table.
+    no good; of several entities with one candidate the first keeps it. Few are left after a round, and the rounds end when
+    none is. What is left after ``rounds`` draws (a form has hardly any free values then, or none) gets its SHA-256 in place
+    of a form. Every round is checkpointed, so each reads the one before as a table.
     """
     ensure_checkpoint_dir(entities.sparkSession)
-    left = entities.groupBy("kind", "canon").agg(F.min("made_of").alias("made_of")).checkpoint()
-    taken = left.select("kind", F.col("canon").alias("surrogate"))
+    left = entities.groupBy("kind", "canon").agg(F.max("made_of").alias("made_of")).checkpoint()
+    canon = F.col("canon")
+    stems = F.array(canon, *[F.when(canon.endswith(e), F.expr(f"left(canon, length(canon) - {len(e)})")) for e in sorted(set(ENDINGS.values()))])
+    stems = F.when(F.col("kind") == "person", F.array_compact(stems)).otherwise(F.array(canon))
+    taken = left.select("kind", F.explode(stems).alias("surrogate"))
     given = []
     for attempt in range(rounds):
         tried = with_candidates(left, secret_key, attempt)
-        first = tried.groupBy("kind", "surrogate").agg(F.min("canon").alias("canon"))
-        won = first.join(taken, ["kind", "surrogate"], "left_anti").select("kind", "canon", "surrogate").checkpoint()
+        first = tried.groupBy("kind", "surrogate").agg(F.min(F.struct("canon", "made_of")).alias("first"))
+        free = first.join(taken, ["kind", "surrogate"], "left_anti")
+        won = free.select("kind", "first.canon", "first.made_of", "surrogate").checkpoint()
         given.append(won)
         taken = taken.unionByName(won.select("kind", "surrogate"))
         left = left.join(won, ["kind", "canon"], "left_anti").checkpoint()
-    rest = left.select("kind", "canon", F.sha2(F.concat_ws("|", F.lit(secret_key), "kind", "canon"), 256).alias("surrogate"))
-    return reduce(DataFrame.unionByName, [*given, rest])
+        if left.isEmpty():
+            break
+    beyond = F.sha2(F.concat_ws("|", F.lit(secret_key), "kind", "canon"), 256).alias("surrogate")
+    return reduce(DataFrame.unionByName, [*given, left.select("kind", "canon", "made_of", beyond)])
 
 
 def named(word: Column, surrogate: Column) -> Column:
@@ -252,18 +282,21 @@ def replacements(texts: DataFrame, secret_key: str) -> DataFrame:
     every = mentions.select(F.posexplode("parts").alias("place", "part"), "key", "mention", F.col("kind").alias("form"))
     every = every.select("key", "mention", "form", "place", "part.kind", "part.canon", "part.made_of")
     surrogates = assign(every.select("kind", "canon", "made_of"), secret_key).checkpoint()
+    ending = _of(ENDINGS, F.concat_ws(" ", "made_of", gender_of(F.col("mention"))))
+    ended = F.when(F.col("kind") == "person", F.concat("surrogate", ending)).otherwise(F.col("surrogate"))
+    put = every.drop("made_of").join(surrogates, ["kind", "canon"]).withColumn("surrogate", ended)
     spelled = (
-        every.join(surrogates, ["kind", "canon"])
-        .groupBy("key", "mention", "form")
+        put.groupBy("key", "mention", "form")
         .agg(F.sort_array(F.collect_list(F.struct("place", "surrogate")))["surrogate"].alias("surrogates"))
         .withColumn("swap", rendered(F.col("mention"), F.col("form"), F.col("surrogates")))
     )
-    each = F.transform(names_of(F.col("mention")), lambda word, i: F.struct(F.lower(word).alias("name"), F.get("surrogates", i).alias("to")))
-    spelled = spelled.withColumn("each", F.when(F.col("form") == "person", each))
-    grouped = spelled.groupBy("key").agg(
-        F.map_from_entries(F.collect_list(F.struct("mention", "swap"))).alias("swaps"),
-        F.map_from_entries(F.array_distinct(F.flatten(F.collect_list("each")))).alias("names"),
-    )
+    # Without a title a name has no gender; if the text has it for both, the feminine form stands for it.
+    names = put.filter("kind = 'person'").groupBy("key", F.col("canon").alias("name"))
+    names = names.agg(F.min(F.struct(gender_of(F.col("mention")).alias("gender"), "surrogate"))["surrogate"].alias("to"))
+    names = names.groupBy("key").agg(F.map_from_entries(F.collect_list(F.struct("name", "to"))).alias("names"))
+    swaps = spelled.groupBy("key").agg(F.map_from_entries(F.collect_list(F.struct("mention", "swap"))).alias("swaps"))
+    none = F.create_map().cast("map<string,string>")
+    grouped = swaps.join(names, "key", "left").withColumn("names", F.coalesce("names", none))
     # Names hold nothing but letters, apostrophes and hyphens; longer ones are tried first.
     longest = F.transform(F.map_keys("names"), lambda n: F.struct((-F.length(n)).alias("n"), n.alias("name")))
     one_of = F.array_join(F.transform(F.sort_array(longest), lambda x: x["name"]), "|")
@@ -271,9 +304,10 @@ def replacements(texts: DataFrame, secret_key: str) -> DataFrame:
     return grouped.withColumn("pattern", pattern)
 
 
-def replace_entities(docs: DataFrame, secret_key: str = "surrogates", column: str = "text") -> DataFrame:
+def replace_entities(docs: DataFrame, secret_key: str, column: str = "text") -> DataFrame:
     """The same rows and columns, with every entity in ``column`` replaced by its surrogate; an entity has one surrogate in
-    all rows, different entities have different ones. The names of a person that was found by its form of address are
+    all rows, different entities have different ones. Whoever knows ``secret_key`` can test guesses, so it is to be kept
+    secret. The names of a person that was found by its form of address are
     replaced wherever the same text has them capitalised.
 
     Rows without an entity are passed on as they are, unshuffled. The others find their swaps by the SHA-256 of the text, so
@@ -295,6 +329,12 @@ def replace_entities(docs: DataFrame, secret_key: str = "surrogates", column: st
     return replaced.unionByName(clean).select("row.*")
 
 
-def surrogate_documents(docs: DataFrame, secret_key: str = "surrogates") -> DataFrame:
-    """doc_id and the text with surrogates."""
+def session_key(spark: SparkSession) -> str:
+    """The key that the session names in ``spark.ladle.surrogates.key``. Without one, for trials and synthetic tables only,
+    a fixed key that is no secret."""
+    return spark.conf.get("spark.ladle.surrogates.key", "no secret: for trials only")
+
+
+def surrogate_documents(docs: DataFrame, secret_key: str) -> DataFrame:
+    """doc_id and the text with surrogates; null text stays null, and no row is lost or added."""
     return replace_entities(docs.select("doc_id", "text"), secret_key)

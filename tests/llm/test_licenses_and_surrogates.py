@@ -1,5 +1,7 @@
 import re
 
+from pyspark.sql import functions as F
+
 from ladle.llm import license, surrogates
 
 from .data import awkward, docs, prose
@@ -57,7 +59,7 @@ PRIVATE = [
 
 def test_surrogates(spark):
     table = docs(spark, PRIVATE)
-    replaced = surrogates.replace_entities(table)
+    replaced = surrogates.replace_entities(table, "k")
     assert replaced.columns == table.columns
     got = {}
     for r in replaced.collect():
@@ -80,7 +82,7 @@ def test_surrogates(spark):
     lady, man, russian, greek = re.fullmatch(r"Mrs\. (\w+ \w+) met Mr (\w+); Госпожа (\w+ \w+); Κύριος (\w+)", got[8]).groups()
     assert lady.split()[1] == man and lady.split()[0].endswith("la")
     assert re.fullmatch(r"[А-Я][а-я]+ла [А-Я][а-я]+рова", russian) and re.fullmatch(r"[Α-Ω][α-ω]+", greek)
-    assert re.fullmatch(r"DE89( \d{4}){4} \d\d", got[9])
+    assert re.fullmatch(r"DE\d\d( \d{4}){4} \d\d", got[9]) and valid_iban(got[9])
 
 
 def test_whole_names_labels_in_capitals_and_grouped_cards(spark):
@@ -89,7 +91,7 @@ def test_whole_names_labels_in_capitals_and_grouped_cards(spark):
         (2, "Mrs Smith-Lee Mr Paul"), (3, "API_KEY=Zx81Qwerty PASSWORD: hunter2go Token='AbCdEfGh'"), (4, "card 3782 822463 10005 or 378282246310005"),
         (5, "PASSWORD: hunterGo"), (6, "John Smith without a title"),
     ]
-    got = {r.doc_id: r.text for r in surrogates.replace_entities(docs(spark, texts)).collect()}
+    got = {r.doc_id: r.text for r in surrogates.replace_entities(docs(spark, texts), "k").collect()}
     given, middle, family, *others = re.fullmatch(
         r"Mr (\w+) (\w+) (\w+) came\. (\w+)'s wife, Mrs (\w+), met (\w+) (\w+); (\w+) left, a smith and Smithers stayed\.", got[1]
     ).groups()
@@ -104,6 +106,49 @@ def test_whole_names_labels_in_capitals_and_grouped_cards(spark):
     assert got[6] == texts[5][1]
 
 
+def valid_iban(text):
+    iban = text.replace(" ", "")
+    return int("".join(str(int(c, 36)) for c in iban[4:] + iban[:4])) % 97 == 1
+
+
+def test_gender_distinct_persons_and_valid_ibans(spark):
+    texts = [
+        (1, "Mr Sam Lee and Mrs Sam Lee"), (2, "Herr Andrea Rossi"), (3, "Frau Andrea Rossi"), (4, "Herr Andrea"),
+        (5, "Г-жа Саша Крот, Г-н Саша Крот"), (6, "GB82WEST12345698765432 GB82 WEST 1234 5698 7654 32 GB83WEST12345698765432"),
+        (7, "Frau Andrea Rossi"),
+    ]
+    got = {r.doc_id: r.text for r in surrogates.replace_entities(docs(spark, texts), "k").collect()}
+    him, his, her, hers = re.fullmatch(r"Mr (\w+) (\w+) and Mrs (\w+) (\w+)", got[1]).groups()
+    assert him.endswith("lon") and her == him[:-3] + "la" and his == hers != him
+    assert got[3] == got[7] and got[2].split()[1].endswith("lon") and got[3].split()[1].endswith("la")
+    assert got[2].split()[2] == got[3].split()[2] and got[4].split()[1] == got[2].split()[1]
+    her, hers, him, his = re.fullmatch(r"Г-жа (\w+) (\w+), Г-н (\w+) (\w+)", got[5]).groups()
+    assert her.endswith("ла") and him == her + "н" and hers == his + "а" and his.endswith("ров")
+    plain, spaced, wrong = re.fullmatch(r"(GB\w{20}) (GB\w\w(?: \w{4}){4} \w\w) (GB\w{20})", got[6]).groups()
+    assert plain == spaced.replace(" ", "") and valid_iban(plain) and plain not in texts[5][1] and wrong != plain
+
+
+def test_surrogates_of_whole_tables(spark, folder):
+    """Brute force over all mentions: one surrogate each, all different, none of them a mention, checksums kept."""
+    table = spark.read.parquet(f"{folder}/documents.parquet")
+    mention, kind = F.col("mention"), surrogates.kind_of(F.col("mention"))
+    rows = table.select(F.explode(surrogates.mentions_of(F.col("text"))).alias("mention")).distinct()
+    rows = rows.select(kind.alias("kind"), F.explode(surrogates.parts_of(mention, kind)).alias("p")).select("p.*")
+    got = surrogates.assign(rows, "k").toPandas()
+    assert len(got) == len(rows.select("kind", "canon").distinct().collect()) > 0
+    assert not got.duplicated(["kind", "canon"]).any() and not got.duplicated(["kind", "surrogate"]).any()
+    for kind, part in got.groupby("kind"):
+        assert not set(part.canon) & set(part.surrogate)
+        if kind == "person":
+            made = {s + e for s in part.surrogate for e in surrogates.ENDINGS.values()}
+            assert not made & set(part.canon)
+            continue
+        assert (part.canon.str.len() == part.surrogate.str.len()).all()
+        check = {"card": luhn, "iban": valid_iban}.get(kind)
+        if check:
+            assert all(check(s) for c, s in zip(part.canon, part.surrogate) if check(c))
+
+
 def luhn(number):
     total = 0
     for i, d in enumerate(reversed(number)):
@@ -135,12 +180,12 @@ def test_colliding_candidates_stay_distinct(spark):
 def test_awkward_rows_pass_unchanged(spark):
     table = docs(spark, awkward())
     same = lambda t: sorted(map(str, t.collect()))
-    assert same(surrogates.replace_entities(table)) == same(table)
-    assert surrogates.replace_entities(table.limit(0)).count() == 0
+    assert same(surrogates.replace_entities(table, "k")) == same(table)
+    assert surrogates.replace_entities(table.limit(0), "k").count() == 0
 
 
 def test_no_python_in_the_native_plans(spark, folder):
     table = spark.read.parquet(f"{folder}/documents.parquet")
-    for df in (license.scan(table), surrogates.surrogate_documents(table)):
+    for df in (license.scan(table), surrogates.surrogate_documents(table, "k")):
         plan = df._jdf.queryExecution().executedPlan().toString()
         assert "Python" not in plan and "Arrow" not in plan and "Cartesian" not in plan and "NestedLoop" not in plan
