@@ -67,15 +67,15 @@ def counts(text: str | None, codes: np.ndarray, different: int) -> tuple[int, ..
 
 
 class Features:
-    """N-grams hashed to places: byte n-grams of the text in one half, words and word pairs in the other. A document's
+    """N-grams hashed to places: n-grams of code points of the text in one half, words and word pairs in the other. A document's
     features are the shares of its n-grams, so neither its length nor its neighbours in a batch matter."""
 
     def __init__(self):
         self.hashes = Memo(xxhash.xxh32_intdigest, WORDS)
 
-    def places(self, data: bytes, words: list[bytes], codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def places(self, text: str, words: list[bytes], codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         shift = np.uint32(32 - BITS)
-        b, chars = np.frombuffer(data, np.uint8).astype(np.uint32), []
+        b, chars = np.frombuffer(text.encode("utf-32-le"), np.uint32), []
         for size in CHAR_SIZES:
             if len(b) >= size:
                 h = np.full(len(b) - size + 1, size, np.uint32)
@@ -131,9 +131,9 @@ def _feature_rows(sample: DataFrame) -> DataFrame:
         def work(batch: pa.RecordBatch) -> pa.RecordBatch:
             places, values = [], []
             for text in batch.column("text"):
-                data = text.as_py().encode()
+                text = text.as_py()
                 at, share = [np.zeros(0, np.int64)], [np.zeros(0, np.float32)]
-                for found in features.places(data, *word_codes(data)):
+                for found in features.places(text, *word_codes(text.encode())):
                     if len(found):
                         u, n = np.unique(found, return_counts=True)
                         at.append(u.astype(np.int64))
@@ -225,11 +225,10 @@ def train(docs: DataFrame, labels: DataFrame, rows_per_class: int = ROWS_PER_CLA
 def verdict(text: str | None, features: Features, model: Model | None, keep_from: float) -> tuple:
     """The counts, whether the base rule fails, whether the document is kept, the probability that it is good."""
     text = text or ""
-    data = text.encode()
-    words, codes = word_codes(data)
+    words, codes = word_codes(text.encode())
     found = counts(text, codes, len(words))
     failed = found[0] < LEAST_WORDS or 100 * found[4] > MOST_REPEATED_PERCENT * found[0]
-    score = model.probability(*features.places(data, words, codes)) if model else 1.0
+    score = model.probability(*features.places(text, words, codes)) if model else 1.0
     return *found, failed, not failed and score >= keep_from, score
 
 
