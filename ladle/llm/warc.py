@@ -286,21 +286,23 @@ def write_archive(rows: DataFrame, folder: str, **options: str) -> None:
     rows.write.format("warc").options(**options).mode("append").save(folder)
 
 
-def read_archive(spark: SparkSession, folder: str, **options: str) -> DataFrame:
-    """The records of an archive. Every scan carries a filter, which all records pass (a record has a type): a scan without
+def read_archive(spark: SparkSession, folder: str, record_type: str | None = None, **options: str) -> DataFrame:
+    """The records of an archive, or those of a type: the source tests it on the headers and skips other blocks. Every scan carries a filter, which all records pass (a record has a type): a scan without
     any would be planned with the filters of the scan before it."""
     register(spark)
-    return spark.read.format("warc").options(**options).load(folder).filter("record_type IS NOT NULL")
+    wanted = F.col("record_type").isNotNull() if record_type is None else F.col("record_type") == record_type
+    return spark.read.format("warc").options(**options).load(folder).filter(wanted)
 
 
 def archived_pages(pages: DataFrame, folder: str | None = None) -> DataFrame:
-    """Write all pages, read them back: payload sizes and digests of responses from the payload that was read, those of
-    revisits from their headers."""
+    """Write all pages, read them back in two scans, each with its record type as a pushed filter: payload sizes and digests
+    of responses from the payload that was read, those of revisits from their headers, with no payload decoded."""
     spark = pages.sparkSession
     folder = folder or scratch(spark, "warc")
     write_archive(page_records(pages), folder)
     page = lambda c: F.expr(f"try_cast(regexp_extract({c}, '^<urn:page:(-?[0-9]+)>$', 1) AS bigint)")
-    return read_archive(spark, folder).select(
+    whole, headers = read_archive(spark, folder, "response"), read_archive(spark, folder, "revisit", payload="false")
+    return whole.unionByName(headers).select(
         page("record_id").alias("page_id"),
         F.coalesce(F.octet_length("payload").cast("long"), F.col("http_length")).alias("payload_bytes"),
         F.coalesce(F.sha1("payload"), F.substring_index("payload_digest", ":", -1)).alias("payload_digest"),
