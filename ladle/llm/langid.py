@@ -9,19 +9,17 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import regex
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ladle.llm.memo import per_batch, rows_where
 
 LETTERS = regex.compile(r"\p{L}+")
 UNKNOWN = "und"
-# About so many documents of each language are learned from.
+# About so many different texts of each language are learned from.
 DOCS_PER_LANG = 2000
-# The most frequent languages are learned.
-MOST_LANGS = 500
-# The most frequent words and n-grams are kept.
-MOST_WORDS, MOST_GRAMS = 50_000, 100_000
+# Of each language its most frequent words and n-grams are kept: an equal share of these numbers, but never fewer than LEAST.
+WORDS, GRAMS, LEAST = 50_000, 100_000, 1_000
 SIZES = (5, 4, 3, 2, 1)
 HELD_OUT = 2
 SMOOTH = 0.5
@@ -44,15 +42,24 @@ def grams(word: str, size: int) -> list[str]:
 
 
 def sample(docs: DataFrame, docs_per_lang: int = DOCS_PER_LANG) -> DataFrame:
-    """lang, text: about ``docs_per_lang`` different texts of each language, from documents that may be learned from. The
-    rate per language follows from counts over all documents; who is taken, from a hash of doc_id and text."""
-    usable = docs.select("doc_id", "lang", "text").filter((fold(F.col("doc_id")) != HELD_OUT) & F.col("lang").isNotNull())
-    usable = usable.filter("text IS NOT NULL")
-    counts = usable.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(MOST_LANGS).collect()
-    rates = F.create_map(*[F.lit(v) for r in counts for v in (r["lang"], docs_per_lang / r["n"])]) if counts else F.lit(None)
-    drawn = F.shiftrightunsigned(F.xxhash64("doc_id", "text"), 11) / F.lit(float(1 << 53))
-    taken = usable.filter(drawn < F.element_at(rates, F.col("lang"))) if counts else usable.limit(0)
-    return taken.groupBy("lang", F.xxhash64("text").alias("key"), F.length("text").alias("n")).agg(F.min("text").alias("text"))
+    """lang, text: about ``docs_per_lang`` different texts of each language, from documents that may be learned from.
+
+    The rate of a language follows from an estimate of its different texts over all documents, and a hash of the text tells
+    who is taken, so copies are taken or left together and count once. Of copies that of the smallest doc_id is read; only
+    hashes and ids are grouped. The driver holds one rate per language.
+    """
+    usable = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "lang", "text")
+    usable = usable.filter((fold(F.col("doc_id")) != HELD_OUT) & F.col("lang").isNotNull() & F.col("text").isNotNull())
+    usable = usable.withColumn("key", F.xxhash64("text"))
+    counts = usable.groupBy("lang").agg(F.approx_count_distinct("key", 0.02).alias("n")).collect()
+    if not counts:
+        return usable.select("lang", "text")
+    rates = F.create_map(*[F.lit(v) for r in counts for v in (r["lang"], docs_per_lang / max(r["n"], 1))])
+    drawn = F.shiftrightunsigned("key", 11) / F.lit(float(1 << 53))
+    taken = usable.filter(drawn < F.element_at(rates, F.col("lang")))
+    firsts = taken.groupBy("lang", "key").agg(F.min("doc_id").alias("doc_id"))
+    found = taken.join(firsts, ["lang", "key", "doc_id"], "left_semi")
+    return found.groupBy("lang", "key").agg(F.min("text").alias("text")).select("lang", "text")
 
 
 def _word_counts(texts: DataFrame) -> DataFrame:
@@ -94,11 +101,13 @@ def _gram_counts(words: DataFrame) -> DataFrame:
     return counted.groupBy("lang", "size", "word").agg(F.sum("n").alias("n"))
 
 
-def _most_frequent(counts: DataFrame, langs: list[str], most: int, least: int, *key: str) -> pd.DataFrame:
-    """The ``most`` most frequent entries that were seen ``least`` times or more, with a count per language."""
-    columns = [F.sum(F.when(F.col("lang") == v, F.col("n")).otherwise(0)).alias(f"n{i}") for i, v in enumerate(langs)]
-    wide = counts.groupBy(*key).agg(F.sum("n").alias("n"), *columns).filter(F.col("n") >= least)
-    return wide.orderBy(F.desc("n"), *key).limit(most).toArrow().to_pandas()
+def _most_frequent(counts: DataFrame, langs: int, most: int, *key: str) -> pd.DataFrame:
+    """lang, key, n of the entries that are among the most frequent of some language and were seen at least twice."""
+    share = max(most // langs, LEAST)
+    seen = counts.join(counts.groupBy(*key).agg(F.sum("n").alias("total")).filter("total > 1").drop("total"), list(key))
+    nth = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), *key))
+    chosen = seen.withColumn("nth", nth).filter(F.col("nth") <= share).select(*key).distinct()
+    return seen.join(chosen, list(key), "left_semi").select("lang", *key, "n").toArrow().to_pandas()
 
 
 @dataclass
@@ -129,27 +138,30 @@ class Model:
 
 
 def train(docs: DataFrame, docs_per_lang: int = DOCS_PER_LANG) -> Model:
-    """Learn from a bounded sample; at most MOST_WORDS words and MOST_GRAMS n-grams reach the driver."""
+    """Learn from a bounded sample. The words and n-grams that reach the driver are bounded per language, so no language is
+    crowded out by others, however many there are. Null lang is not learned; without any lang the model is empty."""
     words = _word_counts(sample(docs, docs_per_lang)).checkpoint()
     langs = sorted(r["lang"] for r in words.select("lang").distinct().collect())
     if not langs:
         return Model([], {}, {}, np.zeros((0, 0), np.float32))
-    columns = [f"n{i}" for i in range(len(langs))]
+    number = {lang: i for i, lang in enumerate(langs)}
 
-    def centred(table: pd.DataFrame) -> np.ndarray:
-        n = table[columns].to_numpy(np.float64) + SMOOTH
+    def centred(table: pd.DataFrame) -> tuple[list[str], np.ndarray]:
+        rows, names = pd.factorize(table["word"], sort=True)
+        n = np.full((len(names), len(langs)), SMOOTH)
+        n[rows, table["lang"].map(number)] += table["n"]
         logs = np.log(n / n.sum(axis=0))
-        return (logs - logs.mean(axis=1, keepdims=True)).astype(np.float32)
+        return list(names), (logs - logs.mean(axis=1, keepdims=True)).astype(np.float32)
 
-    top = _most_frequent(words, langs, MOST_WORDS, 2, "word")
-    parts = _most_frequent(_gram_counts(words), langs, MOST_GRAMS, 2, "size", "word")
+    known, voice = centred(_most_frequent(words, len(langs), WORDS, "word"))
     names: list[str] = []
-    voices = [centred(top)]
-    for _, table in parts.groupby("size"):
-        names += table["word"].to_list()
-        voices.append(centred(table))
-    grams_at = {name: len(top) + i for i, name in enumerate(names)}
-    return Model(langs, {w: i for i, w in enumerate(top["word"])}, grams_at, np.concatenate(voices))
+    voices = [voice]
+    for _, table in _most_frequent(_gram_counts(words), len(langs), GRAMS, "size", "word").groupby("size"):
+        some, voice = centred(table)
+        names += some
+        voices.append(voice)
+    grams_at = {name: len(known) + i for i, name in enumerate(names)}
+    return Model(langs, {w: i for i, w in enumerate(known)}, grams_at, np.concatenate(voices))
 
 
 class Scorer:
@@ -221,12 +233,14 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
 
 
 def identify_languages(docs: DataFrame) -> DataFrame:
-    """Learn from the documents that are not held out, then predict every document from its text alone."""
+    """Learn from the documents that are not held out, then predict every document from its text alone. Repeated rows give
+    repeated results, an empty table none; null text, empty text and text without a letter are ``und``."""
     return identify(docs, train(docs))
 
 
 def keep_identified(docs: DataFrame, keep_from: float = KEEP_FROM) -> DataFrame:
-    """The documents whose language is known with some certainty, as they are."""
+    """The documents whose language is known with some certainty, as they are. Null text, empty text and text without a letter
+    go; other columns, whatever their names, stay untouched."""
     held = docs.sparkSession.sparkContext.broadcast(train(docs))
 
     def start():
