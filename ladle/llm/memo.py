@@ -8,6 +8,9 @@ from typing import Any
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+# Rows of an Arrow batch that goes to Python.
+BATCH_ROWS = 1_000
+
 
 class Memo(dict):
     """A dict that computes what is missing. ``trim`` starts a new generation once ``limit`` entries are held, and the
@@ -30,6 +33,13 @@ class Memo(dict):
             self.clear()
 
 
+def map_batches(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema) -> DataFrame:
+    """``mapInArrow`` with batches of few rows. A batch of whole texts is held three times, by Spark, on the way and in
+    Python, and Spark bounds it by rows alone."""
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    return df.mapInArrow(run, schema)
+
+
 def per_batch(df: DataFrame, start: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch]], schema: str) -> DataFrame:
     """Apply the function that ``start()`` builds once per task to every Arrow batch of that task."""
 
@@ -38,7 +48,7 @@ def per_batch(df: DataFrame, start: Callable[[], Callable[[pa.RecordBatch], pa.R
         for batch in batches:
             yield work(batch)
 
-    return df.mapInArrow(run, schema)
+    return map_batches(df, run, schema)
 
 
 def rows_where(df: DataFrame, start: Callable[[], Callable[[pa.RecordBatch], Any]]) -> DataFrame:
@@ -49,4 +59,4 @@ def rows_where(df: DataFrame, start: Callable[[], Callable[[pa.RecordBatch], Any
         for batch in batches:
             yield batch.filter(pa.array(keep(batch), pa.bool_()))
 
-    return df.mapInArrow(run, df.schema)
+    return map_batches(df, run, df.schema)

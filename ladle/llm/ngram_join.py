@@ -13,7 +13,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ladle.llm.memo import Memo, rows_where
+from ladle.llm.memo import Memo, map_batches, rows_where
 from ladle.llm.tables import components, landed
 
 WORDS_PER_SHINGLE = 5
@@ -123,7 +123,7 @@ def _rows(docs: DataFrame, start, schema: str) -> DataFrame:
         if held:
             yield flush()
 
-    return docs.select("doc_id", "text").mapInArrow(run, schema)
+    return map_batches(docs.select("doc_id", "text"), run, schema)
 
 
 class _Once:
