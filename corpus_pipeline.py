@@ -30,7 +30,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal data and secrets get surrogates; the number of characters follows the text."""
-    replaced = surrogates.replace_entities(docs)
+    replaced = surrogates.replace_entities(docs, surrogates.session_key(spark))
     return replaced.withColumn("n_chars", F.length("text").cast("long"))
 
 
