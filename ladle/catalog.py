@@ -729,13 +729,12 @@ def order_economics(m):
     )
 
 
-def _loyal(m: Marketplace) -> DataFrame:
-    deliveries = m.deliveries()
-    past = history.rolling_user_history(deliveries)
+def _loyal(m: Marketplace, *keep: str) -> DataFrame:
+    past = history.rolling_user_history(m.deliveries(), keep=keep)
     since = m.users().select("user_id", "activation_date")
     tenure = F.datediff(F.to_date("order_ts"), F.col("activation_date"))
     score = money.loyalty(tenure, F.col("prior_orders"), F.col("prior_gmv"))
-    return past.join(since, "user_id").select("delivery_id", score.alias("loyalty"))
+    return past.join(since, "user_id").select("delivery_id", *keep, score.alias("loyalty"))
 
 
 @query
@@ -745,7 +744,7 @@ def loyalty_score(m):
 
 @query
 def refund_amount(m):
-    rows = m.deliveries().select("delivery_id", "issue_type", "total_amount").join(_loyal(m), "delivery_id")
+    rows = _loyal(m, "issue_type", "total_amount")
     paid = money.refund(F.col("issue_type"), F.col("total_amount"), F.col("loyalty"))
     return rows.select("delivery_id", paid.alias("refund"))
 

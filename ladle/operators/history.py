@@ -134,7 +134,7 @@ def _measures(n: Column, gmv: Column) -> list[Column]:
     ]
 
 
-def _levelled(orders: DataFrame, days: int) -> DataFrame:
+def _levelled(orders: DataFrame, days: int, keep: tuple[str, ...]) -> DataFrame:
     """Totals before each order, for users with any number of orders.
 
     Orders are totalled per slot of their time order - minute, then instant
@@ -173,13 +173,13 @@ def _levelled(orders: DataFrame, days: int) -> DataFrame:
     levels = by_slot.join(by_minute, [user, day, minute]).join(by_day, [user, day])
     joined = inside.join(levels, [user, day, minute, *slot])
     total = lambda what: sum((F.col(f"{p}_{what}") for p in "dms"), F.col(f"i_{what}"))
-    return joined.select("delivery_id", "user_id", "order_ts", *_measures(total("n"), total("gmv")))
+    return joined.select("delivery_id", "user_id", "order_ts", *keep, *_measures(total("n"), total("gmv")))
 
 
-def rolling_user_history(deliveries: DataFrame, days: int = HISTORY_DAYS) -> DataFrame:
+def rolling_user_history(deliveries: DataFrame, days: int = HISTORY_DAYS, keep: tuple[str, ...] = ()) -> DataFrame:
     """For each order its user's orders and spend in the ``days`` days before,
-    earlier orders of the same day included, the order itself not."""
-    orders = deliveries.select(
-        "delivery_id", "user_id", "order_ts", "total_amount", F.unix_date(F.to_date("order_ts")).alias("day")
-    )
-    return _levelled(orders, days)
+    earlier orders of the same day included, the order itself not. Columns in
+    ``keep`` travel along, so whoever needs them reads the fact no second time."""
+    columns = dict.fromkeys(["delivery_id", "user_id", "order_ts", "total_amount", *keep])
+    orders = deliveries.select(*columns, F.unix_date(F.to_date("order_ts")).alias("day"))
+    return _levelled(orders, days, keep)
