@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -41,46 +43,42 @@ def dense_number(df: DataFrame, unique_key: str, name: str, start: Column | int
     )
 
 
-def _locate(slots: DataFrame, rank: Column) -> tuple | None:
-    """Of slots with row counts: the one that holds a rank, the rank counted
-    from the start of that slot, and the rows in it."""
-    order = Window.orderBy("_slot")
-    row = (
-        slots.withColumn("_upto", F.sum("_rows").over(order.rowsBetween(Window.unboundedPreceding, 0)))
-        .withColumn("_rank", rank)
-        .filter((F.col("_rank") > 0) & (F.col("_upto") >= F.col("_rank")))
-        .orderBy("_slot")
-        .select("_slot", (F.col("_rank") - F.col("_upto") + F.col("_rows")).alias("_inside"), "_rows")
-        .first()
-    )
-    return None if row is None else tuple(row)
+def _located(slots: DataFrame, order: str) -> DataFrame:
+    """Of slots with ``_rows`` rows each: the one that holds rank ``_rank``, as one row, with the rank inside it."""
+    upto = F.sum("_rows").over(Window.orderBy(order).rowsBetween(Window.unboundedPreceding, 0))
+    found = slots.withColumn("_upto", upto).filter((F.col("_rank") <= F.col("_upto")) & (F.col("_rank") > F.col("_upto") - F.col("_rows")))
+    return found.withColumn("_rank", F.col("_rank") - F.col("_upto") + F.col("_rows")).drop("_upto", "_rows")
 
 
 def row_at_share(df: DataFrame, ts: str, key: str, share: float):
-    """(ts, key) of the row at rank ``int(n * share)`` in the order of (ts,
-    key); None if that rank is 0.
+    """(ts, key) of the row at rank ``int(n * share)`` in the order of (ts, key); None if that rank is 0.
 
-    Narrows down in counted steps: day, second of the day, instant, then the
-    key digit by digit, until one row is left. Each step counts the rows the
-    step before has left, in few groups, and the driver receives one row per
-    step. No step sorts rows.
+    Two jobs. The first counts rows per day and second in one scan and descends to the second with the rank. The second
+    reads only that second's rows (a pushed filter), counts them per instant and block of 65,536 keys, and descends through
+    the digits of the key. Rows are never sorted, however many share an instant.
     """
     second = F.hour(ts) * 3600 + F.minute(ts) * 60 + F.second(ts)
-    digits = [F.shiftright(F.col(key), bits) for bits in reversed(LEVELS)]
-    everything = F.sum("_rows").over(Window.partitionBy())
-    rank = F.floor(everything * F.lit(share))
-    rows = df.select(ts, key)
-    for slot in (F.to_date(ts), second.cast("int"), F.col(ts), *digits, F.col(key)):
-        tagged = rows.withColumn("_slot", slot)
-        found = _locate(tagged.groupBy("_slot").agg(F.count(F.lit(1)).alias("_rows")), rank)
-        if found is None:
-            return None
-        value, inside, left = found
-        rows = tagged.filter(F.col("_slot") == F.lit(value)).drop("_slot")
-        if left == 1:
-            break
-        rank = F.lit(inside)
-    return rows.select(ts, key).first()
+    counts = df.groupBy(F.to_date(ts).alias("_day"), second.alias("_second")).agg(F.count(F.lit(1)).alias("_rows"))
+    days = counts.groupBy("_day").agg(F.sum("_rows").alias("_rows"))
+    rank = F.floor(F.sum("_rows").over(Window.partitionBy()) * F.lit(share))
+    day = _located(days.withColumn("_rank", rank), "_day")
+    first = _located(counts.join(day, "_day"), "_second").first()
+    if first is None:
+        return None
+    begin = dt.datetime.combine(first["_day"], dt.time()) + dt.timedelta(seconds=first["_second"])
+    instant = lambda t: F.lit(t).cast(df.schema[ts].dataType)
+    near = df.filter((F.col(ts) >= instant(begin)) & (F.col(ts) < instant(begin + dt.timedelta(seconds=1))))
+    digits = {f"_p{bits}": F.shiftright(F.col(key), bits) for bits in reversed(LEVELS)}
+    rows = near.select(F.col(ts).alias("_ts"), F.col(key).alias("_key"), *[c.alias(name) for name, c in digits.items()])
+    blocks = rows.groupBy("_ts", *digits).agg(F.count(F.lit(1)).alias("_rows")).withColumn("_rank", F.lit(first["_rank"]))
+    found, known = blocks, []
+    for level in ("_ts", *digits):
+        slots = found.groupBy(*known, level, "_rank").agg(F.sum("_rows").alias("_rows"))
+        one, known = _located(slots, level), [*known, level]
+        found = blocks.drop("_rank").join(one, known)
+    last = rows.join(one, known).withColumn("_rows", F.lit(1))
+    row = _located(last, "_key").select("_ts", "_key").first()
+    return None if row is None else tuple(row)
 
 
 def time_based_split(df: DataFrame, train_share: float = 0.8, ts: str = "order_ts", key: str = "delivery_id") -> DataFrame:
