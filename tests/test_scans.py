@@ -42,6 +42,10 @@ def test_the_fact_is_read_once_beside_the_written_prior_months(spark, folder):
     assert order_scans(QUERIES["training_set"](spark, folder)) == 1
 
 
+def test_refunds_read_the_fact_as_often_as_the_history_does(spark, folder):
+    assert order_scans(QUERIES["refund_amount"](spark, folder)) <= order_scans(QUERIES["rolling_user_history_180d"](spark, folder))
+
+
 def test_prior_months_of_all_kinds_are_those_of_each(spark, market):
     for strict in (False, True):
         long = history.prior_months(market.deliveries(), strict)
