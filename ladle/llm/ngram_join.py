@@ -70,9 +70,9 @@ def prefix_length(n: int, shared: int = 1) -> int:
 
 def posted(tokens: np.ndarray) -> tuple[int, int]:
     """How many of a set's tokens in hash order are posted, and how many of them lie in the counted region: the region's,
-    or the longest prefix where that is more."""
+    or the prefix where that is more."""
     region = int(np.searchsorted(tokens, REGION))
-    return max(region, prefix_length(len(tokens), MOST_SHARED)), region
+    return max(region, prefix_length(len(tokens))), region
 
 
 @dataclass
@@ -231,28 +231,54 @@ def _length(shared) -> Column:
     return F.least(F.col("n"), F.col("n") - _least() + shared)
 
 
-def prefixes(docs: DataFrame, firsts) -> DataFrame:
-    """token, key, n, need: the prefix of every set, without tokens that no other prefix can hold. ``firsts`` (a broadcast
-    filter of the sets' first documents) spares the work on most copies; what it lets through twice is dropped.
+def candidates(docs: DataFrame, firsts) -> DataFrame:
+    """key: the sets that can have a similar one, and some more. ``firsts`` (a broadcast filter of the sets' first documents)
+    spares the work on most copies; a copy it lets through only makes tokens look more frequent, which keeps more sets.
 
-    The global order puts tokens of the counted region first, by the number of sets that post them (rarest first, ties by
-    hash), then all others by hash. A set's prefix has ``prefix_length(n, need)`` tokens. Among similar sets x and y at
+    The global order of this step puts tokens of the counted region that stand in one set only first, then the region's
+    others, then all others by hash. A set whose prefix in that order holds no token of a second set has no similar one.
+    """
+    spark = docs.sparkSession
+    counts = _tokens(docs, firsts).groupBy("token").agg(F.count("*").alias("df")).filter("df > 1").select("token")
+    counts = landed(counts, "tokens")
+    live = spark.sparkContext.broadcast(Filter.of(counts, F.col("token")))
+    rows = _postings(docs, firsts, live).join(counts, "token", "left_semi")
+    counted = F.col("place") < F.col("region")
+    per_set = rows.groupBy("key").agg(
+        F.first("n").alias("n"), F.first("region").alias("region"),
+        F.sum(counted.cast("int")).alias("live"), F.min(F.when(~counted, F.col("place"))).alias("place"),
+    )
+    first_live = F.when(F.col("live") > 0, F.col("region") - F.col("live")).otherwise(F.col("place"))
+    return per_set.filter(first_live < _length(1)).select("key")
+
+
+def _live(sets: DataFrame, step: int) -> DataFrame:
+    """key, n, token, df of the tokens that more than one set holds, and ``share``, how many of them the set has. A set with
+    fewer than it must share with a similar one is left out."""
+    rows = sets.select("key", F.size("tokens").alias("n"), F.explode("tokens").alias("token"))
+    counts = landed(rows.groupBy("token").agg(F.count("*").alias("df")).filter("df > 1"), f"counts-{step}")
+    rows = rows.join(counts, "token")
+    shares = rows.groupBy("key").agg(F.first("n").alias("n"), F.count("*").cast("int").alias("share"))
+    shares = landed(shares.filter(F.col("share") >= _least()).select("key", "share"), f"shares-{step}")
+    return rows.join(shares, "key")
+
+
+def prefixes(sets: DataFrame) -> DataFrame:
+    """token, key, n, share, need: the prefix of every set (key, tokens), without tokens that no other prefix can hold.
+
+    The global order puts rare tokens first, by the number of sets that hold them, ties by hash. A set's prefix has
+    ``prefix_length(n, need)`` tokens. Among similar sets x and y at
     least min(need of x, need of y) tokens are in both prefixes, so each set may pick its own ``need``: the one with the
     lowest estimated cost, which is the entries its prefix meets in the token lists, plus the candidates to verify, at
     most those entries divided by ``need``. A set asks for no more tokens than it must share with a similar one, which for
     a small set are fewer than MOST_SHARED.
     """
-    spark = docs.sparkSession
-    counts = _tokens(docs, firsts).groupBy("token").agg(F.count("*").alias("df")).filter("df > 1")
-    counts = landed(counts, "tokens")
-    live = spark.sparkContext.broadcast(Filter.of(counts, F.col("token")))
-    rows = _postings(docs, firsts, live).join(counts, "token").repartition("key").dropDuplicates(["key", "token"])
+    # Once the sets that lack shared tokens are gone, more tokens stand in one set only.
+    some = _live(sets, 1).select("key").distinct()
+    rows = _live(landed(sets.join(some, "key", "left_semi"), "shared-sets"), 2)
     per_set = Window.partitionBy("key")
-    counted = F.col("place") < F.col("region")
-    ranked = rows.withColumn("nth", F.row_number().over(per_set.orderBy(~counted, "df", "token")))
-    # Region tokens that are not live are in one set only: they are the rarest and come before the live ones.
-    lone = F.col("region") - F.sum(counted.cast("int")).over(per_set)
-    ranked = ranked.withColumn("at", F.when(counted, lone + F.col("nth") - 1).otherwise(F.col("place")))
+    at = F.col("n") - F.col("share") + F.row_number().over(per_set.orderBy("df", "token")) - 1
+    ranked = rows.withColumn("at", at).filter(F.col("at") < _length(MOST_SHARED))
 
     def cost(need: int) -> Column:
         met = F.sum(F.when(F.col("at") < _length(need), F.col("df") - 1).otherwise(0)).over(per_set)
@@ -260,33 +286,36 @@ def prefixes(docs: DataFrame, firsts) -> DataFrame:
         return F.when(_least() >= need, priced)  # else null, which array_min leaves out
 
     best = F.array_min(F.array(*map(cost, range(1, MOST_SHARED + 1))))["need"]
-    return ranked.withColumn("need", best).filter(F.col("at") < _length(F.col("need"))).select("token", "key", "n", "need")
+    chosen = ranked.withColumn("need", best).filter(F.col("at") < _length(F.col("need")))
+    return chosen.select("token", "key", "n", "share", "need")
 
 
-def _near(n: Column, m: Column) -> Column:
-    """Whether sets of these sizes can be similar."""
-    return F.least(n, m) * SIMILARITY.denominator >= F.greatest(n, m) * SIMILARITY.numerator
+def _near(n: Column, m: Column, share_n: Column, share_m: Column) -> Column:
+    """Whether sets of these sizes can be similar that have so many tokens other sets have, too: the overlap of similar sets
+    is at least n + m times SIMILARITY / (1 + SIMILARITY)."""
+    s = SIMILARITY / (1 + SIMILARITY)
+    return F.least(share_n, share_m) * s.denominator >= (n + m) * s.numerator
 
 
 def _with_hubs(entries: DataFrame, seed: int) -> DataFrame:
-    """Entries (token, key, n, need, component) with a hub for each token: its set with the smallest hash of this round.
+    """Entries (token, key, n, share, need, component) with a hub for each token: its set with the smallest hash of this round.
     Tokens of one component only are left out, since nothing can be linked there any more.
 
     The minima combine before the shuffle and form a table of their own, so a frequent token can be split in the join.
     """
-    rank = F.struct(F.xxhash64("key", F.lit(seed)).alias("rank"), "key", "n", "component")
+    rank = F.struct(F.xxhash64("key", F.lit(seed)).alias("rank"), "key", "n", "share", "component")
     tokens = entries.groupBy("token").agg(
         F.min(rank).alias("hub"), F.min("component").alias("low"), F.max("component").alias("high")
     )
     hubs = landed(tokens.filter("low <> high").select("token", "hub"), "hubs")
-    joined = entries.select("token", "key", "n", "need", "component").join(hubs, "token")
-    return joined.withColumns({f"hub_{c}": F.col(f"hub.{c}") for c in ("key", "n", "component")}).drop("hub")
+    joined = entries.select("token", "key", "n", "share", "need", "component").join(hubs, "token")
+    return joined.withColumns({f"hub_{c}": F.col(f"hub.{c}") for c in ("key", "n", "share", "component")}).drop("hub")
 
 
 def _hub_pairs(entries: DataFrame) -> DataFrame:
     """a, b: each set with the hub it shares most prefix tokens with, outside its component: one pair per entry at most,
     however many sets a token has."""
-    pairs = entries.filter((F.col("component") != F.col("hub_component")) & _near(F.col("n"), F.col("hub_n")))
+    pairs = entries.filter((F.col("component") != F.col("hub_component")) & _near(*map(F.col, ("n", "hub_n", "share", "hub_share"))))
     counted = pairs.groupBy(F.col("key").alias("a"), F.col("hub_key").alias("b")).agg(F.count("*").alias("shared"))
     return counted.groupBy("a").agg(F.max(F.struct("shared", "b")).alias("most")).select("a", "most.b")
 
@@ -297,17 +326,14 @@ def _all_pairs(entries: DataFrame) -> DataFrame:
     Components that meet at a token are paired first; only then are their sets, so no work goes into the pairs within a
     component, however large it is.
     """
-    groups = landed(entries.groupBy("token", "component").agg(F.min("n").alias("low"), F.max("n").alias("high")), "groups")
-    left = groups.select("token", F.col("component").alias("c"), F.col("low").alias("low_c"), F.col("high").alias("high_c"))
-    right = groups.select("token", F.col("component").alias("d"), F.col("low").alias("low_d"), F.col("high").alias("high_d"))
-    s = SIMILARITY
-    meet = left.join(right, "token").filter(
-        (F.col("c") < F.col("d"))
-        & (F.col("high_c") * s.denominator >= F.col("low_d") * s.numerator)
-        & (F.col("high_d") * s.denominator >= F.col("low_c") * s.numerator)
+    groups = landed(entries.groupBy("token", "component").agg(F.min("n").alias("n"), F.max("share").alias("share")), "groups")
+    side = lambda c: groups.select("token", F.col("component").alias(c), *[F.col(x).alias(f"{x}_{c}") for x in ("n", "share")])
+    meet = side("c").join(side("d"), "token").filter(
+        (F.col("c") < F.col("d")) & _near(*map(F.col, ("n_c", "n_d", "share_c", "share_d")))
     ).select("token", "c", "d")
-    of = lambda a, c: entries.select("token", F.col("component").alias(c), *[F.col(x).alias(f"{x}_{a}") for x in ("key", "n", "need")])
-    pairs = meet.join(of("a", "c"), ["token", "c"]).join(of("b", "d"), ["token", "d"]).filter(_near(F.col("n_a"), F.col("n_b")))
+    of = lambda a, c: entries.select("token", F.col("component").alias(c), *[F.col(x).alias(f"{x}_{a}") for x in ("key", "n", "share", "need")])
+    pairs = meet.join(of("a", "c"), ["token", "c"]).join(of("b", "d"), ["token", "d"])
+    pairs = pairs.filter(_near(*map(F.col, ("n_a", "n_b", "share_a", "share_b"))))
     shared = pairs.groupBy(F.col("key_a").alias("a"), F.col("key_b").alias("b")).agg(
         F.count("*").alias("shared"), F.min(F.least("need_a", "need_b")).alias("need")
     )
@@ -329,7 +355,8 @@ def _similar(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 def groups(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Tables: doc_id, n, key, text_hash per document; and key, component_id per set with words.
 
-    1. Documents with equal sets are one from here on. 2. Sets get adaptive prefixes. 3. In a few rounds each set is
+    1. Documents with equal sets are one from here on. 2. Sets without a possible partner go, by counts over all documents;
+    the others get adaptive prefixes. 3. In a few rounds each set is
     compared with one hub that shares most of its prefix; what is linked forms components, so a large group of near copies
     is held together by as many links as it has members. 4. All pairs across components that share enough prefix tokens are
     compared. Every link joins two sets that step 3 put into one component or that step 4 compares, so the components are
@@ -344,15 +371,14 @@ def groups(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     member = F.col("key").bitwiseXOR(F.coalesce("doc_id", F.lit(0)))
     first = landed(named.filter("n > 0").groupBy("key").agg(F.min("doc_id").alias("doc_id")), "firsts")
     firsts = spark.sparkContext.broadcast(Filter.of(first, member))
-    prefix = landed(prefixes(docs, firsts), "prefixes")
-    entries = landed(_with_hubs(prefix.withColumn("component", F.col("key")), 0), "entries")
-
-    wanted = landed(first.join(entries.select("key").distinct(), "key", "left_semi"), "wanted")
+    wanted = landed(first.join(candidates(docs, firsts), "key", "left_semi"), "wanted")
     keep = spark.sparkContext.broadcast(Filter.of(wanted, member))
     mine = wanted.select(F.col("key").alias("its_key"), F.col("doc_id").alias("its_doc"))
     found = _token_sets(docs, keep)
     same = (F.col("key") == F.col("its_key")) & F.col("doc_id").eqNullSafe(F.col("its_doc"))
     sets = landed(found.join(mine, same, "left_semi").dropDuplicates(["key"]).select("key", "tokens"), "token-sets")
+    prefix = landed(prefixes(sets), "prefixes")
+    entries = landed(_with_hubs(prefix.withColumn("component", F.col("key")), 0), "entries")
 
     links = None
     for step in range(HUB_ROUNDS + 1):
