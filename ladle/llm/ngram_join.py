@@ -13,7 +13,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ladle.llm.memo import Memo, map_batches, rows_where
+from ladle.llm.memo import map_batches, rows_where
 from ladle.llm.tables import components, landed
 
 WORDS_PER_SHINGLE = 5
@@ -27,34 +27,67 @@ REGION = np.uint64(int(0.4 * 2**64))
 FILTER_BITS = 26
 # So many times each set is compared with a hub of its tokens.
 HUB_ROUNDS = 3
-WORDS = 100_000
 SEEN = 250_000
 BATCH_ROWS = 100_000
 
 _MULTIPLIERS = [0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F]
+# An odd number, its inverse modulo 2^64, white space, and what a byte counts: lower-cased, and never 0.
+_BASE = 0xD1342543DE82EF95
+_INVERSE = pow(_BASE, -1, 1 << 64)
+_SPACES = np.zeros(256, np.bool_)
+_SPACES[[0x20, *range(0x09, 0x0E)]] = True
+_CODES = np.arange(1, 257, dtype=np.uint64)
+_CODES[ord("A") : ord("Z") + 1] += np.uint64(32)
+
+
+def _powers(base: int, n: int) -> np.ndarray:
+    """The first n powers of a number modulo 2^64."""
+    powers = np.full(n, base, np.uint64)
+    powers[0] = 1
+    return np.cumprod(powers)
+
+
+def _mixed_bits(h: np.ndarray) -> np.ndarray:
+    h = h ^ (h >> np.uint64(32))
+    h *= np.uint64(_MULTIPLIERS[1])
+    return h ^ (h >> np.uint64(29))
 
 
 class Shingler:
     """64-bit hashes of a text's different shingles in unsigned order. A-Z are lower-cased; words are runs without ASCII
-    white space; a text of fewer words than a shingle has is one shingle; one without words has none."""
+    white space; a text of fewer words than a shingle has is one shingle; one without words has none.
+
+    A word's hash is a polynomial of its bytes modulo 2^64, taken from running sums over the text, so that no step is done
+    word by word. Powers of the odd base have inverses, which move a word to the front. A text longer than the powers that
+    are held makes them grow to its length.
+    """
 
     def __init__(self):
-        self.hashes = Memo(xxhash.xxh3_64_intdigest, WORDS)
+        self.up, self.down = _powers(_BASE, 1 << 14), _powers(_INVERSE, 1 << 14)
+
+    def _words(self, text: bytes) -> np.ndarray:
+        """Hashes of the words in order."""
+        codes = np.frombuffer(text, np.uint8)
+        inside = np.zeros(len(codes) + 2, np.bool_)
+        inside[1:-1] = ~_SPACES.take(codes)
+        edges = np.flatnonzero(inside[1:] != inside[:-1])
+        starts, ends = edges[::2], edges[1::2]
+        if len(codes) > len(self.up):
+            self.up, self.down = _powers(_BASE, len(codes)), _powers(_INVERSE, len(codes))
+        sums = np.zeros(len(codes) + 1, np.uint64)
+        np.cumsum(_CODES.take(codes) * self.up[: len(codes)], out=sums[1:])
+        return _mixed_bits((sums[ends] - sums[starts]) * self.down[starts])
 
     def __call__(self, text: str | None) -> np.ndarray:
-        words = (text or "").encode().lower().split()
-        if not words:
-            return np.zeros(0, np.uint64)
-        w = np.fromiter(map(self.hashes.__getitem__, words), np.uint64, len(words))
-        self.hashes.trim()
+        w = self._words((text or "").encode())
+        if not len(w):
+            return w
         size = min(len(w), WORDS_PER_SHINGLE)
         h = np.full(len(w) - size + 1, size, np.uint64)
         for i in range(size):
             h += w[i : len(w) - size + 1 + i] * np.uint64(_MULTIPLIERS[i])
-        h ^= h >> np.uint64(32)
-        h *= np.uint64(_MULTIPLIERS[1])
-        h ^= h >> np.uint64(29)
-        return np.unique(h)
+        h = np.sort(_mixed_bits(h))
+        return h[np.concatenate(([True], h[1:] != h[:-1]))]
 
 
 def set_key(tokens: np.ndarray) -> int:
@@ -330,10 +363,10 @@ def _all_pairs(entries: DataFrame) -> DataFrame:
     side = lambda c: groups.select("token", F.col("component").alias(c), *[F.col(x).alias(f"{x}_{c}") for x in ("n", "share")])
     meet = side("c").join(side("d"), "token").filter(
         (F.col("c") < F.col("d")) & _near(*map(F.col, ("n_c", "n_d", "share_c", "share_d")))
-    ).select("token", "c", "d")
+    ).select("token", "c", "d", "n_d", "share_d")
     of = lambda a, c: entries.select("token", F.col("component").alias(c), *[F.col(x).alias(f"{x}_{a}") for x in ("key", "n", "share", "need")])
-    pairs = meet.join(of("a", "c"), ["token", "c"]).join(of("b", "d"), ["token", "d"])
-    pairs = pairs.filter(_near(*map(F.col, ("n_a", "n_b", "share_a", "share_b"))))
+    some = meet.join(of("a", "c"), ["token", "c"]).filter(_near(*map(F.col, ("n_a", "n_d", "share_a", "share_d")))).drop("n_d", "share_d")
+    pairs = some.join(of("b", "d"), ["token", "d"]).filter(_near(*map(F.col, ("n_a", "n_b", "share_a", "share_b"))))
     shared = pairs.groupBy(F.col("key_a").alias("a"), F.col("key_b").alias("b")).agg(
         F.count("*").alias("shared"), F.min(F.least("need_a", "need_b")).alias("need")
     )
