@@ -148,6 +148,16 @@ def assert_equal(got, expected):
     assert got == expected
 
 
+@pytest.mark.parametrize("text", [None, "", " \n\t", "a", "A b\x0bc", "one two three four five six", "x\x00 x", "é É ß 中文 " * 9, "q r " * 40_000])
+def test_shingles_are_those_of_the_words(text):
+    words = (text or "").encode().lower().split()
+    size = min(len(words), 5)
+    different = {tuple(words[i : i + size]) for i in range(len(words) - size + 1)} if words else set()
+    found = ngram_join.Shingler()(text)
+    assert len(found) == len(different) and (found[1:] > found[:-1]).all()
+    assert (ngram_join.Shingler()(b"\r".join(words).decode()) == found).all()
+
+
 def test_without_hubs_the_full_join_finds_the_same(spark, monkeypatch):
     monkeypatch.setattr(ngram_join, "HUB_ROUNDS", 0)
     rows = hard_texts()
