@@ -2,32 +2,19 @@
 
 from __future__ import annotations
 
-import shutil
-import tempfile
 from collections.abc import Callable
-from functools import cache
-from pathlib import Path
 
-from pyspark import SparkContext
 from pyspark.sql import DataFrame, SparkSession
 
-import ladle
 from ladle.llm import (
     bpe, langid, lexical, license, multi_index, ngram_join, packing, prefix_trie, quality, sharding, substrings, surrogates, warc,
 )
+from ladle.session import ship
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
 
-@cache
-def ship(context: SparkContext) -> None:
-    """Send this package to the executors, once per Spark context, so that their Python finds it."""
-    package = Path(ladle.__file__).parent
-    packed = shutil.make_archive(f"{tempfile.mkdtemp(prefix='ladle-')}/ladle", "zip", package.parent, package.name)
-    context.addPyFile(packed)
-
-
 def query(name: str, *tables: str, sql: str | None = None):
     def register(build: Callable[..., DataFrame]):
         def run(spark: SparkSession, folder: str) -> DataFrame:
