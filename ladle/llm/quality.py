@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -24,6 +25,8 @@ CHAR_SIZES = (2, 3, 4)
 # At most so many labelled rows of each class are trained on.
 ROWS_PER_CLASS = 1000
 WORDS = 200_000
+# Pairs of a place and a share that the fit works on at once.
+CHUNK = 1 << 17
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
 
@@ -161,16 +164,47 @@ class Sparse:
     shares: np.ndarray
 
     @staticmethod
-    def of(table: pa.Table) -> Sparse:
-        flat = lambda name: table.column(name).combine_chunks().flatten().to_numpy()
-        lengths = pa.compute.list_value_length(table.column("places")).to_numpy()
-        return Sparse(table.column("good").to_numpy().astype(np.float64), lengths, flat("places"), flat("shares"))
+    def of(table: pa.Table, rows: np.ndarray) -> Sparse:
+        """The given rows of a table in this order, copied one at a time."""
+        lengths = pa.compute.list_value_length(table.column("places")).to_numpy()[rows]
+
+        def flat(name: str, kind: type) -> np.ndarray:
+            column, values, end = table.column(name), np.empty(lengths.sum(), kind), 0
+            for i, n in zip(rows.tolist(), lengths.tolist()):
+                values[end : end + n] = column[i].values.to_numpy()
+                end += n
+            return values
+
+        good = table.column("good").to_numpy()[rows].astype(np.float64)
+        return Sparse(good, lengths, flat("places", np.int32), flat("shares", np.float32))
+
+    def parts(self) -> Iterator[tuple[slice, slice]]:
+        """Stretches of rows with about CHUNK pairs, and their pairs: what is made of pairs is never made of all at once."""
+        ends = np.cumsum(self.lengths)
+        first = at = 0
+        while first < len(ends):
+            last = max(first + 1, int(np.searchsorted(ends, at + CHUNK, side="right")))
+            yield slice(first, last), slice(at, int(ends[last - 1]))
+            first, at = last, int(ends[last - 1])
 
     def sums(self, weights: np.ndarray) -> np.ndarray:
         """Each row's shares times weights. No row is empty: every text in it has a byte."""
-        products = weights[self.places]
-        products *= self.shares
-        return np.add.reduceat(products, np.cumsum(self.lengths) - self.lengths, dtype=np.float64)
+        total = np.empty(len(self.lengths))
+        for rows, pairs in self.parts():
+            products = weights[self.places[pairs]]
+            products *= self.shares[pairs]
+            n = self.lengths[rows]
+            total[rows] = np.add.reduceat(products, np.cumsum(n) - n, dtype=np.float64)
+        return total
+
+    def spread(self, by_row: np.ndarray) -> np.ndarray:
+        """Per place the sum of its shares times a number of their row."""
+        total = np.zeros(2 << BITS)
+        for rows, pairs in self.parts():
+            steps = np.repeat(by_row[rows].astype(np.float32), self.lengths[rows])
+            steps *= self.shares[pairs]
+            np.add.at(total, self.places[pairs].astype(np.intp), steps.astype(np.float64))
+        return total
 
     def importance(self) -> np.ndarray:
         """Both classes weigh the same."""
@@ -184,9 +218,7 @@ def _descend(rows: Sparse, rounds: int = 150, rate: float = 2.0, keep: float = 1
     for _ in range(rounds):
         z = rows.sums(weights) + bias
         error = (1 / (1 + np.exp(-np.clip(z, -50, 50))) - rows.good) * importance
-        steps = np.repeat(error.astype(np.float32), rows.lengths)
-        steps *= rows.shares
-        gradient = np.bincount(rows.places, steps, 2 << BITS) + keep * weights
+        gradient = rows.spread(error) + keep * weights
         past += gradient**2
         weights -= rate * gradient / np.sqrt(past)
         past_bias += error.sum() ** 2
@@ -201,13 +233,17 @@ def train(docs: DataFrame, labels: DataFrame, rows_per_class: int = ROWS_PER_CLA
     the model's logit) maximises the held-out likelihood, both classes weighing the same. Without two documents of either
     class in both parts there is no model.
     """
-    rows = _feature_rows(labelled_sample(docs, labels, rows_per_class).filter("text <> ''")).toArrow().sort_by("doc_id")
-    held = pa.array([xxhash.xxh32_intdigest(str(i)) % 4 == 0 for i in rows.column("doc_id").to_pylist()], pa.bool_())
-    parts = [rows.filter(pa.compute.invert(held)), rows.filter(held)]
-    if any(part.filter(pa.compute.equal(part.column("good"), v)).num_rows < 2 for part in parts for v in (0, 1)):
+    rows = _feature_rows(labelled_sample(docs, labels, rows_per_class).filter("text <> ''")).toArrow()
+    ids = rows.column("doc_id").to_numpy()
+    order = np.argsort(ids, kind="stable")
+    held = np.array([xxhash.xxh32_intdigest(str(i)) % 4 == 0 for i in ids[order].tolist()], bool)
+    fitted, check = Sparse.of(rows, order[~held]), Sparse.of(rows, order[held])
+    if any((part.good == v).sum() < 2 for part in (fitted, check) for v in (0, 1)):
         return None
-    weights, bias = _descend(Sparse.of(parts[0]))
-    check = Sparse.of(parts[1])
+    del rows
+    pa.default_memory_pool().release_unused()
+    weights, bias = _descend(fitted)
+    del fitted
     z, good, importance = check.sums(weights) + bias, check.good, check.importance()
     # Platt's targets keep a perfectly split sample from an infinite slope.
     target = np.where(good == 1, (good.sum() + 1) / (good.sum() + 2), 1 / ((1 - good).sum() + 2))

@@ -106,3 +106,20 @@ def test_a_full_table_of_words_starts_anew():
     before = scorer.predict(text)
     scorer.size = langid.SLICE  # every slice empties it
     assert scorer.predict(text) == before
+
+
+def test_the_fit_makes_no_arrays_as_large_as_its_pairs():
+    import tracemalloc
+
+    rng = np.random.default_rng(3)
+    lengths = np.full(100, 20_000)
+    places = rng.integers(0, 2 << quality.BITS, lengths.sum()).astype(np.int32)
+    rows = quality.Sparse(np.arange(100) % 2.0, lengths, places, np.full(len(places), 5e-5, np.float32))
+    by_row = rng.normal(size=100)
+    exact = np.bincount(places, np.repeat(by_row.astype(np.float32), lengths) * rows.shares, 2 << quality.BITS)
+    assert np.array_equal(rows.spread(by_row), exact)
+    tracemalloc.start()
+    quality._descend(rows, rounds=2)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 30 << 20  # the weights and their steps are five arrays of 4 MB; the pairs are 16 MB
