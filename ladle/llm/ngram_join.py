@@ -297,7 +297,8 @@ def _live(sets: DataFrame, step: int) -> DataFrame:
 
 
 def prefixes(sets: DataFrame) -> DataFrame:
-    """token, key, n, share, need: the prefix of every set (key, tokens), without tokens that no other prefix can hold.
+    """token, key, n, share, need, before (how many shared tokens of the set come before this one): the prefix of every set
+    (key, tokens), without tokens that no other prefix can hold.
 
     The global order puts rare tokens first, by the number of sets that hold them, ties by hash. A set's prefix has
     ``prefix_length(n, need)`` tokens. Among similar sets x and y at
@@ -320,7 +321,8 @@ def prefixes(sets: DataFrame) -> DataFrame:
 
     best = F.array_min(F.array(*map(cost, range(1, MOST_SHARED + 1))))["need"]
     chosen = ranked.withColumn("need", best).filter(F.col("at") < _length(F.col("need")))
-    return chosen.select("token", "key", "n", "share", "need")
+    before = (F.col("at") - (F.col("n") - F.col("share"))).cast("int").alias("before")
+    return chosen.select("token", "key", "n", "share", "need", before)
 
 
 def _near(n: Column, m: Column, share_n: Column, share_m: Column) -> Column:
@@ -331,7 +333,7 @@ def _near(n: Column, m: Column, share_n: Column, share_m: Column) -> Column:
 
 
 def _with_hubs(entries: DataFrame, seed: int) -> DataFrame:
-    """Entries (token, key, n, share, need, component) with a hub for each token: its set with the smallest hash of this round.
+    """Entries (token, key, n, share, need, before, component) with a hub for each token: its set with the smallest hash of this round.
     Tokens of one component only are left out, since nothing can be linked there any more.
 
     The minima combine before the shuffle and form a table of their own, so a frequent token can be split in the join.
@@ -341,7 +343,7 @@ def _with_hubs(entries: DataFrame, seed: int) -> DataFrame:
         F.min(rank).alias("hub"), F.min("component").alias("low"), F.max("component").alias("high")
     )
     hubs = landed(tokens.filter("low <> high").select("token", "hub"), "hubs")
-    joined = entries.select("token", "key", "n", "share", "need", "component").join(hubs, "token")
+    joined = entries.select("token", "key", "n", "share", "need", "before", "component").join(hubs, "token")
     return joined.withColumns({f"hub_{c}": F.col(f"hub.{c}") for c in ("key", "n", "share", "component")}).drop("hub")
 
 
@@ -353,24 +355,93 @@ def _hub_pairs(entries: DataFrame) -> DataFrame:
     return counted.groupBy("a").agg(F.max(F.struct("shared", "b")).alias("most")).select("a", "most.b")
 
 
-def _all_pairs(entries: DataFrame) -> DataFrame:
-    """a, b: all sets of different components that share as many prefix tokens as either needs.
+def _around_hubs(entries: DataFrame, sets: DataFrame) -> DataFrame:
+    """key, component, hub, differing, excess, centre: the sets that are about the same as the hub they share most prefix
+    tokens with, and the tokens that only one of the two has.
+
+    Sets x and y of one hub differ in d = m_x + m_y - 2s tokens, where s of their m differing tokens are the same ones. They
+    are similar if d is at most n_x + n_y times (1 - SIMILARITY) / (1 + SIMILARITY), so if ``excess`` of x and of y
+    together is at most twice s (times a denominator). ``centre`` is the hub's set of the smallest excess.
+    """
+    r = (1 - SIMILARITY) / (1 + SIMILARITY)
+    alike = entries.filter("hub_n <= 2 * n AND n <= 2 * hub_n")
+    counted = alike.groupBy("key", "hub_key").agg(F.count("*").alias("shared"), F.first("component").alias("component"))
+    most = counted.groupBy("key").agg(F.max(F.struct("shared", "hub_key")).alias("most"), F.first("component").alias("component"))
+    most = landed(most.select("key", "component", F.col("most.hub_key").alias("hub")), "hub-of")
+    both = most.join(sets, "key").join(sets.select(F.col("key").alias("hub"), F.col("tokens").alias("of_hub")), "hub")
+    differing = F.concat(F.array_except("tokens", "of_hub"), F.array_except("of_hub", "tokens"))
+    rows = both.select("key", "component", "hub", F.size("tokens").alias("n"), differing.alias("differing"))
+    excess = F.size("differing") * r.denominator - F.col("n") * r.numerator
+    rows = landed(rows.filter("size(differing) <= n").withColumn("excess", excess).drop("n"), "members")
+    centres = landed(rows.groupBy("hub").agg(F.min(F.struct("excess", "key", "component")).alias("centre")), "centres")
+    return landed(rows.join(centres, "hub"), "around")
+
+
+def _pairs_around(around: DataFrame) -> DataFrame:
+    """a, b: of the sets of one hub, those of different components that can be similar.
+
+    Where the excess of two sets is zero or less together, they are similar to the centre, which has no more than either:
+    one pair per set will do. Others must have differing tokens in common. In an order that puts rare ones first, the first
+    common one has enough tokens of either set from it on. Components that meet are paired first.
+    """
+    twice = 2 * ((1 - SIMILARITY) / (1 + SIMILARITY)).denominator
+    stars = around.filter((F.col("excess") + F.col("centre.excess") <= 0) & (F.col("component") != F.col("centre.component")))
+    rows = around.select("hub", "key", "component", "excess", F.col("centre.excess").alias("least"), F.explode("differing").alias("token"))
+    counts = landed(rows.groupBy("hub", "token").agg(F.count("*").alias("df")).filter("df > 1"), "differing")
+    rest = F.row_number().over(Window.partitionBy("key").orderBy(F.desc("df"), F.desc("token")))
+    ranked = rows.join(counts, ["hub", "token"]).withColumn("rest", rest)
+    prefix = landed(ranked.filter(F.col("rest") * twice >= F.col("excess") + F.col("least")).drop("df", "least"), "differing-prefixes")
+
+    groups = prefix.groupBy("hub", "token", "component").agg(F.min("excess").alias("excess"), F.max("rest").alias("rest"))
+    groups = landed(groups, "differing-groups")
+    enough = lambda a, b: F.least(f"rest_{a}", f"rest_{b}") * twice >= F.col(f"excess_{a}") + F.col(f"excess_{b}")
+    part = lambda rows, x, c, *more: rows.select(
+        "hub", "token", F.col("component").alias(c), *[F.col(m).alias(f"{m}_{x}") for m in ("excess", "rest", *more)]
+    )
+    meet = part(groups, "c", "c").join(part(groups, "d", "d"), ["hub", "token"]).filter((F.col("c") < F.col("d")) & enough("c", "d"))
+    meet = meet.drop("excess_c", "rest_c")
+    some = meet.join(part(prefix, "a", "c", "key"), ["hub", "token", "c"]).filter(enough("a", "d")).drop("excess_d", "rest_d")
+    pairs = some.join(part(prefix, "b", "d", "key"), ["hub", "token", "d"])
+    pairs = pairs.filter(enough("a", "b") & (F.col("excess_a") + F.col("excess_b") > 0))
+    pairs = pairs.select(F.col("key_a").alias("a"), F.col("key_b").alias("b")).distinct()
+    return stars.select(F.col("key").alias("a"), F.col("centre.key").alias("b")).unionByName(pairs)
+
+
+def _reach(a: str, b: str) -> Column:
+    """Whether sets (or the best of two groups) that share a token can be similar, by its place in both. If it is their k-th
+    common token, the overlap is at most k - 1 and the live tokens from it on, of either; k is no larger than the tokens
+    they must share, and no more tokens are common before it than either set has there."""
+    s = SIMILARITY / (1 + SIMILARITY)
+    common = F.least(f"rest_{a}", f"rest_{b}") + F.least(f"before_{a}", f"before_{b}", F.col(f"need_{a}") - 1, F.col(f"need_{b}") - 1)
+    return common * s.denominator >= (F.col(f"n_{a}") + F.col(f"n_{b}")) * s.numerator
+
+
+def _all_pairs(entries: DataFrame, sets: DataFrame) -> DataFrame:
+    """a, b: all sets of different components that can be similar: those of one hub by the tokens in which they differ from
+    it, which tells near copies of one text apart, the others by as many shared prefix tokens as either needs.
 
     Components that meet at a token are paired first; only then are their sets, so no work goes into the pairs within a
     component, however large it is.
     """
-    groups = landed(entries.groupBy("token", "component").agg(F.min("n").alias("n"), F.max("share").alias("share")), "groups")
-    side = lambda c: groups.select("token", F.col("component").alias(c), *[F.col(x).alias(f"{x}_{c}") for x in ("n", "share")])
-    meet = side("c").join(side("d"), "token").filter(
-        (F.col("c") < F.col("d")) & _near(*map(F.col, ("n_c", "n_d", "share_c", "share_d")))
-    ).select("token", "c", "d", "n_d", "share_d")
-    of = lambda a, c: entries.select("token", F.col("component").alias(c), *[F.col(x).alias(f"{x}_{a}") for x in ("key", "n", "share", "need")])
-    some = meet.join(of("a", "c"), ["token", "c"]).filter(_near(*map(F.col, ("n_a", "n_d", "share_a", "share_d")))).drop("n_d", "share_d")
-    pairs = some.join(of("b", "d"), ["token", "d"]).filter(_near(*map(F.col, ("n_a", "n_b", "share_a", "share_b"))))
+    around = _around_hubs(entries, sets)
+    entries = entries.select("token", "key", "n", "need", "before", (F.col("share") - F.col("before")).alias("rest"), "component")
+    entries = entries.join(around.select("key", "hub"), "key", "left").withColumn("hub", F.coalesce("hub", "key"))
+    entries = landed(entries, "last-entries")
+    most = [F.min("n").alias("n"), *[F.max(c).alias(c) for c in ("need", "before", "rest")]]
+    groups = landed(entries.groupBy("token", "component", "hub").agg(*most), "groups")
+    part = lambda rows, x, c, *more: rows.select(
+        "token", F.col("component").alias(c), F.col("hub").alias(f"hub_{c}"), *[F.col(m).alias(f"{m}_{x}") for m in ("n", "need", "before", "rest", *more)]
+    )
+    meet = part(groups, "c", "c").join(part(groups, "d", "d"), "token")
+    meet = meet.filter((F.col("c") < F.col("d")) & (F.col("hub_c") != F.col("hub_d")) & _reach("c", "d"))
+    meet = meet.drop(*[f"{m}_c" for m in ("n", "need", "before", "rest")])
+    some = meet.join(part(entries, "a", "c", "key"), ["token", "c", "hub_c"]).filter(_reach("a", "d"))
+    some = some.drop(*[f"{m}_d" for m in ("n", "need", "before", "rest")])
+    pairs = some.join(part(entries, "b", "d", "key"), ["token", "d", "hub_d"]).filter(_reach("a", "b"))
     shared = pairs.groupBy(F.col("key_a").alias("a"), F.col("key_b").alias("b")).agg(
         F.count("*").alias("shared"), F.min(F.least("need_a", "need_b")).alias("need")
     )
-    return shared.filter("shared >= need").select("a", "b")
+    return shared.filter("shared >= need").select("a", "b").unionByName(_pairs_around(around))
 
 
 def _similar(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -391,8 +462,8 @@ def groups(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     1. Documents with equal sets are one from here on. 2. Sets without a possible partner go, by counts over all documents;
     the others get adaptive prefixes. 3. In a few rounds each set is
     compared with one hub that shares most of its prefix; what is linked forms components, so a large group of near copies
-    is held together by as many links as it has members. 4. All pairs across components that share enough prefix tokens are
-    compared. Every link joins two sets that step 3 put into one component or that step 4 compares, so the components are
+    is held together by as many links as it has members. 4. All pairs across components that share enough prefix tokens, or
+    around one hub enough of the tokens in which they differ from it, are compared. Every link joins two sets that step 3 put into one component or that step 4 compares, so the components are
     exactly those of the full join. Comparisons use the whole sets.
 
     Null text, and text without words, is an empty set, linked with nothing. A null doc_id is no name for a component: a
@@ -415,7 +486,7 @@ def groups(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
 
     links = None
     for step in range(HUB_ROUNDS + 1):
-        pairs = _hub_pairs(entries) if step < HUB_ROUNDS else _all_pairs(entries)
+        pairs = _hub_pairs(entries) if step < HUB_ROUNDS else _all_pairs(entries, sets)
         new = _similar(pairs, sets)
         links = landed(new if links is None else links.unionByName(new), f"links-{step}")
         labels = components(links)

@@ -179,6 +179,22 @@ def test_short_documents_around_one(spark, monkeypatch, rounds):
     assert {c for _, _, c in got} == {800, 900, 1000, 1100}
 
 
+def test_near_copies_that_are_not_similar_make_few_pairs(spark, monkeypatch):
+    """Copies of one text with four changed words each are no links; those with one change, and some with more, are."""
+    rnd = random.Random(7)
+    base, rows = [f"b{i}" for i in range(150)], []
+    for i in range(240):
+        t = list(base)
+        for _ in range(rnd.choice([1, 2, 3, 3, 4])):
+            t[rnd.randrange(len(t))] = f"x{rnd.randrange(60)}"
+        rows.append((i, " ".join(t)))
+    compared, similar = [], ngram_join._similar
+    monkeypatch.setattr(ngram_join, "_similar", lambda pairs, sets: compared.append(pairs.count()) or similar(pairs, sets))
+    got = ngram_join.link(docs(spark, rows)).collect()
+    assert sorted(map(tuple, got)) == sorted(brute_groups(rows))
+    assert compared[-1] < 6_000  # of 28,680 pairs
+
+
 def test_keeping_one_of_each_group(spark):
     rows = hard_texts() + [(5000, None), (5001, ""), (5001, "")] + [(6000, "one text that is there twice as is")] * 2
     table = docs(spark, rows)
