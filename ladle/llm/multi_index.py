@@ -49,6 +49,19 @@ def best(scores: np.ndarray, ids: np.ndarray, most: int) -> list[np.ndarray]:
     return found
 
 
+def floors(asked: np.ndarray, paths: list[list[int]], vectors: np.ndarray, cells: np.ndarray, most: int) -> np.ndarray:
+    """Per query a score that ``most`` of the given vectors in its cells reach: what scores less is not among its best. Where
+    its cells hold fewer of them there is none. The vectors are picked by products of matrices and scored exactly."""
+    found = np.full(len(asked), -np.inf)
+    for i in range(0, len(asked), 128):
+        for q, scores in enumerate(asked[i : i + 128] @ vectors.T, i):
+            places = np.flatnonzero(np.isin(cells, paths[q]))
+            if len(places) >= most:
+                high = places[np.argpartition(scores[places], len(places) - most)[len(places) - most :]]
+                found[q] = inner_products(asked[q : q + 1], vectors[high]).min()
+    return found
+
+
 @dataclass
 class Codebook:
     """Centroids of both halves of a vector, and how far their vectors spread around each."""
@@ -183,7 +196,8 @@ def search(vectors: DataFrame, every: int = QUERY_EVERY, neighbours: int = NEIGH
     2. Some queries are searched in full. Where in their traversal the true neighbours turn up tells how many vectors a
        query has to visit, so that ``recall`` of them are met. That number is a property of the data: small where vectors
        cluster, a share of all where they are noise.
-    3. Each different query vector visits that many vectors, cell by cell, and scores them exactly.
+    3. Each different query vector visits that many vectors, cell by cell, and scores them exactly. Those that score less
+       than as many vectors of the sample in its cells as are asked for go at once.
     4. Scores go back from different vectors to all their vec_ids, and from query vectors to all their query_ids.
 
     What the driver holds is bounded: the sample, the codebooks, and counts per cell (MOST_CENTROIDS squared at most).
@@ -221,19 +235,21 @@ def search(vectors: DataFrame, every: int = QUERY_EVERY, neighbours: int = NEIGH
     found = members.groupBy("cell").count().toArrow().to_pandas()
     counts[found["cell"]] = found["count"]
     budget = _budget(members, queries, book, counts, dims, most, recall)
-    numbers = spark.sparkContext.broadcast((counts, budget))
+    numbers = spark.sparkContext.broadcast((counts, budget, sample, book.cells(sample)))
 
     def through_cells():
-        counts, budget = numbers.value
+        counts, budget, *some = numbers.value
 
         def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-            cells = [held.value.visited(q, counts, budget) for q in matrix(batch.column("embedding"), dims)]
-            return pa.RecordBatch.from_arrays([*batch.columns, pa.array(cells, pa.list_(pa.int32()))], ["query", "embedding", "cells"])
+            asked = matrix(batch.column("embedding"), dims)
+            cells = [held.value.visited(q, counts, budget) for q in asked]
+            columns = [*batch.columns, pa.array(cells, pa.list_(pa.int32())), pa.array(floors(asked, cells, *some, most))]
+            return pa.RecordBatch.from_arrays(columns, ["query", "embedding", "cells", "floor"])
 
         return work
 
     paths = queries.select(F.col("gid").alias("query"), "embedding")
-    paths = per_batch(paths, through_cells, f"query long, embedding {element}, cells array<int>").checkpoint()
+    paths = per_batch(paths, through_cells, f"query long, embedding {element}, cells array<int>, floor double").checkpoint()
     visits = np.zeros(len(counts), np.int64)
 
     def count_cells():
@@ -310,7 +326,7 @@ def _rerank(members: DataFrame, paths: DataFrame, layout, dims: int, most: int,
     holds the vectors of one unit, a bounded number, and streams the queries past them.
     """
     unit = ["unit", "chunk", "replica"]
-    kinds = f"unit long, chunk int, replica int, kind int, id long, first_id long, embedding {element}, cells array<int>"
+    kinds = f"unit long, chunk int, replica int, kind int, id long, first_id long, embedding {element}, cells array<int>, floor double"
 
     def spread_members():
         plan = layout.value
@@ -324,7 +340,7 @@ def _rerank(members: DataFrame, paths: DataFrame, layout, dims: int, most: int,
                 pa.array(plan.group[cells][at]), pa.array(chunk[at], pa.int32()), pa.array(replica, pa.int32()),
                 pa.array(np.zeros(len(at)), pa.int32()), batch.column("gid").take(pa.array(at)),
                 batch.column("first_id").take(pa.array(at)), batch.column("embedding").take(pa.array(at)),
-                pa.array(cells[at, None].tolist(), pa.list_(pa.int32())),
+                pa.array(cells[at, None].tolist(), pa.list_(pa.int32())), pa.nulls(len(at), pa.float64()),
             ]
             return pa.RecordBatch.from_arrays(columns, [c.split()[0] for c in kinds.split(", ")])
 
@@ -344,7 +360,8 @@ def _rerank(members: DataFrame, paths: DataFrame, layout, dims: int, most: int,
             columns = list(zip(*rows)) if rows else [[]] * 8
             types = [pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int64()]
             arrays = [pa.array(c, t) for c, t in zip(columns, types)]
-            arrays += [batch.column("embedding").take(pa.array(columns[6], pa.int64())), pa.array(columns[7], pa.list_(pa.int32()))]
+            at = pa.array(columns[6], pa.int64())
+            arrays += [batch.column("embedding").take(at), pa.array(columns[7], pa.list_(pa.int32())), batch.column("floor").take(at)]
             return pa.RecordBatch.from_arrays(arrays, [c.split()[0] for c in kinds.split(", ")])
 
         return work
@@ -386,6 +403,7 @@ def _rerank(members: DataFrame, paths: DataFrame, layout, dims: int, most: int,
             if b > a:
                 who = owner[visited == cell]
                 scores[who, a:b] = inner_products(asked[who], vectors[a:b])
+        scores[scores < part.column("floor").to_numpy()[:, None]] = -np.inf
         places = best(scores, firsts, most)
         who, places = np.repeat(np.arange(len(asked)), [len(p) for p in places]), np.concatenate(places).astype(np.int64)
         names, queries = ["query", "gid", "first_id", "score"], part.column("id").to_numpy()

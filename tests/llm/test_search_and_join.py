@@ -65,6 +65,16 @@ def test_copies_ties_and_vectors_that_take_no_part(spark):
     assert len(searched(spark.createDataFrame(fine[:4], schema))[0]) == 3  # all candidates, if fewer
 
 
+def test_few_scores_leave_the_units(spark, monkeypatch):
+    """Noise: a query visits all units, and only what can be among its nearest leaves them."""
+    vectors = np.random.default_rng(6).normal(size=(8000, 8)).astype(np.float32)
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(vectors.tolist())], "vec_id long, embedding array<float>")
+    rows, rerank = [], multi_index._rerank
+    monkeypatch.setattr(multi_index, "_rerank", lambda *a: rows.append((out := rerank(*a)).count()) or out)
+    assert recall(searched(df), brute_search(np.arange(8000), vectors.astype(np.float64))) >= 0.9
+    assert rows == [400 * 21]
+
+
 def test_traversal_is_by_summed_distance():
     rng = np.random.default_rng(5)
     book = multi_index.fit(rng.normal(size=(300, 6)), 8)
