@@ -4,14 +4,13 @@ from __future__ import annotations
 
 import base64
 import hashlib
-from functools import cache
 
 import public_tokenizers
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from ladle.llm.memo import Memo, per_batch
+from ladle.llm.memo import Memo, kept, per_batch
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 LEAF_BYTES = 3
@@ -153,10 +152,13 @@ class TextEncoder:
         return sum([p[0] for p in parts]), b",".join([p[1] for p in parts]), b"".join([p[2] for p in parts])
 
 
-@cache
+def _new_encoder(vocabulary: bytes, pattern: str) -> TextEncoder:
+    return TextEncoder(read_ranks(vocabulary), pattern)
+
+
 def _text_encoder(vocabulary: bytes, pattern: str) -> TextEncoder:
     """One for all tasks of a Python worker."""
-    return TextEncoder(read_ranks(vocabulary), pattern)
+    return kept(_new_encoder, vocabulary, pattern)
 
 
 def encode_documents(docs: DataFrame, vocabulary: str | None = None, pattern: str = public_tokenizers.PATTERN) -> DataFrame:

@@ -33,6 +33,30 @@ class Memo(dict):
             self.clear()
 
 
+# What this Python worker keeps from task to task, and what of it the last task asked for.
+_KEPT: dict[tuple, Any] = {}
+_ASKED: set[tuple] = set()
+
+
+def kept(build: Callable, *key: Any) -> Any:
+    """``build(*key)``, made once and kept for as long as the tasks of this worker ask for it."""
+    _ASKED.add((build, *key))
+    if (build, *key) not in _KEPT:
+        _KEPT[build, *key] = build(*key)
+    return _KEPT[build, *key]
+
+
+def begun(start: Callable[[], Any]) -> Any:
+    """What ``start()`` builds for a task. What tasks of another operator have left in this worker goes, else a worker that
+    serves several operators holds the words of all of them."""
+    _ASKED.clear()
+    work = start()
+    for key in _KEPT.keys() - _ASKED:
+        del _KEPT[key]
+    pa.default_memory_pool().release_unused()
+    return work
+
+
 def map_batches(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema) -> DataFrame:
     """``mapInArrow`` with batches of few rows. A batch of whole texts is held three times, by Spark, on the way and in
     Python, and Spark bounds it by rows alone."""
@@ -44,7 +68,7 @@ def per_batch(df: DataFrame, start: Callable[[], Callable[[pa.RecordBatch], pa.R
     """Apply the function that ``start()`` builds once per task to every Arrow batch of that task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        work = start()
+        work = begun(start)
         for batch in batches:
             yield work(batch)
 
@@ -55,7 +79,7 @@ def rows_where(df: DataFrame, start: Callable[[], Callable[[pa.RecordBatch], Any
     """The rows for which the function that ``start()`` builds once per task is true, with all their columns."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keep = start()
+        keep = begun(start)
         for batch in batches:
             yield batch.filter(pa.array(keep(batch), pa.bool_()))
 

@@ -13,7 +13,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ladle.llm.memo import map_batches, rows_where
+from ladle.llm.memo import begun, map_batches, rows_where
 from ladle.llm.tables import components, landed
 
 WORDS_PER_SHINGLE = 5
@@ -136,7 +136,7 @@ def _rows(docs: DataFrame, start, schema: str) -> DataFrame:
     names = [c.split()[0] for c in schema.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        make = start()
+        make = begun(start)
         held: list[list] = []
         n = 0
 

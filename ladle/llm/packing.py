@@ -5,7 +5,6 @@ from __future__ import annotations
 import os
 import re
 import zlib
-from functools import cache
 
 import numpy as np
 import pandas as pd
@@ -14,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ladle.llm.memo import Memo, per_batch
+from ladle.llm.memo import Memo, kept, per_batch
 from ladle.session import ensure_checkpoint_dir
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -71,9 +70,9 @@ class Tokens:
         return joined
 
 
-@cache
 def _tokens(vocabulary: str) -> Tokens:
-    return Tokens(vocabulary)
+    """One for all tasks of a Python worker."""
+    return kept(Tokens, vocabulary)
 
 
 def cut(n: int, capacity: int = CAPACITY) -> list[tuple[int, int]]:

@@ -1,5 +1,7 @@
 import base64
+import gc
 import hashlib
+import weakref
 import zlib
 
 import numpy as np
@@ -9,7 +11,7 @@ import tiktoken
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from ladle.llm import bpe, packing
+from ladle.llm import bpe, memo, packing
 
 from .data import awkward, docs
 
@@ -149,3 +151,16 @@ def test_packs_share_no_sequence(spark, folder, library):
     table = spark.read.parquet(f"{folder}/documents.parquet")
     rows = packing.pack(packing.pieces(table), pieces_per_pack=20).collect()
     check_packing(rows, [(r.doc_id, r.text) for r in table.collect()], library)
+
+
+def test_a_worker_keeps_the_words_of_one_operator():
+    """Tasks of one operator share what they keep; a task of another one lets it go."""
+    with open(public_tokenizers.path(packing.VOCABULARY), encoding="utf-8") as f:
+        vocabulary = f.read()
+    first = memo.begun(lambda: packing._tokens(vocabulary))
+    assert memo.begun(lambda: packing._tokens(vocabulary)) is first
+    gone = weakref.ref(first)
+    del first
+    memo.begun(dict)
+    gc.collect()
+    assert gone() is None
