@@ -484,11 +484,12 @@ def groups(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     prefix = landed(prefixes(sets), "prefixes")
     entries = landed(_with_hubs(prefix.withColumn("component", F.col("key")), 0), "entries")
 
-    links = None
+    labels = None
     for step in range(HUB_ROUNDS + 1):
         pairs = _hub_pairs(entries) if step < HUB_ROUNDS else _all_pairs(entries, sets)
-        new = _similar(pairs, sets)
-        links = landed(new if links is None else links.unionByName(new), f"links-{step}")
+        links = _similar(pairs, sets)
+        if labels is not None:  # a component so far is a star around its name, which the first round draws together
+            links = links.unionByName(labels.select(F.col("node").alias("a"), F.col("component").alias("b")))
         labels = components(links)
         if step < HUB_ROUNDS:
             named_by = labels.select(F.col("node").alias("key"), F.col("component").alias("now"))

@@ -23,19 +23,22 @@ def components(edges: DataFrame) -> DataFrame:
     steps, and edges are drawn anew between roots; those within a component vanish. Rounds grow with the logarithm of a
     component's width. All steps are equi-joins and minima that combine before the shuffle. Each round's tables are landed:
     a lost executor costs no earlier round, the planner sees their true sizes (a checkpoint keeps the estimate of its plan,
-    which self-joins multiply from round to round), and a node with very many edges can be split in the joins.
+    which self-joins multiply from round to round), and a node with very many edges can be split in the joins. Hooks are
+    followed by one and the same table, which a plan sends or shuffles once for all steps: where tables are small, plans
+    and what they hold on the driver are the cost, not rows.
     """
     edges = landed(
         edges.filter("a IS NOT NULL AND b IS NOT NULL").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(),
         "edges",
     )
     ends = edges.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    labels = landed(ends.withColumn("component", F.col("node")), "labels")
-    links = edges.filter("a <> b")
+    labels = ends.withColumn("component", F.col("node"))
+    links, rounds = edges.filter("a <> b"), 0
     while not links.isEmpty():
+        rounds += 1
         hooks = landed(links.groupBy("a").agg(F.min("b").alias("to")), "hooks")
+        further = hooks.select(F.col("a").alias("to"), F.col("to").alias("beyond"))
         for _ in range(3):
-            further = hooks.select(F.col("a").alias("to"), F.col("to").alias("beyond"))
             hooks = hooks.join(further, "to", "left").select("a", F.coalesce("beyond", "to").alias("to"))
         hooks = landed(hooks, "hooks")
         labels = labels.join(hooks, labels["component"] == hooks["a"], "left")
@@ -44,4 +47,4 @@ def components(edges: DataFrame) -> DataFrame:
         other = hooks.select(F.col("a").alias("b"), F.col("to").alias("to_b"))
         moved = moved.join(other, "b", "left").select("a", F.coalesce("to_b", "b").alias("b"))
         links = landed(moved.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).filter("a <> b").distinct(), "links")
-    return labels
+    return labels if rounds else landed(labels, "labels")

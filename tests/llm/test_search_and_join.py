@@ -246,3 +246,31 @@ def test_components_of_a_long_chain_and_a_sparse_graph(spark):
     chain = list(zip(names, names[1:]))
     sparse = [(200_000 + rnd.randrange(3_000), 200_000 + rnd.randrange(3_000)) for _ in range(2_900)]
     _components_agree(spark, chain + sparse)
+
+
+def _recorded(monkeypatch):
+    """Joins in the plan of each table that is landed from now on."""
+    joins, land = [], tables.landed
+
+    def landed(df, name):
+        joins.append(df._jdf.queryExecution().optimizedPlan().toString().count("Join "))
+        return land(df, name)
+
+    for module in (tables, ngram_join):
+        monkeypatch.setattr(module, "landed", landed)
+    return joins
+
+
+def test_components_follow_hooks_by_one_table(spark, monkeypatch):
+    """Plans of a round stay small: the driver holds them, and each join's small side, for every round of every call."""
+    joins = _recorded(monkeypatch)
+    edges = [(i, i + 1) for i in range(0, 60)] + [(100, x) for x in range(101, 160)]
+    _components_agree(spark, edges)
+    assert 0 < max(joins) <= 3
+
+
+def test_components_grow_from_those_before(spark, folder, monkeypatch):
+    """Links that made components in an earlier round aren't worked through again."""
+    joins = _recorded(monkeypatch)
+    ngram_join.groups(spark.read.parquet(f"{folder}/documents.parquet"))
+    assert len(joins) <= 60 and sum(joins) <= 70
