@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import os
-import re
 import zlib
 
 import numpy as np
@@ -32,6 +31,9 @@ class Tokens:
     such text. All words of a text that are new are encoded by the library as one such text, whose ids fall to the words by
     their lengths in bytes; they are remembered. A text with other spaces is encoded as a whole. Strings of special tokens
     are ordinary text.
+
+    Known words are looked up once each. Only words that follow their space as they should are ever remembered, so other
+    spaces show among the new words.
     """
 
     def __init__(self, vocabulary: str):
@@ -42,7 +44,6 @@ class Tokens:
         names = self.library.get_vocab()
         self.lengths = np.zeros(max(names.values()) + 1, np.int64)
         self.lengths[list(names.values())] = [len(name) for name in names]  # a byte is a character of the name
-        self.open_space = re.compile(r" (?:\s|\Z)")
         # Words by what follows their space.
         self.words = Memo(lambda w: self.encode(f" {w}"), WORDS)
 
@@ -52,21 +53,26 @@ class Tokens:
     def learn(self, words: list[str]) -> None:
         text = " " + " ".join(words)
         ids = np.array(self.library.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
-        ends = np.cumsum([1 + len(w.encode()) for w in words])
+        held = text.encode()
+        ends = np.append(np.flatnonzero(np.frombuffer(held, np.uint8) == 0x20)[1:], len(held))
         cuts = (4 * np.searchsorted(np.cumsum(self.lengths[ids]), ends, side="right")).tolist()
         data = ids.tobytes()
-        self.words.update((w, data[a:b]) for w, a, b in zip(words, [0, *cuts], cuts))
+        self.words.update(zip(words, map(data.__getitem__, map(slice, [0, *cuts], cuts))))
 
     def ids(self, text: str) -> bytes:
-        if self.open_space.search(text):
-            return self.encode(text)
         first, *words = text.split(" ")
         known, before = self.words, self.words.old
-        new = [w for w in set(words) if w not in known and w not in before]
-        if len(new) > 1:
-            self.learn(new)
-        joined = (self.encode(first) if first else b"") + b"".join(map(self.words.__getitem__, words))
-        self.words.trim()
+        found = list(map(known.get, words))
+        missing = {w for w, ids in zip(words, found) if ids is None}
+        if missing:
+            new = [w for w in missing if w not in before]
+            if any(not w or w[0].isspace() for w in new):
+                return self.encode(text)
+            if new:
+                self.learn(new)
+            found = [ids or known[w] for w, ids in zip(words, found)]  # a word has an id at least
+        joined = (self.encode(first) if first else b"") + b"".join(found)
+        known.trim()
         return joined
 
 

@@ -85,6 +85,38 @@ def test_tokens_are_the_library_s(parts, library):
     assert ours.ids(text) == np.array(library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
 
+def test_known_words_are_looked_up_once(library, monkeypatch):
+    """Also when words move from one generation of the memo to the next, and with spaces of any kind after a space."""
+    looked_up = []
+
+    class Counted(memo.Memo):
+        def get(self, *key):
+            looked_up.append(key[0])
+            return super().get(*key)
+
+        def __contains__(self, key):
+            looked_up.append(key)
+            return super().__contains__(key)
+
+        def __getitem__(self, key):
+            looked_up.append(key)
+            return super().__getitem__(key)
+
+    monkeypatch.setattr(packing, "Memo", Counted)
+    monkeypatch.setattr(packing, "WORDS", 150)
+    with open(public_tokenizers.path(packing.VOCABULARY), encoding="utf-8") as f:
+        ours = packing.Tokens(f.read())
+    truth = lambda text: np.array(library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+    text = " ".join(f"w{i}é" for i in range(101))
+    assert ours.ids(text) == truth(text)
+    looked_up.clear()
+    assert ours.ids(text) == truth(text) and len(looked_up) == 100
+    for start in range(0, 400, 40):
+        for end in ("", " ", "  x", " \n", " \x1c.", " \u2003a", "\n b"):
+            other = " ".join(f"w{i}é" for i in range(start, start + 90)) + end
+            assert ours.ids(other) == truth(other)
+
+
 @given(n=st.integers(1, 9000))
 def test_cuts_cover_a_document(n):
     parts = packing.cut(n)
